@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, near_dup
+from millrace.llm import decontaminate, near_dup, toxicity
 
-MODULES = [decontaminate, near_dup]
+MODULES = [decontaminate, near_dup, toxicity]
 
 
 def queries() -> dict:
