@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, near_dup, toxicity
+from millrace.llm import decontaminate, near_dup, pii, toxicity
 
-MODULES = [decontaminate, near_dup, toxicity]
+MODULES = [decontaminate, near_dup, pii, toxicity]
 
 
 def queries() -> dict:

@@ -32,3 +32,26 @@ def near_dup(rows, percent=75, size=5):
                 a, b = sorted((find(d), find(o)))
                 parent[b] = a
     return {d: (len(sets[d]), find(d)) for d in sets}
+
+
+PII = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(d):
+    return sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def base_spans(text):
+    out = []
+    for kind, p in PII.items():
+        for m in re.finditer(p, text or ""):
+            d = re.sub("[^0-9]", "", m[0])
+            ok = {"email": True, "ip": all(int(x) <= 255 for x in m[0].split(".")) if kind == "ip" else 0, "card": 13 <= len(d) <= 19 and luhn(d), "phone": 9 <= len(d) <= 15}[kind]
+            if ok:
+                out.append(f"{kind}:{m.start()}:{m.end()}")
+    return out
