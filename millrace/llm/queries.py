@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, near_dup, pii, toxicity
+from millrace.llm import decontaminate, language_id, near_dup, pii, sharding, toxicity
 
-MODULES = [decontaminate, near_dup, pii, toxicity]
+MODULES = [language_id, decontaminate, toxicity, sharding, pii, near_dup]
 
 
 def queries() -> dict:
