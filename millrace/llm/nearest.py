@@ -22,7 +22,7 @@ from millrace.session import cut, table
 
 K, QUERY_EVERY = 20, 20
 #: Directions, the share of them that must collide, first half-width in standard deviations, ratio of rehashing, and the share of a block that is to be verified at least.
-DIRECTIONS, THRESHOLD, WIDTH, RATIO, VERIFY, SEED = 96, 0.75, 0.25, 1.15, 0.15, 17
+DIRECTIONS, THRESHOLD, WIDTH, RATIO, VERIFY, SEED = 96, 0.75, 0.25, 1.15, 0.2, 17
 #: Vectors of a block and queries of a block.
 BLOCK, QUERIES_BLOCK = 16_384, 4_096
 
