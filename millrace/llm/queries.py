@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, html_text, language_id, near_dup, nearest, pii, sharding, toxicity
+from millrace.llm import chat, decontaminate, html_text, language_id, near_dup, nearest, pieces, pii, sharding, toxicity
 
-MODULES = [language_id, decontaminate, toxicity, sharding, pii, near_dup, html_text, nearest]
+MODULES = [language_id, decontaminate, toxicity, sharding, pii, near_dup, html_text, chat, nearest, pieces]
 
 
 def queries() -> dict:
