@@ -51,6 +51,8 @@ GAZETTEER = {
 OTHER = "version section chapter page no nr id isbn order invoice total sum amount year"
 CANDIDATE_GUARDS = {"email": "at", "ip": ".", "card": "", "phone": ""}
 CONTEXT = 40
+#: Spans that are broadcast at most (under 100 bytes each, 20 MB); with more, the texts are shuffled to them.
+BROADCAST_SPANS = 200_000
 
 
 def _sum(cols) -> Column:
@@ -217,7 +219,8 @@ def redact(docs: DataFrame, **options) -> DataFrame:
 
     rest = F.substring(F.col("text"), (F.col("last") + 1).cast("int"), F.char_length("text"))
     text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.concat(F.array_join(F.transform("spans", piece), ""), rest))
-    out = rows.join(per_row, "row", "left").withColumn("text", text)
+    few = spans.count() <= BROADCAST_SPANS
+    out = rows.join(F.broadcast(per_row) if few else per_row, "row", "left").withColumn("text", text)
     if "n_chars" in cols:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*cols)
