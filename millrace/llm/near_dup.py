@@ -10,14 +10,16 @@ Work is kept linear in the size of a group of copies:
 * equal sets form one class first (an aggregate with map-side combine), and one text stands for it;
 * every band pairs its members with one leader, chosen anew for each band, so m members give at most
   32 m pairs and never m * m;
-* each member is verified against its likeliest leader first; components are then computed, and only
-  members of one bucket that are still in *different* components are compared further. Two members of one
-  component need no comparison: their link would change nothing.
+* each member is verified against its likeliest leader first, and components are computed; two members of
+  one component need no comparison, as their link would change nothing;
+* likely pairs span clusters; in a cluster of several components, those outside the largest one are compared
+  with all members in blocks, each block a task that returns pairs of components, never pairs of texts.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +32,8 @@ from millrace.session import cut, drop, table
 WORDS, BUCKETS, ROWS = 5, 128, 4
 BANDS = BUCKETS // ROWS
 ZERO_BITS, MANTISSA = 6, 10
+#: Texts of a block, and shingles of one piece of its matrices.
+BLOCK, COLUMNS = 512, 8192
 #: Ids that are broadcast at most (16 bytes each); beyond it the texts are shuffled.
 BROADCAST_IDS = 500_000
 _P = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -167,6 +171,59 @@ def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percent: in
     return out
 
 
+def _across(percent: int):
+    """Links between components within one task of strangers and members: exact intersections as a matrix product."""
+
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        sets = [shingle_set(t.encode()) for t in pdf["text"]]
+        left, right = np.flatnonzero(pdf["stranger"]), np.flatnonzero(~pdf["stranger"])
+        comp, sizes, out = pdf["comp"].to_numpy(), np.array([len(x) for x in sets]), []
+        if len(left) and len(right):
+            sides = [(np.concatenate([sets[i] for i in ids]), np.repeat(np.arange(len(ids)), sizes[ids])) for ids in (left, right)]
+            shared = np.intersect1d(*[np.unique(h) for h, _ in sides])
+            both = np.zeros((len(left), len(right)), np.float32)  # exact: counts are far below 2 ** 24
+            for at in range(0, len(shared), COLUMNS):
+                part = shared[at : at + COLUMNS]
+                dense = []
+                for (h, row), ids in zip(sides, (left, right), strict=True):
+                    c = np.minimum(np.searchsorted(part, h), len(part) - 1)
+                    ok, m = part[c] == h, np.zeros((len(ids), len(part)), np.float32)
+                    m[row[ok], c[ok]] = 1
+                    dense.append(m)
+                both += dense[0] @ dense[1].T
+            union = sizes[left][:, None] + sizes[right][None, :] - both
+            x, y = np.nonzero((100 * both.astype(np.float64) >= percent * union) & (comp[left][:, None] != comp[right][None, :]))
+            out = np.unique(np.sort(np.column_stack([comp[left][x], comp[right][y]]), axis=1), axis=0) if len(x) else []
+        return pd.DataFrame(np.array(out, np.int64).reshape(-1, 2), columns=["a", "b"])
+
+    return run
+
+
+def _links_across(likely: DataFrame, comps: DataFrame, classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of components that some not yet compared pair of texts links.
+
+    Likely pairs span clusters. Within a cluster the members of its largest component are one already; the
+    others, strangers, are compared with all members in blocks of BLOCK by BLOCK texts, each block a task of
+    its own, which returns pairs of components and never pairs of texts.
+    """
+    clusters = connected_components(likely)
+    placed = clusters.withColumnRenamed("component", "cluster").join(comps, "node", "left").select("cluster", "node", F.coalesce("component", "node").alias("comp"))
+    sizes = placed.groupBy("cluster", "comp").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("cluster").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.max("n").alias("most"), F.sum("n").alias("members"), F.count("*").alias("comps"))
+    main = main.where("comps > 1 AND members > 2")  # of two, the pair has been compared
+    open_ = cut(placed.join(main, "cluster"), "nd-open")
+    ids = cut(classes.join(open_.select("node"), "node", "left_semi").select("node", F.col("rep.doc_id").alias("doc_id"), F.col("rep.text_hash").alias("text_hash")), "nd-ids")
+    hashed = rows.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    texts = hashed.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, ["doc_id", "text_hash"]).select("node", "text").dropDuplicates(["node"])
+    texts = cut(open_.join(texts, "node"), "nd-texts")
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int"), F.ceil((F.col("members") - F.col("most")) / BLOCK).cast("int")
+    own = [F.pmod(F.xxhash64("node", F.lit(i)), n).cast("int") for i, n in enumerate(blocks)]
+    each = [F.explode(F.sequence(F.lit(0), n - 1)) for n in blocks]
+    member = texts.select("cluster", own[0].alias("at"), each[1].alias("strangers"), "comp", "text", F.lit(False).alias("stranger"))
+    stranger = texts.where("comp <> main").select("cluster", each[0].alias("at"), own[1].alias("strangers"), "comp", "text", F.lit(True).alias("stranger"))
+    return member.union(stranger).groupBy("cluster", "at", "strangers").applyInPandas(_across(percent), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of docs (doc_id long, text string, anything else).
 
@@ -196,22 +253,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     links = _verified(first, classes, rows, percent)
     comps = connected_components(links)
 
-    placed = mates.where("size > 2").join(comps, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("comp"))
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
-    open_ = cut(placed.join(mixed, "bucket"), "nd-open")
-    one, other = (open_.select("bucket", F.col("node").alias(c), F.col("comp").alias(f"comp_{c}")) for c in "ab")
-    cross = one.join(other, "bucket").where("a < b AND comp_a <> comp_b").select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
-    rest = likely.select("a", "b").join(first, ["a", "b"], "left_anti")
-    for c in "ab":
-        rest = rest.join(comps.select(F.col("node").alias(c), F.col("component").alias(f"comp_{c}")), c, "left")
-    rest = rest.where("coalesce(comp_a, a) <> coalesce(comp_b, b)").select("a", "b")
-    second = cut(_with_registers(cross, classes, similarity).select("a", "b").union(rest), "nd-second")
-    if not second.isEmpty():
-        more = _verified(second, classes, rows, percent)
+    more = cut(_links_across(likely, comps, classes, rows, percent), "nd-across")
+    if not more.isEmpty():
         both = cut(links.union(more), "nd-links")
         drop(comps, links, more)
         links, comps = both, connected_components(both)
-    drop(mates, star, likely, first, open_, second, links)
+    drop(mates, star, likely, first, links)
 
     placed = classes.join(comps, "node", "left").select("h1", "h2", "n_shingles", "rep.doc_id", F.coalesce("component", "node").alias("comp"))
     least = placed.groupBy("comp").agg(F.min("doc_id").alias("least"))
