@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from millrace.plans import documents  # noqa: F401
+from millrace.plans.base import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]
