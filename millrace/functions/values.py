@@ -92,7 +92,7 @@ def date_gap(a_min: Column, a_max: Column, b_min: Column, b_max: Column) -> Colu
 
 def date_proximity(gap: Column, window: int = 7, unknown: float = 0.35) -> Column:
     """DAT-4: 1 at no gap, falling to 0 at the window."""
-    return F.coalesce(F.greatest(F.lit(0.0), 1 - gap / F.lit(float(window))), F.lit(unknown))
+    return F.when(gap.isNull(), F.lit(unknown)).otherwise(F.greatest(F.lit(0.0), 1 - gap / F.lit(float(window))))
 
 
 def date_surface_forms(d: Column | str) -> Column:
