@@ -15,7 +15,7 @@ STOP = "the a an of in on at and to for by from".split()
 def find_any(text: Column, forms: Column) -> Column:
     """The first form that the text holds as whole words, whatever the case; null if none."""
     t = F.lower(text)
-    held = F.filter(forms, lambda f: t.rlike(F.concat(F.lit(r"(?<![\p{L}\d])\Q"), F.lower(f), F.lit(r"\E(?![\p{L}\d])"))))
+    held = F.filter(forms, lambda f: F.regexp_like(t, F.concat(F.lit(r"(?<![\p{L}\d])\Q"), F.lower(f), F.lit(r"\E(?![\p{L}\d])"))))
     return F.get(held, F.lit(0))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import cut
+
 
 def first_by(df: DataFrame, keys: list[str], *order: Column | str, n: int = 1) -> DataFrame:
     """WIN-1, WIN-4, WIN-5: the first n rows of each key. Spark keeps n rows a key and task before the shuffle."""
@@ -97,3 +99,19 @@ def validation_reason(title: Column, text: Column, cleaned: Column, words: Colum
         .when(F.coalesce(cleaned, F.lit("")) == "", "empty-after-cleaning").when(words < min_words, "too-short")
     )
     return out.when(garbled, "garbled") if garbled is not None else out
+
+
+def ranked(df: DataFrame, *order: Column | str) -> DataFrame:
+    """df with rank, from 1, in a global order, without bringing all rows to one task.
+
+    Rows are range-partitioned by the order and written once; a partition's offset is the count of those before.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    runs = cut(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()), "ranked").withColumn("_run", F.shiftright("_id", 33))
+    rows, start = [], 0
+    for r in sorted(runs.groupBy("_run").count().collect(), key=lambda r: r["_run"]):  # a row a partition
+        rows.append((r["_run"], start))
+        start += r["count"]
+    offsets = spark.createDataFrame(rows or [(-1, 0)], "_run long, _start long")
+    return runs.join(F.broadcast(offsets), "_run").withColumn("rank", F.col("_start") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_run", "_id", "_start")
