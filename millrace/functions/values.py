@@ -170,7 +170,7 @@ def cell(value: Column, kind: str, sep: str = "; ") -> Column:
 
 def error_class(message: Column | str) -> Column:
     """STR-23: paths and digits masked, 180 characters."""
-    return F.substring(F.regexp_replace(F.regexp_replace(c(message), r"(?:[A-Za-z]:)?(?:[\\/][\w.\- ]+){2,}", "<path>"), r"\d+", "N"), 1, 180)
+    return F.substring(F.regexp_replace(F.regexp_replace(c(message), r"(?:[A-Za-z]:)?(?:[\\/][\w.-]+){2,}", "<path>"), r"\d+", "N"), 1, 180)
 
 
 def json_salvage(raw: Column | str) -> Column:
