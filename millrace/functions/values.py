@@ -114,12 +114,12 @@ def as_list(value: Column | str) -> Column:
     """ARR-1: a text or a JSON list of texts as an array of trimmed, non-empty texts."""
     v = F.trim(c(value))
     items = F.when(v.startswith("["), F.coalesce(F.from_json(v, "array<string>"), F.array(v))).otherwise(F.array(v))
-    return F.filter(F.transform(F.coalesce(items, F.array().cast("array<string>")), F.trim), lambda x: x.isNotNull() & (x != ""))
+    return F.filter(F.transform(F.coalesce(items, F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
 
 
 def split_semi(value: Column | str) -> Column:
     """ARR-3: the parts of a list joined by semicolons."""
-    return F.filter(F.transform(F.split(F.coalesce(c(value), F.lit("")), ";"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(c(value), F.lit("")), ";"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def distinct_by(values: Column | str, key) -> Column:

@@ -89,13 +89,13 @@ def date_forms(spark, sf):
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN '2021_0' || (o_orderkey % 9 + 1) ELSE 'stem' END AS month, CASE WHEN o_totalprice < 1000 THEN (o_totalprice::BIGINT)::VARCHAR WHEN o_totalprice < 1000000 THEN printf('%.1fk', o_totalprice / 1000) ELSE printf('%.1fM', o_totalprice / 1000000) END AS human,
-'failed <path> at N' AS error_class FROM (SELECT o_orderkey, floor(o_totalprice) AS o_totalprice FROM orders)""")
+'failed <path> at N' AS error_class FROM (SELECT o_orderkey, floor(o_totalprice / 100) * 100 AS o_totalprice FROM orders)""")
 def label_functions(spark, sf):
     """DAT-6, NUM-5, STR-23."""
     o = table(spark, sf, "orders")
     i = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("2021_0"), F.col("o_orderkey") % 9 + 1, F.lit("/x"))).otherwise(F.col("o_orderkey").cast("string"))
     msg = F.concat(F.lit("failed /data/in/a.json at "), F.col("o_orderkey"))
-    return o.select("o_orderkey", V.month_label(i, F.lit("stem")).alias("month"), V.human_count(F.floor("o_totalprice")).alias("human"), V.error_class(msg).alias("error_class"))
+    return o.select("o_orderkey", V.month_label(i, F.lit("stem")).alias("month"), V.human_count(F.floor(F.col("o_totalprice") / 100) * 100).alias("human"), V.error_class(msg).alias("error_class"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, list_filter([CASE WHEN l_quantity < 5 THEN 'no articles' END, CASE WHEN l_linenumber > 5 THEN 'dates reversed' END, CASE WHEN l_discount > 0.08 THEN 'negative count' END, CASE WHEN l_tax > 0.07 THEN 'confidence out of range' END], lambda x: x IS NOT NULL) AS problems FROM lineitem""")
