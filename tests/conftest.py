@@ -7,7 +7,7 @@ from millrace.session import get_session
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session(os.environ.get("TEST_CPUS", "8"), 8, "tests")
+    s = get_session(os.environ.get("TEST_CPUS", "8"), 4, "tests")
     yield s
     s.stop()
 
