@@ -64,7 +64,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE,
     distinct = per_item.select("window").distinct().withColumn("window_id", F.monotonically_increasing_id())
     win = cut(distinct.withColumn("k", F.least(F.size("window"), F.lit(shingle))), "dc-windows")
     lengths = sorted(r.k for r in win.select("k").distinct().collect())  # shingle at most
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words(F.col("text")).alias("w"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    rows = numbered.select("row", "doc_id", words(F.col("text")).alias("w"))
     if not lengths:
         found = rows.select("doc_id", F.size("w").cast("long").alias("n_words"))
         return _result(found.withColumns({"n_hit": F.lit(None).cast("long"), "items": F.lit(None).cast("array<string>")}))
@@ -72,6 +73,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE,
     wanted = shingles.select("shingle", F.lit(1).alias("n")).distinct()
     n = wanted.count()
     reach = size - min(lengths)
+    if n > BROADCAST_SHINGLES:  # the texts are read twice: their numbers must be data by then
+        rows = cut(numbered, "dc-rows").select("row", "doc_id", words(F.col("text")).alias("w"))
 
     # position 0 carries the row itself, so that one pass gives the counts of words too
     per_k = [F.transform(F.sequence(F.lit(0), F.size("w") - k), partial(_hash, F.col("w"), k)) for k in lengths]

@@ -79,7 +79,7 @@ def valid(kind: Column, m: Column) -> Column:
 
 
 def _matches(rows: DataFrame) -> DataFrame:
-    """row, doc_id, kind, k, base, hit, start, end (code points), before, after of every match of all patterns.
+    """row, key, doc_id, kind, k, base, hit, start, end (code points), before, after of every match of all patterns.
 
     The pieces between the matches and the matches themselves come from the same pattern; lengths of both,
     summed along a text, are the positions. Texts are read once; only small rows are shuffled.
@@ -92,9 +92,9 @@ def _matches(rows: DataFrame) -> DataFrame:
             hits = F.regexp_extract_all(text, F.lit(patterns[kind]), F.lit(0))
             one = F.struct(F.lit(k).alias("k"), F.lit(kind).alias("kind"), F.lit(base).alias("base"), gaps.alias("gaps"), hits.alias("hits"))
             parts.append(F.when(F.contains(text, F.lit(guards[kind])) if guards[kind] else text.rlike("[0-9]"), F.when(text.rlike(patterns[kind]), one)))
-    each = rows.select("row", "doc_id", F.explode(F.array_compact(F.array(*parts))).alias("m")).select("row", "doc_id", "m.k", "m.kind", "m.base", "m.gaps", F.posexplode("m.hits").alias("n", "hit"))
+    each = rows.select("row", "key", "doc_id", F.explode(F.array_compact(F.array(*parts))).alias("m")).select("row", "key", "doc_id", "m.k", "m.kind", "m.base", "m.gaps", F.posexplode("m.hits").alias("n", "hit"))
     gap, after = F.get("gaps", F.col("n")), F.get("gaps", F.col("n") + 1)
-    out = each.select("row", "doc_id", "k", "kind", "base", "n", "hit", gap["len"].alias("gap"), gap["tail"].alias("before"), after["head"].alias("after"))
+    out = each.select("row", "key", "doc_id", "k", "kind", "base", "n", "hit", gap["len"].alias("gap"), gap["tail"].alias("before"), after["head"].alias("after"))
     w = Window.partitionBy("row", "k", "base").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum((F.col("gap") + F.length("hit")).cast("long")).over(w)
     return out.withColumn("end", end).withColumn("start", F.col("end") - F.length("hit")).drop("gap", "n")
@@ -167,22 +167,24 @@ def logistic(rows: list[tuple[tuple[float, ...], float, float]], rounds: int = 4
 
 
 def find_pii(docs: DataFrame, threshold: float = 0.5) -> tuple[DataFrame, DataFrame]:
-    """(rows, spans): docs with a column row, and row, doc_id, kind, k, start, end, base of every span found.
+    """(rows, spans): docs with a column key, and key, doc_id, kind, k, start, end, base of every span found.
 
-    docs: doc_id, text and anything else. A null text counts as empty and has no spans; rows that repeat a
-    doc_id are told apart by row. Added spans never overlap a base span of their kind, nor one another of
-    their kind. Row numbers follow the read order of docs, so docs should be a table, not a shuffle's output.
+    docs: doc_id, text and anything else. A null text counts as empty and has no spans. The key is made of
+    the doc_id and a hash of the text, not of the place of a row, so that it is the same in every reading;
+    rows that repeat an id and its text share their spans. Added spans never overlap a base span, nor one
+    another of their kind. An empty table gives no rows.
     """
-    rows = docs.withColumn("row", F.monotonically_increasing_id())
-    narrow = rows.select("row", "doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.withColumn("key", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.hex(F.xxhash64(text))))
+    narrow = rows.select(F.monotonically_increasing_id().alias("row"), "key", "doc_id", text.alias("text"))
     found = cut(_matches(narrow), "pii-matches")
-    base = found.where("base").where(valid(F.col("kind"), F.col("hit"))).select("row", "doc_id", "kind", "k", "start", "end", "base")
+    base = found.where("base").where(valid(F.col("kind"), F.col("hit"))).select("row", "key", "doc_id", "kind", "k", "start", "end", "base")
     cand = found.where("NOT base")
     taken = base.select(F.col("row").alias("base_row"), F.col("start").alias("s"), F.col("end").alias("e"))
     free = cand.join(taken, (F.col("row") == F.col("base_row")) & (F.col("start") < F.col("e")) & (F.col("s") < F.col("end")), "left_anti")
     votes = _votes(free)
     names = list(votes)
-    voted = cut(free.withColumns(votes).select("row", "doc_id", "kind", "k", "start", "end", *names), "pii-votes")
+    voted = cut(free.withColumns(votes).select("row", "key", "doc_id", "kind", "k", "start", "end", *names), "pii-votes")
     counted = [(r.k, tuple(r[n] for n in names), r["count"]) for r in voted.groupBy("k", *names).count().collect()]  # 4 * 3 ** labelers rows at most
     accept = F.lit(False)
     for i in range(len(KINDS)):
@@ -192,8 +194,8 @@ def find_pii(docs: DataFrame, threshold: float = 0.5) -> tuple[DataFrame, DataFr
         if len(w) > 1:
             z = _sum([F.lit(w[0]), *(F.col(n) * F.lit(x) for n, x in zip(names, w[1:], strict=True))])
             accept = accept | ((F.col("k") == i) & (z >= math.log(threshold / (1 - threshold))))
-    added = voted.where(accept).select("row", "doc_id", "kind", "k", "start", "end", F.lit(False).alias("base"))
-    spans = cut(base.union(added), "pii-spans")
+    added = voted.where(accept).select("key", "doc_id", "kind", "k", "start", "end", F.lit(False).alias("base"))
+    spans = cut(base.drop("row").union(added).distinct(), "pii-spans")
     drop(found, voted)
     return rows, spans
 
@@ -209,9 +211,9 @@ def redact(docs: DataFrame, **options) -> DataFrame:
     """
     cols = docs.columns
     rows, spans = find_pii(docs, **options)
-    w = Window.partitionBy("row").orderBy("start", "end", "k").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy("key").orderBy("start", "end", "k").rowsBetween(Window.unboundedPreceding, -1)
     cutting = spans.withColumn("reach", F.coalesce(F.max("end").over(w), F.lit(0)))  # where the text before a span begins
-    per_row = cutting.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind", "reach"))).alias("spans"), F.max("end").alias("last"))
+    per_row = cutting.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind", "reach"))).alias("spans"), F.max("end").alias("last"))
 
     def piece(s: Column) -> Column:
         gap = F.substring(F.col("text"), (s["reach"] + 1).cast("int"), (s["start"] - s["reach"]).cast("int"))
@@ -220,7 +222,7 @@ def redact(docs: DataFrame, **options) -> DataFrame:
     rest = F.substring(F.col("text"), (F.col("last") + 1).cast("int"), F.char_length("text"))
     text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.concat(F.array_join(F.transform("spans", piece), ""), rest))
     few = spans.count() <= BROADCAST_SPANS
-    out = rows.join(F.broadcast(per_row) if few else per_row, "row", "left").withColumn("text", text)
+    out = rows.join(F.broadcast(per_row) if few else per_row, "key", "left").withColumn("text", text)
     if "n_chars" in cols:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*cols)
@@ -229,8 +231,8 @@ def redact(docs: DataFrame, **options) -> DataFrame:
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, spans = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
     one = F.struct("k", "start", "end", "kind", "base")
-    found = spans.groupBy("row").agg(F.sort_array(F.collect_list(one)).alias("spans"))
-    out = rows.select("row", "doc_id").join(found, "row", "left").withColumn("spans", F.coalesce("spans", F.array_compact(F.array(F.lit(None).cast(found.schema["spans"].dataType.elementType)))))
+    found = spans.groupBy("key").agg(F.sort_array(F.collect_list(one)).alias("spans"))
+    out = rows.select("key", "doc_id").join(found, "key", "left").withColumn("spans", F.coalesce("spans", F.array_compact(F.array(F.lit(None).cast(found.schema["spans"].dataType.elementType)))))
     base = F.filter("spans", lambda s: s["base"])
     counts = [F.size(F.filter("spans", partial(lambda kind, s: s["base"] & (s["kind"] == kind), kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
     return out.select("doc_id", *counts, F.sha2(_text_of(base), 256).alias("base_sha256"), _text_of(F.col("spans")).alias("spans"))
