@@ -38,7 +38,10 @@ class Index:
         self.scale = np.maximum(p.std(0), 1e-12)
         self.base = np.arange(directions) * len(vectors)
         order = np.argsort(p, axis=0, kind="stable")
-        self.order = order.T.astype(np.int64).ravel()
+        # the place of each vector in each array: it is in a window if its place less the window's start, as unsigned, is under its width
+        assert len(vectors) < 1 << 16, "a block is too large for its ranks"
+        self.rank = np.empty((directions, len(vectors)), np.uint16)
+        np.put_along_axis(self.rank, order.T, np.arange(len(vectors), dtype=np.uint16)[None], 1)
         # in standard deviations and shifted, so that all directions form one sorted array
         self.middle, reach = p.mean(0), float(np.abs((p - p.mean(0)) / self.scale).max()) + 1
         self.shift = np.arange(directions) * 4 * reach + 2 * reach
@@ -53,17 +56,13 @@ class Index:
             return np.arange(n)
         at = (np.append(query, 0.0) @ self.axes * (self.greatest / np.linalg.norm(query)) - self.middle) / self.scale
         at, need, half = np.clip(at, -self.reach, self.reach) + self.shift, int(np.ceil(threshold * m)), self.start
-        lo = hi = np.searchsorted(self.flat, at)
-        count = np.zeros(n, np.int64)
         while True:
             half = min(half, self.reach)
-            left, right = np.searchsorted(self.flat, at - half), np.searchsorted(self.flat, at + half, "right")
-            left, right = np.maximum(left, self.base), np.minimum(right, self.base + n)
-            # only what the wider windows add is counted
-            count += np.bincount(np.concatenate([self.order[a:b] for a, b in zip(np.append(left, np.maximum(hi, left)), np.append(np.maximum(lo, left), right), strict=True)]), minlength=n)
-            lo, hi = left, right
-            found = np.flatnonzero(count >= need)
-            if len(found) >= least or (right - left == n).all():
+            lo = np.maximum(np.searchsorted(self.flat, at - half), self.base) - self.base
+            hi = np.minimum(np.searchsorted(self.flat, at + half, "right") - self.base, n)
+            inside = self.rank - lo.astype(np.uint16)[:, None] < np.maximum(hi - lo, 0).astype(np.uint16)[:, None]
+            found = np.flatnonzero(inside.view(np.uint8).sum(0, dtype=np.uint8 if m < 256 else np.uint32) >= need)
+            if len(found) >= least or (hi - lo == n).all():
                 return found
             half *= RATIO
 
@@ -95,10 +94,13 @@ def _search(k: int, greatest: float, verify: float):
             index.calibrate(least)
             for q, vector in zip(queries["query"].to_numpy(), queries["embedding"], strict=True):
                 found = index.candidates(np.asarray(vector, np.float64), least)
-                score = (vectors[found] * np.asarray(vector, np.float64)).sum(1)
-                best = found[np.lexsort((ids[found], -score))[:k]]
-                s = (vectors[best] * np.asarray(vector, np.float64)).sum(1)
-                out.append(pd.DataFrame({"query": q, "entry": ids[best], "score": s}))
+                v = np.asarray(vector, np.float64)
+                near = vectors[found] @ v
+                if len(found) > k:  # sums in one fixed order decide; the quick product only drops what can't be among them
+                    found = found[near >= np.partition(near, len(near) - k)[len(near) - k] - 1e-9 * max(1.0, greatest**2)]
+                score = (vectors[found] * v).sum(1)
+                first = np.lexsort((ids[found], -score))[:k]
+                out.append(pd.DataFrame({"query": q, "entry": ids[found[first]], "score": score[first]}))
         return pd.concat(out) if out else pd.DataFrame({"query": np.array([], np.int64), "entry": np.array([], np.int64), "score": np.array([], np.float64)})
 
     return run
