@@ -25,6 +25,7 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,22 +35,48 @@ from millrace.session import cut, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE, UNK_PENALTY, LEAST = "▁", 10.0, -1e8
 #: Characters of a chunk; longer texts are split. Words that a worker remembers.
-CHUNK, MEMO = 32_768, 400_000
+CHUNK, MEMO = 32_768, 300_000
 NONE = -np.inf
 
 
+_KNOWN: dict[tuple, Vocabulary] = {}
+
+
+def _intern(digest: int, *state) -> Vocabulary:
+    """One vocabulary of a kind in a worker, so that the tasks which it runs in turn share the trie and the words."""
+    key = (digest, *state[1:])
+    if key not in _KNOWN:
+        _KNOWN[key] = Vocabulary(*state)
+    return _KNOWN[key]
+
+
 @dataclass
 class Vocabulary:
-    """Pieces with scores, shipped to the workers; tries are built there once."""
+    """Pieces with scores, shipped to the workers; the trie is built there once."""
 
     pieces: list[tuple[str, int, float]]  # piece, id, score
-    byte_ids: list[int]  # ids of the 256 bytes, or empty
+    byte_ids: tuple[int, ...]  # ids of the 256 bytes, or empty
     unk_id: int
     dummy_prefix: bool = True
     memo: dict = field(default_factory=dict)
 
-    def __getstate__(self):
-        return {"pieces": self.pieces, "byte_ids": self.byte_ids, "unk_id": self.unk_id, "dummy_prefix": self.dummy_prefix, "memo": {}}
+    def __reduce__(self):
+        return _intern, (self.digest, self.pieces, tuple(self.byte_ids), self.unk_id, self.dummy_prefix)
+
+    @cached_property
+    def digest(self) -> int:
+        return xxhash.xxh3_64_intdigest(repr(self.pieces).encode())
+
+    @cached_property
+    def scores(self) -> np.ndarray:
+        """By id; a character that no piece covers counts at the first of its bytes."""
+        out = np.zeros(1 + max([i for _, i, _ in self.pieces] + list(self.byte_ids) + [self.unk_id]))
+        for _, i, score in self.pieces:
+            out[i] = score
+        for b, i in enumerate(self.byte_ids):
+            out[i] = 0.0 if 0x80 <= b < 0xC0 else self.unk_score
+        out[self.unk_id] = self.unk_score
+        return out
 
     @cached_property
     def trie(self) -> dict:
@@ -95,7 +122,7 @@ def load(path: str = MODEL) -> Vocabulary:
     normal = [i for i in range(sp.vocab_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
     floor = min(s for i in normal if (s := sp.get_score(i)) > LEAST) - 1
     by_byte = {int(sp.id_to_piece(i)[3:5], 16): i for i in range(sp.vocab_size()) if sp.is_byte(i)}
-    return Vocabulary([(sp.id_to_piece(i), i, max(floor, sp.get_score(i))) for i in normal], [by_byte[b] for b in range(256)] if len(by_byte) == 256 else [], sp.unk_id())
+    return Vocabulary([(sp.id_to_piece(i), i, max(floor, sp.get_score(i))) for i in normal], tuple(by_byte[b] for b in range(256)) if len(by_byte) == 256 else (), sp.unk_id())
 
 
 def prepare(text: str | None, v: Vocabulary) -> str:
@@ -172,11 +199,6 @@ def decode(v: Vocabulary, ids) -> str:
     return text[1:] if v.dummy_prefix and text.startswith(" ") else text
 
 
-def total(v: Vocabulary, prepared: str) -> float:
-    best, _, _ = forward(v, prepared, len(prepared), [0.0])
-    return best[len(prepared)]
-
-
 def cuts(v: Vocabulary, text: str, n: int) -> tuple[int, int] | None:
     """The first and the last place among 0 .. n of a chunk that no piece crosses; none may exist."""
     at = [p for m in v.words.finditer(text) for p in (m.start(),) if 0 < p <= n]
@@ -208,18 +230,8 @@ def transfer(v: Vocabulary, text: str, n: int) -> np.ndarray:
 
 
 def v_score(v: Vocabulary, text: str) -> float:
-    """The best score of a text between two cuts, exact: scores are whole numbers or added in one order."""
-    if "scores" not in v.memo:
-        v.memo["scores"] = {}
-    known, out = v.memo["scores"], 0.0
-    for w in v.words.findall(text):
-        s = known.get(w)
-        if s is None:
-            s = total(v, w)
-            if len(known) < MEMO:
-                known[w] = s
-        out += s
-    return out
+    """The best score of a text between two cuts; scores are whole numbers, so the order of adding does not matter."""
+    return float(v.scores[encode(v, text)].sum())
 
 
 def entries(v: Vocabulary, text: str, n: int, entry: list[float]) -> list[int]:
