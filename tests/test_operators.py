@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +17,14 @@ def test_components_of_paths_and_hubs(spark):
     assert {got[i] for i in range(100, 161)} == {100} and {got[i] for i in range(1, 60)} == {1} and got[71] == 70 and 200 not in got
 
 
+def test_components_of_long_paths(spark):
+    shuffled = random.Random(0).sample(range(600), 600)
+    adverse = [1000, *range(1599, 1000, -1)]
+    edges = [e for path in (shuffled, adverse) for e in zip(path, path[1:])]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(600)} | {i: 1000 for i in range(1000, 1600)}
+
+
 def test_span_limited_union_depends_on_order(spark):
     d = lambda n: dt.date(2021, 1, 1) + dt.timedelta(n)
     spans = spark.createDataFrame([(1, d(0), d(0)), (2, d(40), d(40)), (3, d(80), d(80)), (4, None, None)], "node long, lo date, hi date")
