@@ -3,7 +3,8 @@
 A page is parsed once into blocks. Elements that are never content (navigation, headers and footers of the
 page, forms, scripts, comments of readers ...) are cut by tag, role or the words of their class and id. Of
 the other elements that hold blocks, the hash of each subtree is counted per host in Spark, once a page and
-over distinct pages only; a subtree that recurs on many pages of its host is a template and is deleted.
+over distinct pages only; a subtree on LEAST_PAGES pages of its host, whatever the host's size, is a template
+and is deleted.
 Within an article, paragraphs and headings are never templates: a passage that articles share is text.
 """
 
@@ -22,10 +23,11 @@ from pyspark.sql import functions as F
 from millrace.llm.common import bounded_batches
 from millrace.session import cut, drop, table
 
-#: A template stands on this many distinct pages of its host, and on this share of them.
-LEAST_PAGES, LEAST_SHARE = 8, 0.1
-#: Template rows that are broadcast at most (32 bytes each); with more, they are joined.
-BROADCAST_TEMPLATES = 200_000
+#: A template stands on this many distinct pages of its host.
+LEAST_PAGES = 8
+#: Templates that are broadcast at most (32 bytes each), and those of one host that each of its rows carries at
+#: most; with more of either, each page gets its own templates by a join.
+BROADCAST_TEMPLATES, HOST_TEMPLATES = 200_000, 2_000
 
 # fixed values: HTML's element classes
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -200,7 +202,7 @@ def main_text(root: Node, templates: frozenset[int] | set[int] = frozenset()) ->
 HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
 
 
-def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     """page_id, url and text (the main text, empty if none) of each row of pages (page_id, url, html).
 
     A null html counts as empty. Pages without a host (a null url, a relative one) share the host "". Rows
@@ -222,15 +224,22 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float
                 page += [whole] * len(found)
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(own, pa.int64()), pa.array(page, pa.int64())], ["host", "subtree", "page"])
 
+    def paged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pages_ = pa.array([subtree_hashes(parse(html)) for html in batch.column("html").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pages_], [*batch.schema.names, "page"])
+
     seen = rows.select("host", "html").mapInArrow(subtrees, "host string, subtree long, page long").distinct()
     counts = cut(seen.groupBy("host", "subtree").agg(F.count("*").alias("n")), "html-counts")
-    of_host = counts.where("subtree = 0").select("host", F.col("n").alias("pages"))
-    common = counts.where(F.col("subtree") != 0).join(of_host, "host").where((F.col("n") >= least_pages) & (F.col("n") >= F.col("pages") * least_share))
-    # at most (subtrees of a page) / least_share of them stand on a host, however many pages it has
-    templates = cut(common.groupBy("host").agg(F.sort_array(F.collect_list("subtree")).alias("templates"), F.count("*").alias("n")), "html-templates")
-    total = templates.agg(F.sum("n")).first()[0] or 0
-    joined = rows.join(F.broadcast(templates.drop("n")) if total <= BROADCAST_TEMPLATES else templates.drop("n"), "host", "left")
+    common = cut(counts.where((F.col("subtree") != 0) & (F.col("n") >= least_pages)).select("host", "subtree"), "html-templates")
     drop(counts)
+    total, most = common.groupBy("host").agg(F.count("*").alias("n")).agg(F.sum("n"), F.max("n")).first()
+    listed = F.sort_array(F.collect_list("subtree")).alias("templates")
+    if (total or 0) <= BROADCAST_TEMPLATES and (most or 0) <= HOST_TEMPLATES:
+        joined = rows.join(F.broadcast(common.groupBy("host").agg(listed)), "host", "left")
+    else:
+        own = cut(seen.join(common, ["host", "subtree"]).groupBy("host", "page").agg(listed), "html-own")
+        joined = rows.mapInArrow(paged, rows.schema.simpleString()[7:-1] + ",page:bigint").join(own, ["host", "page"], "left")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

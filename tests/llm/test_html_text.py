@@ -49,3 +49,12 @@ def test_templates(spark):
     assert got[3] == ["Shared passage\n\nown 3"] and got[100] == ["We sell stamps\n\nsolo 0"]
     assert got[200] == [""] and got[201] == ["", ""] and got[None] == ["n"] and got[300] == ["whole page"]
     assert ht.extract(df.limit(0)).count() == 0
+
+
+def test_templates_of_large_hosts(spark, monkeypatch):
+    rows = [(i, f"http://big.example/{i}", f"<body>{'<div>We sell stamps</div>' if i < 9 else '<div>Seven</div>' if i < 16 else ''}<p>own {i}</p></body>") for i in range(100)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {i: f"Seven\n\nown {i}" if 9 <= i < 16 else f"own {i}" for i in range(100)}
+    assert {r.page_id: r.text for r in ht.extract(df).collect()} == want
+    monkeypatch.setattr(ht, "HOST_TEMPLATES", 0)
+    assert {r.page_id: r.text for r in ht.extract(df).collect()} == want
