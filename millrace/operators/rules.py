@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from dataclasses import dataclass
+from itertools import accumulate
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
@@ -99,8 +101,8 @@ RIVER = [r"\b((?:[A-Z][\w'-]+\s+){0,2}[A-Z][\w'-]+)\s+[Rr]iver\b", r"\b[Rr]iver\
 NO_RIVER = frozenset("the a an this that its their swollen main local nearby".split())
 
 
-def entity_spans(text: str | None, lexicon: dict[str, list[str]], limit: int = 3000) -> list[dict]:
-    """STR-17: dates, rivers, words of a lexicon (longest first) and numbers outside dates, with offsets."""
+def entity_spans(text: str | None, lexicon: dict[str, list[str]], limit: int | None = None) -> list[dict]:
+    """STR-17: dates, rivers, words of a lexicon (longest first) and numbers outside dates, with offsets; of the first `limit` characters if it is given."""
     t, out = (text or "")[:limit], []
     add = lambda m, label, g=0: out.append({"text": m[g], "label": label, "start": m.start(g), "end": m.end(g), "confidence": 0.6, "source": "rule"})
     for p in DATES:
@@ -114,9 +116,11 @@ def entity_spans(text: str | None, lexicon: dict[str, list[str]], limit: int = 3
         if words:
             for m in re.finditer(rf"(?i)\b(?:{'|'.join(map(re.escape, sorted(words, key=len, reverse=True)))})\b", t):
                 add(m, label)
-    dates = [(e["start"], e["end"]) for e in out if e["label"] == "DATE"]
+    dates = sorted((e["start"], e["end"]) for e in out if e["label"] == "DATE")
+    ends = list(accumulate((e for _, e in dates), max))
     for m in re.finditer(NUMBER, t):
-        if not any(s < m.end() and m.start() < e for s, e in dates):
+        before = bisect_left(dates, (m.end(),))
+        if not before or ends[before - 1] <= m.start():
             add(m, "NUMBER")
     return dedup_spans(out)
 
@@ -124,9 +128,13 @@ def entity_spans(text: str | None, lexicon: dict[str, list[str]], limit: int = 3
 def dedup_spans(spans: list[dict]) -> list[dict]:
     """STR-18 and JN-14: of the overlapping spans of a label the longest stays (the first of equals); by place, then label."""
     kept: list[dict] = []
+    places: dict[str, list[tuple[int, int]]] = {}  # of the kept spans of a label, which never overlap
     for s in sorted(spans, key=lambda s: (-(s["end"] - s["start"]), s["start"])):
-        if not any(k["label"] == s["label"] and s["start"] < k["end"] and k["start"] < s["end"] for k in kept):
+        own = places.setdefault(s["label"], [])
+        before = bisect_left(own, (s["end"],))
+        if not before or own[before - 1][1] <= s["start"]:
             kept.append(s)
+            insort(own, (s["start"], s["end"]))
     return sorted(kept, key=lambda s: (s["start"], s["label"]))
 
 
