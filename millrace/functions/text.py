@@ -210,8 +210,8 @@ def sentences_any(t: str | None) -> list[str]:
 split_sentences, split_sentences_any = scalar(sentences, "array<string>"), scalar(sentences_any, "array<string>")
 
 
-def passages(text: str | None, target: int = 900, overlap: int = 150, least: int = 200, most: int = 8) -> list[dict]:
-    """STR-11: chunks of whole sentences with an overlap; offsets point into the text; a short tail joins the chunk before."""
+def passages(text: str | None, target: int = 900, overlap: int = 150, least: int = 200, most: int | None = None) -> list[dict]:
+    """STR-11: chunks of whole sentences with an overlap, the first `most` if it is given; offsets point into the text; a short tail joins the chunk before."""
     text = text or ""
     if not text.strip():
         return []
@@ -227,7 +227,7 @@ def passages(text: str | None, target: int = 900, overlap: int = 150, least: int
     for a, b in spans:
         if b - start > target and end > start:
             out.append([start, end])
-            if len(out) >= most:
+            if most is not None and len(out) >= most:
                 break
             start = max(end - overlap, a - overlap, 0, out[-1][0] + 1)
         end = b
@@ -239,7 +239,7 @@ def passages(text: str | None, target: int = 900, overlap: int = 150, least: int
     return [{"start": a, "end": b, "text": text[a:b]} for a, b in out[:most]]
 
 
-def chunk_text(text: Column | str, target: int = 900, overlap: int = 150, least: int = 200, most: int = 8) -> Column:
+def chunk_text(text: Column | str, target: int = 900, overlap: int = 150, least: int = 200, most: int | None = None) -> Column:
     return scalar(lambda t: passages(t, target, overlap, least, most), "array<struct<start:int,end:int,text:string>>")(text)
 
 

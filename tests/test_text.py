@@ -55,6 +55,11 @@ def test_strings():
     assert all(p["end"] - p["start"] <= 260 for p in out) and T.passages("", 9) == []
 
 
+def test_whole_texts_for_passages():
+    long = "Aaaa bbbb cccc dddd. " * 1000
+    assert T.passages(long)[-1]["end"] == len(long.rstrip()) and len(T.passages(long, most=8)) == 8
+
+
 def test_whole_texts_for_entities():
     late = "word " * 1000 + "a flood on 3 May 2021"
     assert [(s["text"], s["start"]) for s in rules.entity_spans(late, {"HAZARD": ["flood"]})] == [("flood", 5002), ("3 May 2021", 5011)]
