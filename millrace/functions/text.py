@@ -297,17 +297,17 @@ FLORES = {
 _SCRIPT_OF = [(n, code, regex.compile(rf"\p{{Script={n}}}")) for n, code in SCRIPTS]
 
 
-def dominant_script(t: str | None) -> str | None:
-    """STR-13: the script of most letters; any kana makes a text Japanese."""
-    sample = (t or "")[:2000]
-    n = {name: len(p.findall(sample)) for name, _, p in _SCRIPT_OF}
+def dominant_script(t: str | None, sample: int | None = None) -> str | None:
+    """STR-13: the script of most letters, of the first `sample` characters if it is given; any kana makes a text Japanese."""
+    t = (t or "")[:sample]
+    n = {name: len(p.findall(t)) for name, _, p in _SCRIPT_OF}
     if n["Hiragana"] or n["Katakana"]:
         return "Hiragana"
     best = max(n, key=n.get)
     return best if n[best] else None
 
 
-detect_script = scalar(dominant_script, "string")
+detect_script = scalar(lambda t: dominant_script(t), "string")
 
 
 def to_flores(code: Column | str, text: Column | str | None = None, table: dict[str, str] = FLORES) -> Column:
@@ -327,11 +327,11 @@ STOPWORDS = {
 }
 
 
-def guess_language(t: str | None, least: int = 20) -> str | None:
-    """STR-15's fallback: the language with most stop words in the first 2,000 characters."""
+def guess_language(t: str | None, least: int = 20, sample: int | None = None) -> str | None:
+    """STR-15's fallback: the language with most stop words, in the first `sample` characters if it is given."""
     if not t or len(t.strip()) < least:
         return None
-    words = re.findall(r"\w+", t[:2000].lower())
+    words = re.findall(r"\w+", t[:sample].lower())
     n = {k: sum(w in s for w in words) for k, s in ((k, set(s.split())) for k, s in STOPWORDS.items())}
     best = max(sorted(n), key=n.get)
     return best if n[best] else None
@@ -339,7 +339,7 @@ def guess_language(t: str | None, least: int = 20) -> str | None:
 
 def detect_language(text: Column | str, declared: Column | str | None = None) -> Column:
     """STR-15: the declared language if there is one, else a guess from the text."""
-    guess = scalar(guess_language, "string")(text)
+    guess = scalar(lambda t: guess_language(t), "string")(text)
     return F.coalesce(F.nullif(F.lower(F.trim(c(declared))), F.lit("")), guess) if declared is not None else guess
 
 

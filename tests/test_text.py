@@ -65,6 +65,11 @@ def test_whole_texts_for_entities():
     assert [(s["text"], s["start"]) for s in rules.entity_spans(late, {"HAZARD": ["flood"]})] == [("flood", 5002), ("3 May 2021", 5011)]
 
 
+def test_whole_texts_for_scripts_and_languages():
+    assert T.dominant_script("a" * 2500 + "б" * 3000) == "Cyrillic" and T.dominant_script("漢" * 2500 + "か") == "Hiragana"
+    assert T.guess_language("the of and " * 200 + "der die das " * 400) == "de"
+
+
 def test_values(spark):
     v = spark.createDataFrame([("at least 1,200", "2021-02-30", "12.3k"), ("two", "2021-05-00", "7"), ("+14", "2021-05-01T10", None), ("true", "May", "2M")], "n string, d string, h string")
     got = v.select(V.to_number("n").alias("n"), V.as_number("n").alias("a"), V.parse_iso("d").alias("d"), V.date_quality("d").alias("q"), V.unhuman("h").alias("h")).collect()
