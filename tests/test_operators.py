@@ -1,12 +1,16 @@
 import datetime as dt
 import json
+import math
 import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import grounding, mentions, metrics, relational, search, vector
 from millrace.operators.graph import connected_components
+from millrace.plans import documents
 from millrace.sources import files, sinks
 from millrace.streaming import live
 
@@ -91,6 +95,23 @@ def test_search(spark):
     assert ev[1] == "b\nc\nd" and ev[2] == "head"
 
 
+def test_every_benchmark_item_searches(spark, sf):
+    words = lambda t: re.findall("[a-z0-9]+", t.lower())
+    docs = {r.doc_id: Counter(words(r.text)) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    items = {r.item_id: set(words(r.text)) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    df = Counter(w for d in docs.values() for w in d if any(w in q for q in items.values()))
+    idf = {w: math.log((len(docs) - n + 0.5) / (n + 0.5)) for w, n in df.items()}
+    low = 0.25 * sum(idf.values()) / len(idf)
+    mean = sum(d.total() for d in docs.values()) / len(docs)
+    want = {}
+    for i, q in items.items():
+        score = lambda d: sum((idf[w] if idf[w] >= 0 else low) * d[w] * 2.5 / (d[w] + 1.5 * (0.25 + 0.75 * d.total() / mean)) for w in q if w in d)  # noqa: B023, E731
+        best = sorted((-round(score(d), 9), k) for k, d in docs.items())[:20]
+        want |= {(i, n): -s for n, (s, _) in enumerate(best, 1) if s < 0}
+    got = {(r.query_id, r["rank"]): r.score for r in documents.bm25_topk(spark, sf).collect()}
+    assert len(items) > 8 and got == pytest.approx(want, abs=2e-6)
+
+
 def test_relational(spark):
     p = spark.createDataFrame([("a/z.json",), ("a/b/c.json",), ("a/b.json",)], "p string")
     assert [r.p for r in p.orderBy(relational.path_order(F.col("p"))).collect()] == ["a/b.json", "a/z.json", "a/b/c.json"]
