@@ -26,9 +26,9 @@ def token_support(text: Column, phrase: Column) -> Column:
     return F.when(F.size(words) > 0, F.size(held) / F.size(words)).otherwise(0.0)
 
 
-def ground(assertions: DataFrame, ratio: float = 0.6, window: int = 160, head: int = 20_000) -> DataFrame:
-    """CMP-3: grounded, method, token_ratio and evidence of assertions (uid, field, kind number/date/text, value, text)."""
-    text = F.substring("text", 1, head)
+def ground(assertions: DataFrame, ratio: float = 0.6, window: int = 160, head: int | None = None) -> DataFrame:
+    """CMP-3: grounded, method, token_ratio and evidence of assertions (uid, field, kind number/date/text, value, text), in the first `head` characters if it is given."""
+    text = F.col("text") if head is None else F.substring("text", 1, head)
     forms = (
         F.when(F.col("kind") == "number", number_surface_forms(F.col("value").try_cast("double")))
         .when(F.col("kind") == "date", date_surface_forms(F.try_to_date("value", "yyyy-MM-dd"))).otherwise(F.array("value"))

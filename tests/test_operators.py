@@ -68,6 +68,12 @@ def test_grounding(spark):
     assert {r.field: r.support for r in grounding.support_rates(grounding.ground(df)).collect()}["deaths"] == 0.5
 
 
+def test_grounding_reads_whole_texts(spark):
+    df = spark.createDataFrame([("a", "f", "quote", "levee", "word " * 5000 + "levee")], "uid string, field string, kind string, value string, text string")
+    r = grounding.ground(df).first()
+    assert r.grounded and r.method == "exact" and "levee" in r.evidence
+
+
 def test_geocoding(spark):
     g = spark.createDataFrame(
         [(1, "Pune", ["Poona"], "IN", 3_000_000, 18.5, 73.8, "point"), (2, "Springfield", [], "US", 150_000, 37.2, -93.3, "point"), (3, "Springfield", [], "US", 110_000, 39.8, -89.6, "point"), (4, "India", [], "IN", 10**9, 20.0, 77.0, "country"), (5, "Paris", [], "FR", 2_000_000, 48.8, 2.3, "point"), (6, "Paris", [], "US", 20_000, 33.6, -95.5, "point")],
