@@ -1,12 +1,13 @@
 """Benchmark decontamination by a prefix-filtered set join, in DataFrame functions alone.
 
 An item's windows are its runs of ``size`` consecutive words (all its words, if it has fewer). Windows are
-seen as sets of shingles of five words (of all words, in a window of fewer). One pass over the documents
-finds where shingles of the benchmark occur; their counts give the order by rarity. As a document must
-hold all shingles of a window, the necessary prefix is its rarest shingle: only that one is joined. The
-offset of the shingle gives the positional bound (the window would begin at position - offset, not before
-the first word), the length bound is that it ends within the document; then the words of the window are
-compared one by one with those of the document.
+seen as sets of shingles of five words (of all words, in a window of fewer). A first pass over the documents
+counts where shingles of the benchmark occur, combined before the shuffle; the counts give the order by
+rarity. As a document must hold all shingles of a window, the necessary prefix is its rarest shingle, and a
+window with a shingle that occurs nowhere is out. The second pass joins the documents with these prefixes
+only. The offset of the shingle gives the positional bound (the window would begin at position - offset, not
+before the first word), the length bound is that it ends within the document; then the words of the window
+are compared one by one with those of the document, in the same stage.
 """
 
 from __future__ import annotations
@@ -21,8 +22,11 @@ from millrace.session import cut, drop, table
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SIZE, SHINGLE = 10, 5
-#: Shingles of the benchmark that are broadcast at most (16 bytes each, 16 MB); with more, positions are shuffled.
-BROADCAST_SHINGLES = 1_000_000
+#: Shingles (16 bytes each) and prefixes with their windows (200 bytes each) that are broadcast at most.
+BROADCAST_SHINGLES, BROADCAST_WINDOWS = 1_000_000, 100_000
+#: Beyond that, positions pass a filter of 2 ** SLOT_BITS times 64 bits, a broadcast of fixed size, before they are shuffled.
+SLOT_BITS = 20
+OWN = -1  # the key of position 0, which stands for the row itself
 
 
 def words(text: Column) -> Column:
@@ -31,9 +35,11 @@ def words(text: Column) -> Column:
 
 def windows(benchmark: DataFrame, size: int) -> DataFrame:
     """Distinct windows: window (words), len, items (ids as strings); the number of windows is that of the items' words."""
-    w = benchmark.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w")).where("item IS NOT NULL AND size(w) > 0")
+    w = benchmark.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w"))
+    w = w.where("item IS NOT NULL AND size(w) > 0")
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - (size - 1)))
-    return w.select("item", "w", F.explode(starts).alias("s")).select("item", F.slice("w", F.col("s"), F.lit(size)).alias("window")).distinct()
+    each = w.select("item", "w", F.explode(starts).alias("s"))
+    return each.select("item", F.slice("w", F.col("s"), F.lit(size)).alias("window")).distinct()
 
 
 def _hash(w: Column, k: int, i: Column) -> Column:
@@ -42,17 +48,54 @@ def _hash(w: Column, k: int, i: Column) -> Column:
 
 
 def _shingles(win: DataFrame, lengths: list[int]) -> DataFrame:
-    """window_id, len, window, offset, k, shingle: all shingles of each window."""
+    """window_id, window, offset, k, shingle: all shingles of each window."""
     parts = []
     for k in lengths:
         own = win.where(F.col("k") == k)
-        parts.append(own.select("*", F.explode(F.sequence(F.lit(0), F.size("window") - k)).alias("offset")).withColumn("shingle", _hash(F.col("window"), k, F.col("offset"))))
+        each = own.select("*", F.explode(F.sequence(F.lit(0), F.size("window") - k)).alias("offset"))
+        parts.append(each.withColumn("shingle", _hash(F.col("window"), k, F.col("offset"))))
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)
     return out
 
 
+def _of_words(w: Column, k: int) -> Column:
+    """OWN, then the hash of every run of k words."""
+    hashes = F.transform(F.sequence(F.lit(0), F.size(w) - k), partial(_hash, w, k))
+    own = F.array(F.lit(OWN).cast("long"))
+    return F.when(F.size(w) >= k, F.concat(own, hashes)).otherwise(own)
+
+
+def _positions(docs: DataFrame, lengths: list[int]) -> DataFrame:
+    """row, doc_id, w, k_at, at, shingle of every position (from 1) of every text; position 0 stands for the row.
+
+    A text is split into words once, whatever the optimiser does: the words are bound to the variable of a
+    lambda, they stand in one projection with the running number (nothing is pushed below that), and the
+    outer explode infers no filter that would compute them again.
+    """
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words(F.col("text")).alias("w"))
+    bound = F.get(F.transform(F.array("w"), lambda w: F.array(*[_of_words(w, k) for k in lengths])), F.lit(0))
+    hashed = rows.select("row", "doc_id", "w", bound.alias("hs"))
+    if len(lengths) == 1:
+        hashed = hashed.select("row", "doc_id", "w", F.lit(0).alias("k_at"), F.get("hs", F.lit(0)).alias("hs"))
+    else:
+        hashed = hashed.select("row", "doc_id", "w", F.posexplode_outer("hs").alias("k_at", "hs"))
+    return hashed.select("row", "doc_id", "w", "k_at", F.posexplode_outer("hs").alias("at", "shingle"))
+
+
+def _slot(h: Column) -> tuple[Column, Column]:
+    return h.bitwiseAND(F.lit((1 << SLOT_BITS) - 1)), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(h, SLOT_BITS), F.lit(64)).cast("int"))
+
+
+def _may_be(each: DataFrame, keys: DataFrame) -> DataFrame:
+    """The positions whose shingle may be one of keys: a filter of fixed size, so its broadcast never grows."""
+    slot, bit = _slot(F.col("shingle"))
+    bits = keys.groupBy(slot.alias("slot")).agg(F.bit_or(bit).alias("bits"))  # 2 ** SLOT_BITS rows at most
+    near = each.withColumn("slot", slot).join(F.broadcast(bits), "slot")
+    return near.where(F.col("bits").bitwiseAND(bit) != 0).drop("slot", "bits")
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and items (ids) for each row of docs.
 
@@ -64,57 +107,64 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE,
     distinct = per_item.select("window").distinct().withColumn("window_id", F.monotonically_increasing_id())
     win = cut(distinct.withColumn("k", F.least(F.size("window"), F.lit(shingle))), "dc-windows")
     lengths = sorted(r.k for r in win.select("k").distinct().collect())  # shingle at most
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    rows = numbered.select("row", "doc_id", words(F.col("text")).alias("w"))
     if not lengths:
-        found = rows.select("doc_id", F.size("w").cast("long").alias("n_words"))
+        drop(per_item, win)
+        found = docs.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"))
         return _result(found.withColumns({"n_hit": F.lit(None).cast("long"), "items": F.lit(None).cast("array<string>")}))
+
     shingles = cut(_shingles(win, lengths), "dc-shingles")
-    wanted = shingles.select("shingle", F.lit(1).alias("n")).distinct()
-    n = wanted.count()
-    reach = size - min(lengths)
-    if n > BROADCAST_SHINGLES:  # the texts are read twice: their numbers must be data by then
-        rows = cut(numbered, "dc-rows").select("row", "doc_id", words(F.col("text")).alias("w"))
-
-    # position 0 carries the row itself, so that one pass gives the counts of words too
-    per_k = [F.transform(F.sequence(F.lit(0), F.size("w") - k), partial(_hash, F.col("w"), k)) for k in lengths]
-    per_k = [F.when(F.size("w") >= k, h).otherwise(F.array().cast("array<long>")) for h, k in zip(per_k, lengths, strict=True)]
-    own = F.lit(-1).cast("long")
-    per_k = [F.concat(F.array(own), h) for h in per_k]
-    if len(per_k) == 1:
-        hashed = rows.select("row", "doc_id", "w", F.lit(0).alias("k_at"), per_k[0].alias("hs"))
+    wanted = shingles.select("shingle").distinct()
+    each = _positions(docs, lengths)
+    light = each.where("at > 0").select("shingle")
+    if wanted.count() <= BROADCAST_SHINGLES:
+        occurring = light.join(F.broadcast(wanted), "shingle").groupBy("shingle").agg(F.count("*").alias("count"))
     else:
-        hashed = rows.select("row", "doc_id", "w", F.posexplode(F.array(*per_k)).alias("k_at", "hs"))
-    each = hashed.select("row", "doc_id", "k_at", "w", F.posexplode("hs").alias("at", "shingle"))
-    keys = wanted.select("shingle").union(docs.sparkSession.range(1).select(own.alias("shingle"))).distinct()
-    first = F.greatest(F.col("at") - 1 - reach, F.lit(0))
-    context = F.when(F.col("at") > 0, F.slice("w", first + 1, F.lit(size + reach)))
-    n_words = F.when(F.col("at") == 0, F.size("w").cast("long")).alias("n_words")
-    if n <= BROADCAST_SHINGLES:
-        # explode, join and slice run as one generated stage: the words are copied for found positions only
-        hits = each.join(F.broadcast(keys), "shingle").select("row", "doc_id", "k_at", "at", "shingle", first.alias("first"), context.alias("context"), n_words)
-    else:
-        light = each.select("row", "k_at", "at", "shingle").join(keys, "shingle")
-        hits = light.join(rows, "row").select("row", "doc_id", "k_at", "at", "shingle", first.alias("first"), context.alias("context"), n_words)
-    hits = cut(hits, "dc-hits")
-    found = hits.where("at > 0")
+        occurring = _may_be(light, wanted).groupBy("shingle").agg(F.count("*").alias("count")).join(wanted, "shingle")
+    counts = cut(occurring, "dc-counts")
 
-    counts = found.groupBy("shingle").agg(F.count("*").alias("count"))
-    by_rarity = shingles.join(counts, "shingle").groupBy("window_id").agg(F.min(F.struct("count", "shingle", "offset")).alias("p"), F.count("*").alias("held"))
+    rarest = F.min(F.struct("count", "shingle", "offset")).alias("p")
+    held = shingles.join(counts, "shingle").groupBy("window_id").agg(rarest, F.count("*").alias("held"))
+    whole = shingles.groupBy("window_id").agg(F.count("*").alias("all"), F.first("window").alias("window"))
     # a window of which some shingle occurs nowhere can't occur
-    complete = by_rarity.join(shingles.groupBy("window_id").agg(F.count("*").alias("all"), F.first("window").alias("window")), "window_id").where("held = all")
-    prefix = complete.select("window_id", "window", F.col("p.shingle").alias("shingle"), F.col("p.offset").alias("offset"))
-    start = F.col("at") - 1 - F.col("offset")
-    bounded = found.join(prefix, "shingle").withColumn("start", start).where("start >= 0 AND start >= first")
-    exact = bounded.where(F.slice("context", F.col("start") - F.col("first") + 1, F.size("window")) == F.col("window"))
-    matches = cut(exact.select("row", "window_id", "start", F.size("window").alias("len")).distinct(), "dc-matches")
-
-    hit = matches.select("row", F.explode(F.sequence("start", F.col("start") + F.col("len") - 1)).alias("at")).distinct().groupBy("row").agg(F.count("*").alias("n_hit"))
+    complete = held.join(whole, "window_id").where("held = all")
+    prefix = cut(complete.select("window_id", "window", "p.shingle", "p.offset"), "dc-prefix")
+    found = cut(_matches(each, prefix, size), "dc-hits")
+
+    matches = found.where("window_id IS NOT NULL").select("row", "window_id", "start", "len")
+    spots = matches.select("row", F.explode(F.sequence("start", F.col("start") + F.col("len") - 1)).alias("at"))
+    hit = spots.distinct().groupBy("row").agg(F.count("*").alias("n_hit"))
     ids = per_item.join(win, "window").select("window_id", "item")
     items = matches.select("row", "window_id").distinct().join(ids, "window_id").select("row", "item").distinct()
-    items = items.groupBy("row").agg(F.sort_array(F.collect_list("item")).alias("items"))
-    base = hits.where("at = 0 AND k_at = 0").select("row", "doc_id", "n_words")
-    return _result(base.join(hit, "row", "left").join(items, "row", "left"))
+    items = items.groupBy("row").agg(F.sort_array(F.collect_list("item")).alias("items"))  # the benchmark's items at most
+    base = found.where("window_id IS NULL").select("row", "doc_id", "n_words")
+    out = cut(_result(base.join(hit, "row", "left").join(items, "row", "left")), "dc-result")
+    drop(per_item, win, shingles, counts, prefix, found)
+    return out
+
+
+def _matches(each: DataFrame, prefix: DataFrame, size: int) -> DataFrame:
+    """row, doc_id and n_words of every row (window_id null), and row, window_id, start, len of every match."""
+    spark, own = each.sparkSession, F.lit(OWN).cast("long")
+    null = {c: F.lit(None).cast(prefix.schema[c].dataType) for c in ("window_id", "window", "offset")}
+    mark = spark.range(1).select(*[x.alias(c) for c, x in null.items()], own.alias("shingle"))
+    keys = prefix.select(*null, "shingle").union(mark)
+    start, length = F.col("at") - 1 - F.col("offset"), F.size("window")
+    if prefix.count() <= BROADCAST_WINDOWS:
+        # split, hash, explode, join and compare run as one stage; the words themselves are never written
+        joined = each.join(F.broadcast(keys), "shingle").withColumns({"first": F.lit(0), "n_words": F.size("w").cast("long")})
+    else:
+        reach = size - 1
+        first = F.greatest(F.col("at") - 1 - reach, F.lit(0))
+        context = F.when(F.col("at") > 0, F.slice("w", first + 1, F.lit(size + reach)))
+        near = _may_be(each, keys.select("shingle"))
+        near = near.select("row", "doc_id", "k_at", "at", "shingle", first.alias("first"), F.size("w").cast("long").alias("n_words"), context.alias("w"))
+        # the number of a row is data from here on; a shingle that very many documents hold is split by AQE
+        joined = cut(near, "dc-near").join(keys, "shingle")
+    row = (F.col("at") == 0) & (F.col("k_at") == 0)
+    equal = F.slice("w", start - F.col("first") + 1, F.greatest(length, F.lit(0))) == F.col("window")
+    bounded = (start >= 0) & (start + length <= F.col("n_words"))
+    match = F.when(F.col("window_id").isNotNull() & bounded, equal).otherwise(False)
+    return joined.where(row | match).select("row", "doc_id", "n_words", "window_id", start.alias("start"), length.alias("len"))
 
 
 def _result(found: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -45,6 +46,8 @@ def test_equals_brute_force(spark, sf):
 def test_edges(spark, monkeypatch, broadcast):
     if not broadcast:
         monkeypatch.setattr(dc, "BROADCAST_SHINGLES", 0)
+        monkeypatch.setattr(dc, "BROADCAST_WINDOWS", 0)
+        monkeypatch.setattr(dc, "SLOT_BITS", 6)
     rnd = random.Random(4)
     some = lambda n: " ".join(rnd.choice("ab cd ef gh é Z1".split()) for _ in range(n))
     items = [(1, some(14)), (2, "one"), (3, "two Words"), (4, "a b c d e f g"), (5, None), (6, "!!"), (None, "lost item"), (7, some(30)), (1, "again one"), (9, "É x")]
@@ -55,3 +58,15 @@ def test_edges(spark, monkeypatch, broadcast):
     assert got(dc.find_contamination(d, b)) == brute(docs, items)
     assert got(dc.find_contamination(d, b.limit(0))) == brute(docs, [])
     assert dc.find_contamination(d.limit(0), b).count() == 0
+
+
+def test_a_long_text_is_split_once(spark):
+    """The time grows with the length of a text, not with its square."""
+    rnd = random.Random(9)
+    text = " ".join(f"w{rnd.randrange(5000)}" for _ in range(60_000))
+    item = " ".join(text.split()[31_000:31_012])
+    docs = spark.createDataFrame([(1, text), (2, "w1 w2")], "doc_id long, text string")
+    items = spark.createDataFrame([(5, item)], "item_id long, text string")
+    began = time.time()
+    assert got(dc.find_contamination(docs, items)) == brute([(1, text), (2, "w1 w2")], [(5, item)])
+    assert time.time() - began < 60
