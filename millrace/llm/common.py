@@ -17,9 +17,14 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def bounded_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Few rows to an Arrow batch, because texts can be very long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+#: Rows and bytes of an Arrow batch, alike for every operator: the option acts when a plan runs, so the last one set decides.
+BATCH_ROWS, BATCH_BYTES = 500, 32 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Few rows and bytes to an Arrow batch, because texts can be very long; a row longer than that goes alone."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
@@ -37,3 +42,18 @@ def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], sche
 def held_out(doc_id: Column) -> Column:
     """Rows whose crc32(doc_id as text) mod 4 is 2: no model learns from them. A null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def row_key(docs: DataFrame) -> list[Column]:
+    """Two long columns that tell (doc_id, text) of a row apart from any other: ids can be null, or stand for two texts."""
+    text, name = F.coalesce(F.col("text").cast("string"), F.lit("")), F.col("doc_id").cast("string")
+    who = (F.coalesce(name, F.lit("")), F.col("doc_id").isNull(), F.col("text").isNull())
+    return [F.xxhash64(text, *who), F.xxhash64(*who, F.crc32(text.cast("binary")), F.octet_length(text))]
+
+
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that df does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem

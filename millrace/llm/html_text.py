@@ -208,7 +208,7 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     A null html counts as empty. Pages without a host (a null url, a relative one) share the host "". Rows
     that repeat count as one page in the search for templates and each give a row. An empty table gives none.
     """
-    bounded_batches(pages.sparkSession, 200)
+    bounded_batches(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1))
     rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host.alias("host"))
 

@@ -6,14 +6,17 @@ choose one of 128 buckets and the least remaining value of each bucket is kept a
 the next full one. Bands of 4 registers are the LSH keys. Candidates of a bucket pass the estimate
 (equal registers less the expected accidental collisions) and are then verified on their full sets.
 
-Work is kept linear in the size of a group of copies:
+Work grows with the pairs that are likely, not with the square of a group of copies:
 * equal sets form one class first (an aggregate with map-side combine), and one text stands for it;
-* every band pairs its members with one leader, chosen anew for each band, so m members give at most
-  32 m pairs and never m * m;
-* each member is verified against its likeliest leader first, and components are computed; two members of
-  one component need no comparison, as their link would change nothing;
-* likely pairs span clusters; in a cluster of several components, those outside the largest one are compared
-  with all members in blocks, each block a task that returns pairs of components, never pairs of texts.
+* every band pairs its members with one leader, chosen anew for each band; each member is verified against its
+  likeliest leader, and components are computed; two members of one component need no comparison;
+* a bucket that still holds several components is split by length class (sizes with a ratio under the wanted
+  similarity never meet, exactly), and all its pairs of different components are compared: by a join where few
+  rows share it, else in blocks of those outside its largest component against all, on their registers. Texts
+  of such a crowd with more shingles of their own than any partner could leave unmatched are out beforehand.
+  So no leader hides a pair: each pair that shares a band is either in one component or compared;
+* the likely pairs that are left are verified one by one, or, where a cluster is dense with them, in blocks of
+  texts, each block a task that returns pairs of components, never pairs of texts.
 """
 
 from __future__ import annotations
@@ -34,6 +37,12 @@ BANDS = BUCKETS // ROWS
 ZERO_BITS, MANTISSA = 6, 10
 #: Texts of a block, and shingles of one piece of its matrices.
 BLOCK, COLUMNS = 512, 8192
+#: Shingles that a block of texts holds, in expectation (16 MB).
+BLOCK_SHINGLES = 2_000_000
+#: Members of a bucket and length class that a join pairs; with more they are compared in blocks of CROWD registers.
+FEW, CROWD = 64, 1024
+#: Likely pairs from which a cluster can be dense, and the share of all its comparisons that they must be.
+DENSE_PAIRS, DENSE = 2000, 1 / 8
 #: Ids that are broadcast at most (16 bytes each); beyond it the texts are shuffled.
 BROADCAST_IDS = 500_000
 _P = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -101,7 +110,7 @@ def least_estimate(n_a: np.ndarray, n_b: np.ndarray, similarity: float) -> np.nd
 
 
 def _signatures(batch: pa.RecordBatch) -> pa.RecordBatch:
-    n, hi, lo, regs, th = [], [], [], [], []
+    n, hi, lo, regs, th, size = [], [], [], [], [], []
     for t in batch.column("text").cast(pa.binary()).to_pylist():
         s = shingle_set(t)
         d = xxhash.xxh3_128_intdigest(s.tobytes())
@@ -110,8 +119,10 @@ def _signatures(batch: pa.RecordBatch) -> pa.RecordBatch:
         lo.append((d & (1 << 64) - 1) - (1 << 63))
         regs.append(compress(registers(s)).tobytes() if len(s) else None)
         th.append((xxhash.xxh64_intdigest(t or b"", seed=42) + (1 << 63)) % (1 << 64) - (1 << 63))  # Spark's xxhash64(text)
-    cols = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(regs, pa.binary()), pa.array(th, pa.int64())]
-    return pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "h1", "h2", "regs", "text_hash"])
+        size.append(len(t or b""))
+    longs = [pa.array(x, pa.int64()) for x in (n, hi, lo, th, size)]
+    names = ["n_shingles", "h1", "h2", "text_hash", "text_size"]
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), *longs, pa.array(regs, pa.binary())], ["doc_id", *names, "regs"])
 
 
 def _bands(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -157,17 +168,26 @@ def _with_registers(pairs: DataFrame, classes: DataFrame, similarity: float) ->
     return map_arrow(pairs, _estimates(similarity), "a long, b long, est double")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar; each class's text is fetched once by its doc_id and text hash."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    ids = cut(classes.join(ends, "node", "left_semi").select("node", F.col("rep.doc_id").alias("doc_id"), F.col("rep.text_hash").alias("text_hash")), "nd-ids")
+def _texts(nodes: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
+    """node and text of the classes; a class's text is fetched by its hash and size, and once."""
+    ids = classes.join(nodes.select("node").distinct(), "node", "left_semi").select("node", "rep.text_hash", "rep.text_size")
+    ids = cut(ids, "nd-ids")
+    text = F.coalesce("text", F.lit(""))
+    hashed = rows.select("text", F.xxhash64(text).alias("text_hash"), F.octet_length(text).cast("long").alias("text_size"))
     few = ids.count() <= BROADCAST_IDS
-    hashed = rows.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    kept = cut(hashed.join(F.broadcast(ids) if few else ids, ["doc_id", "text_hash"]).select("node", "text").dropDuplicates(["node"]), "nd-texts")
+    found = hashed.join(F.broadcast(ids) if few else ids, ["text_hash", "text_size"]).select("node", "text")
+    out = cut(found.dropDuplicates(["node"]), "nd-texts")
+    drop(ids)
+    return out
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar."""
+    kept = _texts(pairs.select(F.explode(F.array("a", "b")).alias("node")), classes, rows)
     for c in "ba":
         pairs = pairs.join(kept.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")), c)
-    out = cut(map_arrow(pairs, _verify(percent), "a long, b long"), "nd-links")
-    drop(ids, kept)
+    out = cut(map_arrow(pairs.select("a", "b", "text_a", "text_b"), _verify(percent), "a long, b long"), "nd-links")
+    drop(kept)
     return out
 
 
@@ -199,48 +219,153 @@ def _across(percent: int):
     return run
 
 
+def _own(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """node and shingle of every text of a batch."""
+    sets = [shingle_set(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+    nodes = np.repeat(batch.column("node").to_numpy(), [len(s) for s in sets])
+    shingles = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(shingles, pa.int64())], ["node", "shingle"])
+
+
+def _compare(similarity: float):
+    """Likely pairs of different components in one block of strangers and members of a bucket, on their registers."""
+
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = []
+        for side in (pdf[pdf["stranger"]], pdf[~pdf["stranger"]]):
+            regs = np.frombuffer(b"".join(side["regs"]), np.uint16).reshape(-1, BUCKETS)
+            parts.append((side["node"].to_numpy(), side["comp"].to_numpy(), side["n"].to_numpy(), side["free"].to_numpy(), side["home"].to_numpy(), regs))
+        (a, comp_a, n_a, free_a, home_a, regs_a), (b, comp_b, n_b, free_b, home_b, regs_b) = parts
+        x, y = np.nonzero((comp_a[:, None] != comp_b[None]) & (home_a[:, None] | home_b[None]))
+        # what both have in common is bounded by what either shares with anyone
+        most = np.minimum(free_a[x], free_b[y])
+        ok = most >= similarity * (n_a[x] + n_b[y] - most) - 1e-9
+        x, y, out = x[ok], y[ok], []
+        for at in range(0, len(x), 1 << 16):
+            i, j = x[at : at + (1 << 16)], y[at : at + (1 << 16)]
+            est = estimate(regs_a[i], regs_b[j], n_a[i], n_b[j])
+            keep = est >= least_estimate(n_a[i], n_b[j], similarity)
+            out.append(np.column_stack([a[i[keep]], b[j[keep]]]))
+        found = np.unique(np.sort(np.concatenate(out), axis=1), axis=0) if out else np.empty((0, 2), np.int64)
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return run
+
+
+def _hidden_pairs(mates: DataFrame, comps: DataFrame, classes: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """Likely pairs (a, b) of different components among all that share a bucket, not only those with its leader."""
+    # similar sizes are in one class or in neighbouring ones; the margin is for rounding
+    width = -float(np.log(similarity)) * (1 + 1e-6)
+    length = F.floor(F.log(F.col("n_shingles").cast("double")) / F.lit(width)).cast("int")
+    placed = mates.select("bucket", "node").join(classes.select("node", F.col("n_shingles").alias("n")), "node")
+    placed = placed.join(comps, "node", "left").withColumnRenamed("n", "n_shingles")
+    home, guest = F.struct(length.alias("length"), F.lit(True).alias("home")), F.struct((length + 1).alias("length"), F.lit(False).alias("home"))
+    placed = placed.select("bucket", "node", "n_shingles", F.coalesce("component", "node").alias("comp"), F.explode(F.array(home, guest)).alias("at"))
+    placed = cut(placed.select("bucket", "at.length", "at.home", "node", "n_shingles", "comp"), "nd-placed")
+
+    sizes = placed.groupBy("bucket", "length", "comp").agg(F.count("*").alias("n"), F.max("home").alias("home"))
+    open_ = sizes.groupBy("bucket", "length").agg(
+        F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("members"), F.count("*").alias("comps"), F.max("home").alias("homes")
+    )
+    open_ = open_.where("comps > 1 AND homes").select("bucket", "length", "members", F.col("main.n").alias("most"), F.col("main.comp").alias("main"))
+    open_ = cut(open_, "nd-open")
+    few = open_.count() <= BROADCAST_IDS
+    left = placed.join(F.broadcast(open_) if few else open_, ["bucket", "length"])
+    left = cut(left, "nd-left")
+
+    # a bucket of few: its rows meet in a join that gives at most FEW for each
+    small = left.where(F.col("members") <= FEW)
+    x, y = (small.select("bucket", "length", *[F.col(c).alias(f"{c}_{i}") for c in ("node", "n_shingles", "comp", "home")]) for i in (1, 2))
+    ratio = F.least("n_shingles_1", "n_shingles_2") >= F.lit(similarity) * F.greatest("n_shingles_1", "n_shingles_2") - 1e-9
+    met = x.join(y, ["bucket", "length"]).where("node_1 < node_2 AND comp_1 <> comp_2 AND (home_1 OR home_2)").where(ratio)
+    pairs = cut(met.select(F.col("node_1").alias("a"), F.col("node_2").alias("b")).distinct(), "nd-met")
+    likely = _with_registers(pairs, classes, similarity).select("a", "b")
+
+    crowd = left.where(F.col("members") > FEW)
+    nodes = cut(crowd.select("node").distinct(), "nd-crowd")
+    made = [placed, open_, left, pairs, nodes]
+    if not nodes.isEmpty():
+        texts = _texts(nodes, classes, rows)
+        own = map_arrow(texts, _own, "node long, shingle long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"))
+        own = own.where("n = 1").groupBy("node").agg(F.count("*").alias("own"))
+        free = F.col("n_shingles") - F.coalesce("own", F.lit(0))
+        able = nodes.join(classes.select("node", "n_shingles", "regs"), "node").join(own, "node", "left").select("node", "regs", free.alias("free"), "n_shingles")
+        able = cut(able.where(free >= F.lit(similarity) * F.col("n_shingles") - 1e-9).drop("n_shingles"), "nd-able")
+        each = crowd.join(able, "node").select("bucket", "length", "home", "node", "comp", "main", F.col("n_shingles").alias("n"), "free", "regs", "members", "most")
+        at = [F.ceil(n / CROWD).cast("int") for n in (F.col("members"), F.col("members") - F.col("most"))]
+        blocks = _blocks(each, at, F.col("comp") != F.col("main"), ["bucket", "length"], ["home", "node", "comp", "n", "free", "regs"])
+        found = blocks.groupBy("bucket", "length", "at", "strangers").applyInPandas(_compare(similarity), "a long, b long")
+        likely = likely.union(found).distinct()
+        made += [texts, able]
+    likely = cut(likely, "nd-hidden")
+    drop(*made)
+    return likely
+
+
+def _blocks(rows: DataFrame, counts: list, stranger, keys: list[str], columns: list[str]) -> DataFrame:
+    """Rows dealt over blocks (keys, at, strangers): every stranger meets every member in one of them."""
+    own = [F.pmod(F.xxhash64("node", F.lit(i)), F.greatest(n, F.lit(1))).cast("int") for i, n in enumerate(counts)]
+    each = [F.explode(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1)) for n in counts]
+    member = rows.select(*keys, own[0].alias("at"), each[1].alias("strangers"), *columns, F.lit(False).alias("stranger"))
+    some = rows.where(stranger).select(*keys, each[0].alias("at"), own[1].alias("strangers"), *columns, F.lit(True).alias("stranger"))
+    return member.union(some)
+
+
 def _links_across(likely: DataFrame, comps: DataFrame, classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of components that some not yet compared pair of texts links.
+    """Pairs that link two components: of nodes, or of the components themselves.
 
-    Likely pairs span clusters. Within a cluster the members of its largest component are one already; the
-    others, strangers, are compared with all members in blocks of BLOCK by BLOCK texts, each block a task of
-    its own, which returns pairs of components and never pairs of texts.
+    likely are pairs of different components. They form clusters; where a cluster holds so many that comparing
+    all outside its largest component with all its members costs little more, that is done in blocks of texts.
+    The other pairs are verified one by one.
     """
-    clusters = connected_components(likely)
-    placed = clusters.withColumnRenamed("component", "cluster").join(comps, "node", "left").select("cluster", "node", F.coalesce("component", "node").alias("comp"))
-    sizes = placed.groupBy("cluster", "comp").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("cluster").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.max("n").alias("most"), F.sum("n").alias("members"), F.count("*").alias("comps"))
-    main = main.where("comps > 1 AND members > 2")  # of two, the pair has been compared
-    open_ = cut(placed.join(main, "cluster"), "nd-open")
-    ids = cut(classes.join(open_.select("node"), "node", "left_semi").select("node", F.col("rep.doc_id").alias("doc_id"), F.col("rep.text_hash").alias("text_hash")), "nd-ids")
-    hashed = rows.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    texts = hashed.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, ["doc_id", "text_hash"]).select("node", "text").dropDuplicates(["node"])
-    texts = cut(open_.join(texts, "node"), "nd-texts")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int"), F.ceil((F.col("members") - F.col("most")) / BLOCK).cast("int")
-    own = [F.pmod(F.xxhash64("node", F.lit(i)), n).cast("int") for i, n in enumerate(blocks)]
-    each = [F.explode(F.sequence(F.lit(0), n - 1)) for n in blocks]
-    member = texts.select("cluster", own[0].alias("at"), each[1].alias("strangers"), "comp", "text", F.lit(False).alias("stranger"))
-    stranger = texts.where("comp <> main").select("cluster", each[0].alias("at"), own[1].alias("strangers"), "comp", "text", F.lit(True).alias("stranger"))
-    return member.union(stranger).groupBy("cluster", "at", "strangers").applyInPandas(_across(percent), "a long, b long").distinct()
+    clusters = connected_components(likely).withColumnRenamed("component", "cluster")
+    placed = clusters.join(comps, "node", "left").select("cluster", "node", F.coalesce("component", "node").alias("comp"))
+    placed = placed.join(classes.select("node", "n_shingles"), "node")
+    sizes = placed.groupBy("cluster", "comp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+    main = sizes.groupBy("cluster").agg(
+        F.max(F.struct("n", "comp", "shingles")).alias("main"), F.sum("n").alias("members"), F.sum("shingles").alias("shingles")
+    )
+    count = likely.join(clusters, likely["a"] == clusters["node"]).groupBy("cluster").agg(F.count("*").alias("pairs"))
+    main = main.join(count, "cluster").select("cluster", "members", "shingles", "pairs", F.col("main.n").alias("most"), F.col("main.comp").alias("main"), F.col("main.shingles").alias("own"))
+    dense = (F.col("pairs") >= DENSE_PAIRS) & (F.col("pairs") >= DENSE * F.col("members") * (F.col("members") - F.col("most")))
+    dense = cut(main.where(dense), "nd-dense")
+    if dense.isEmpty():
+        out = _verified(likely, classes, rows, percent)
+        drop(dense)
+        return out
+    small = F.broadcast(dense) if dense.count() <= BROADCAST_IDS else dense
+    inside = cut(placed.join(small, "cluster"), "nd-inside")
+    alone = likely.join(clusters.select(F.col("node").alias("a"), "cluster"), "a").join(small.select("cluster"), "cluster", "left_anti")
+    links = _verified(alone.select("a", "b"), classes, rows, percent)
+    texts = _texts(inside, classes, rows)
+    each = inside.join(texts, "node")
+    strangers, held = F.col("members") - F.col("most"), F.col("shingles") - F.col("own")
+    at = [F.greatest(F.ceil(n / BLOCK), F.ceil(m / BLOCK_SHINGLES)).cast("int") for n, m in ((F.col("members"), F.col("shingles")), (strangers, held))]
+    blocks = _blocks(each, at, F.col("comp") != F.col("main"), ["cluster"], ["comp", "text"])
+    across = blocks.groupBy("cluster", "at", "strangers").applyInPandas(_across(percent), "a long, b long").distinct()
+    out = cut(links.union(across), "nd-across")
+    drop(dense, inside, links, texts)
+    return out
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for each row of docs (doc_id long, text string, anything else).
+    """doc_id, n_shingles, component_id, kept and group for each row of docs (doc_id and text, anything else).
 
     Texts are linked if 100 * |intersection| >= percent * |union| of their shingle sets; component_id is the
     smallest doc_id that links reach, itself included. A null, empty or blank text has an empty set and is
     linked with nothing. Rows with one set are one class, whatever their ids; rows that repeat a doc_id with
-    different texts are linked each by its own text. A text of which all rows have a null doc_id is linked
-    with nothing: its component_id is null and its rows are kept. An empty table gives no rows.
+    different texts are linked each by its own text. Rows with a null doc_id are linked by their texts like
+    others; if no row of a component has an id, its component_id is null and its rows are kept. group is one
+    number a component, null for an empty set. An empty table gives no rows.
     """
-    similarity = percent / 100
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sig = cut(map_arrow(rows, _signatures, "doc_id long, n_shingles long, h1 long, h2 long, regs binary, text_hash long"), "nd-sig")
-    named = sig.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = cut(
-        named.groupBy("h1", "h2", "n_shingles").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.first("regs").alias("regs")).withColumn("node", F.monotonically_increasing_id()),
-        "nd-classes",
+    similarity, kind = percent / 100, docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    found = f"doc_id {kind}, n_shingles long, h1 long, h2 long, text_hash long, text_size long, regs binary"
+    sig = cut(map_arrow(rows, _signatures, found), "nd-sig")
+    by_set = sig.where("n_shingles > 0").groupBy("h1", "h2", "n_shingles").agg(
+        F.min(F.struct("text_hash", "text_size")).alias("rep"), F.min("doc_id").alias("doc_id"), F.first("regs").alias("regs")
     )
+    classes = cut(by_set.withColumn("node", F.monotonically_increasing_id()), "nd-classes")
     members = map_arrow(classes.select("node", "regs"), _bands, "bucket long, node long")
     order = F.struct(F.xxhash64("node", "bucket"), "node")
     leaders = members.groupBy("bucket").agg(F.min(order)["node"].alias("leader"), F.count("*").alias("size")).where("size > 1")
@@ -252,24 +377,29 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     first = cut(best.select(F.least("node", "mate").alias("a"), F.greatest("node", "mate").alias("b")).distinct(), "nd-first")
     links = _verified(first, classes, rows, percent)
     comps = connected_components(links)
+    drop(star, likely, first)
 
-    more = cut(_links_across(likely, comps, classes, rows, percent), "nd-across")
-    if not more.isEmpty():
+    hidden = _hidden_pairs(mates, comps, classes, rows, similarity)
+    if not hidden.isEmpty():
+        more = _links_across(hidden, comps, classes, rows, percent)
         both = cut(links.union(more), "nd-links")
         drop(comps, links, more)
         links, comps = both, connected_components(both)
-    drop(mates, star, likely, first, links)
+    drop(mates, hidden, links)
 
-    placed = classes.join(comps, "node", "left").select("h1", "h2", "n_shingles", "rep.doc_id", F.coalesce("component", "node").alias("comp"))
-    least = placed.groupBy("comp").agg(F.min("doc_id").alias("least"))
-    of_class = placed.join(least, "comp").select("h1", "h2", "n_shingles", "least")
+    placed = classes.join(comps, "node", "left").select("h1", "h2", "n_shingles", "doc_id", F.coalesce("component", "node").alias("group"))
+    least = placed.groupBy("group").agg(F.min("doc_id").alias("least"))
+    of_class = placed.join(least, "group").select("h1", "h2", "n_shingles", "least", "group")
     out = sig.drop("regs").join(of_class, ["h1", "h2", "n_shingles"], "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    out = out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "group")
+    out = cut(out, "nd-result")
+    drop(sig, classes, comps)
+    return out
 
 
 def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("group")
 
 
 QUERIES = {"op6_near_dup": op6_near_dup}
