@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -26,13 +28,26 @@ def get_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for intermediate tables: what the cluster names in spark.checkpoint.dir, else a temporary one."""
+    """The folder for intermediate tables: what the cluster names in spark.checkpoint.dir.
+
+    Where that is unset a local session, as in tests, gets a temporary folder; on a cluster it is an error, as
+    executors would each write to a disk of their own.
+    """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-"))
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            path = tempfile.mkdtemp(prefix="millrace-")
+            atexit.register(shutil.rmtree, path, ignore_errors=True)
+        sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
 
 
+_written: list[str] = []  # the paths of cut(), in order
+
+
 def cut(df: DataFrame, name: str = "t") -> DataFrame:
     """Write df once as Parquet into the shared folder and return a reader of it.
 
@@ -42,18 +57,36 @@ def cut(df: DataFrame, name: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._millrace_path = path
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    if path in _written:
+        _written.remove(path)
+
+
 def drop(*tables: DataFrame | None) -> None:
     """Delete tables made by cut() that no later plan reads."""
     for t in tables:
         if (path := getattr(t, "_millrace_path", None)) is not None:
-            jvm = t.sparkSession._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(t.sparkSession, path)
+
+
+def written() -> set[str]:
+    """The tables of cut() that exist now, for sweep()."""
+    return set(_written)
+
+
+def sweep(spark: SparkSession, before: set[str], *keep: DataFrame) -> None:
+    """Delete the tables that cut() has made since before = written(), but for those of keep."""
+    kept = before | {getattr(t, "_millrace_path", None) for t in keep}
+    for path in [p for p in _written if p not in kept]:
+        _delete(spark, path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
