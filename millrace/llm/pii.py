@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.llm.common import free_name
 from millrace.session import cut, drop, table
 
 KINDS = ("email", "ip", "card", "phone")
@@ -36,7 +37,7 @@ PATTERNS = {
 }
 GUARDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 CANDIDATES = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{1,63}+(?:\x20?[\[(]dot[\])]\x20?[A-Za-z0-9-]{1,63}+){1,8}+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]++(?:\x20?[\[(]dot[\])]\x20?[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9.])[0-9]{1,4}+\.[0-9]{1,4}+\.[0-9]{1,4}+\.[0-9]{1,4}+(?![0-9.])",
     "card": r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){12,18}+(?![0-9])",
     "phone": r"(?<![0-9])\(?[0-9]{2,5}\)?[\x20.-][0-9]{2,4}[\x20.-][0-9]{2,5}(?![0-9])",
@@ -166,22 +167,37 @@ def logistic(rows: list[tuple[tuple[float, ...], float, float]], rounds: int = 4
     return w
 
 
+def key_of() -> Column:
+    """The doc_id and a hash of the text, not the place of a row: the same in every reading."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.hex(F.xxhash64(text)))
+
+
+def _free(found: DataFrame) -> DataFrame:
+    """The candidates among the matches that overlap no base span: two sweeps of each text, linear in its matches."""
+    at = Window.partitionBy("row")
+    before = at.orderBy("start", F.desc("base")).rowsBetween(Window.unboundedPreceding, 0)
+    after = at.orderBy(F.desc("start"), "base").rowsBetween(Window.unboundedPreceding, 0)
+    swept = found.withColumn("_last", F.max(F.when(F.col("base"), F.col("end"))).over(before))
+    swept = swept.withColumn("_next", F.min(F.when(F.col("base"), F.col("start"))).over(after))
+    clear = (F.coalesce("_last", F.lit(0)) <= F.col("start")) & (F.col("_next").isNull() | (F.col("_next") >= F.col("end")))
+    return swept.where(~F.col("base") & clear).drop("_last", "_next")
+
+
 def find_pii(docs: DataFrame, threshold: float = 0.5) -> tuple[DataFrame, DataFrame]:
-    """(rows, spans): docs with a column key, and key, doc_id, kind, k, start, end, base of every span found.
+    """(rows, spans): key, doc_id and text of every row, and key, doc_id, kind, k, start, end, base of every span found.
 
-    docs: doc_id, text and anything else. A null text counts as empty and has no spans. The key is made of
-    the doc_id and a hash of the text, not of the place of a row, so that it is the same in every reading;
-    rows that repeat an id and its text share their spans. Added spans never overlap a base span, nor one
-    another of their kind. An empty table gives no rows.
+    docs: doc_id, text and anything else. A null text counts as empty and has no spans. Rows that repeat an id
+    and its text share their key and spans. Added spans never overlap a base span, nor one another of their
+    kind. An empty table gives no rows.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.withColumn("key", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.hex(F.xxhash64(text))))
-    narrow = rows.select(F.monotonically_increasing_id().alias("row"), "key", "doc_id", text.alias("text"))
+    rows = docs.select(key_of().alias("key"), "doc_id", text.alias("text"))
+    narrow = rows.select(F.monotonically_increasing_id().alias("row"), "key", "doc_id", "text")
     found = cut(_matches(narrow), "pii-matches")
+    sure = ~F.col("base") | valid(F.col("kind"), F.col("hit"))
     base = found.where("base").where(valid(F.col("kind"), F.col("hit"))).select("row", "key", "doc_id", "kind", "k", "start", "end", "base")
-    cand = found.where("NOT base")
-    taken = base.select(F.col("row").alias("base_row"), F.col("start").alias("s"), F.col("end").alias("e"))
-    free = cand.join(taken, (F.col("row") == F.col("base_row")) & (F.col("start") < F.col("e")) & (F.col("s") < F.col("end")), "left_anti")
+    free = _free(found.where(sure))
     votes = _votes(free)
     names = list(votes)
     voted = cut(free.withColumns(votes).select("row", "key", "doc_id", "kind", "k", "start", "end", *names), "pii-votes")
@@ -209,23 +225,25 @@ def redact(docs: DataFrame, **options) -> DataFrame:
 
     Overlapping spans are replaced once, by the kind of the first. A null text stays null.
     """
-    cols = docs.columns
-    rows, spans = find_pii(docs, **options)
+    _, spans = find_pii(docs, **options)
     w = Window.partitionBy("key").orderBy("start", "end", "k").rowsBetween(Window.unboundedPreceding, -1)
     cutting = spans.withColumn("reach", F.coalesce(F.max("end").over(w), F.lit(0)))  # where the text before a span begins
-    per_row = cutting.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind", "reach"))).alias("spans"), F.max("end").alias("last"))
+    lists = F.sort_array(F.collect_list(F.struct("start", "end", "kind", "reach"))).alias("spans")
+    key, found = free_name(docs, "_key"), free_name(docs, "_found")
+    per_row = cutting.groupBy(F.col("key").alias(key)).agg(F.struct(lists, F.max("end").alias("last")).alias(found))
 
     def piece(s: Column) -> Column:
         gap = F.substring(F.col("text"), (s["reach"] + 1).cast("int"), (s["start"] - s["reach"]).cast("int"))
         return F.when(s["start"] >= s["reach"], F.concat(gap, F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise("")
 
-    rest = F.substring(F.col("text"), (F.col("last") + 1).cast("int"), F.char_length("text"))
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.concat(F.array_join(F.transform("spans", piece), ""), rest))
+    rest = F.substring(F.col("text"), (F.col(found)["last"] + 1).cast("int"), F.char_length("text"))
+    changed = F.concat(F.array_join(F.transform(F.col(found)["spans"], piece), ""), rest)
     few = spans.count() <= BROADCAST_SPANS
-    out = rows.join(F.broadcast(per_row) if few else per_row, "key", "left").withColumn("text", text)
-    if "n_chars" in cols:
+    rows = docs.withColumn("text", F.col("text").cast("string")).withColumn(key, key_of())
+    out = rows.join(F.broadcast(per_row) if few else per_row, key, "left").withColumn("text", F.when(F.col(found).isNull(), F.col("text")).otherwise(changed))
+    if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*cols)
+    return out.select(*docs.columns)
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

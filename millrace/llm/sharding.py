@@ -8,11 +8,12 @@ middle byte lies when the total is cut at equal targets.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.session import cut, table
+from millrace.llm.common import free_name
+from millrace.session import cut, drop, table
 
 SHARDS = 8
 
@@ -49,26 +50,46 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     are gapless. Shards are runs of the order by doc_id, then checksum; rows that repeat keep a place each.
     With fewer rows than shards some shards are empty; an empty table gives no rows.
     """
+    placed, offsets = _placed(docs, shards)
+    out = placed.join(F.broadcast(offsets), "shard").select("doc_id", "size", "text_crc32", "shard", _slot())
+    return out
+
+
+def _placed(docs: DataFrame, shards: int, row: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """doc_id, size, text_crc32, position, shard (and row, a number of the row), and the first position of each shard."""
     text = F.col("text").cast("string")
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
     crc = F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
-    light = docs.select("doc_id", size.alias("size"), crc.alias("text_crc32"))
+    extra = [] if row is None else [row.alias("row")]
+    light = docs.select("doc_id", size.alias("size"), crc.alias("text_crc32"), *extra)
     placed = global_positions(light, ["doc_id", "text_crc32"], "size")
     # the middle of the row, twice, to stay with integers; decimals keep 100 TB times the shards exact
     middle = (F.col("before") * 2 + F.col("size")).cast("decimal(38,0)")
     shard = F.least(F.floor(middle * shards / (F.col("total") * 2).cast("decimal(38,0)")), F.lit(shards - 1)).cast("int")
-    placed = cut(placed.select("doc_id", "size", "text_crc32", "position", shard.alias("shard")), "shards")
-    first = placed.groupBy("shard").agg(F.min("position").alias("first"))  # a row a shard
-    return placed.join(F.broadcast(first), "shard").select("doc_id", "size", "text_crc32", "shard", (F.col("position") - F.col("first")).alias("slot"))
+    placed = cut(placed.select("doc_id", "size", "text_crc32", "position", shard.alias("shard"), *(["row"] if extra else [])), "shards")
+    return placed, placed.groupBy("shard").agg(F.min("position").alias("first"))  # a row a shard
+
+
+def _slot() -> Column:
+    return (F.col("position") - F.col("first")).alias("slot")
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> DataFrame:
-    """Write docs (doc_id unique) as one folder a shard, each in slot order; returns the assignment."""
-    places = assign_shards(docs, shards)
-    rows = docs.join(places.select("doc_id", "shard", "slot"), "doc_id")
-    n = max(shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Write docs (doc_id, text, anything else) as one folder a shard, each in slot order; returns the assignment.
+
+    The rows are numbered and written once, and a row meets its place by that number: rows with a null doc_id
+    and rows that repeat are all written. The columns shard and slot of docs, if any, are replaced.
+    """
+    spark = docs.sparkSession
+    row = free_name(docs, "_row")
+    numbered = cut(docs.drop("shard", "slot").withColumn(row, F.monotonically_increasing_id()), "numbered")
+    placed, offsets = _placed(numbered, shards, F.col(row))
+    places = cut(placed.join(F.broadcast(offsets), "shard").select("doc_id", "size", "text_crc32", "shard", _slot(), "row"), "places")
+    rows = numbered.join(places.select(F.col("row").alias(row), "shard", "slot"), row).drop(row)
+    n = max(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows.repartitionByRange(n, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
-    return places
+    drop(numbered, placed)
+    return places.drop("row")
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

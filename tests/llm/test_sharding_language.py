@@ -1,4 +1,6 @@
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -33,6 +35,50 @@ def test_shard_edges(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).groupBy("shard").count().count() == 4
 
 
+def test_every_row_is_written(spark, tmp_path):
+    """Null ids, repeated ids and rows that are wholly alike all arrive, in the place that the assignment gives."""
+    rows = [(None, "x", "a"), (3, "same", "b"), (3, "same", "b"), (3, "other", "c"), (None, "x", "d"), (1, None, "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row string")
+    places = sh.write_shards(df, str(tmp_path / "s"), 2)
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert sorted(((r.doc_id, r.text, r._row) for r in back.collect()), key=str) == sorted(rows, key=str)
+    crc = lambda t: zlib.crc32((t or "").encode())
+    assert sorted(((r.doc_id, r.text_crc32, r.shard, r.slot) for r in places.collect()), key=str) == sorted(((r.doc_id, crc(r.text), r.shard, r.slot) for r in back.collect()), key=str)
+
+
+def grams_of(text):
+    """Codes of all n-grams of one to three characters, each word between two blanks."""
+    out = []
+    for word in re.findall(r"[^\W\d_]+", "".join(c if c.isalpha() else " " for c in text.lower())):
+        c = [32, *map(ord, word), 32]
+        out += c[1:-1] + [a << 21 | b for a, b in zip(c, c[1:], strict=False)]
+        out += [a << 42 | b << 21 | d for a, b, d in zip(c, c[1:], c[2:], strict=False)]
+    return Counter(out)
+
+
+def test_language_equals_plain_counting(spark, sf):
+    """Profiles and out-of-place distances again with Counter and dict, on all documents (all training rows fit the sample)."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    total = {}
+    for r in docs:
+        if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            total.setdefault(r.lang, Counter()).update(grams_of(r.text or ""))
+    order = lambda c: [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[: li.PROFILE]]
+    ranks = {lang: {g: i for i, g in enumerate(order(c))} for lang, c in total.items()}
+    got = {r.doc_id: r for r in li.op1_language_id(spark, sf).collect()}
+    for r in docs:
+        own = order(grams_of(r.text or ""))
+        far = {lang: sum(abs(k[g] - i) if g in k else li.PROFILE for i, g in enumerate(own)) for lang, k in ranks.items()}
+        lang = min(sorted(far), key=far.get) if own else "und"
+        assert got[r.doc_id].lang_pred == lang
+        assert abs(got[r.doc_id].score - (1 - far[lang] / (li.PROFILE * len(own)) if own else 0)) < 1e-12
+
+
+def test_language_ties_go_to_the_first_by_name():
+    p = li.Profiles({"zz": [97, 98], "aa": [98, 97], "mm": [99]}, 2)
+    assert p.predict("ab")[0] == p.predict("ba")[0] and p.predict("q")[0] == "aa"
+
+
 def test_language_held_out_accuracy(spark, sf):
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = li.op1_language_id(spark, sf).collect()
