@@ -1,10 +1,9 @@
-"""Main text of web pages: boilerplate by structure, and site templates by subtrees that recur on a host.
+"""Main text of web pages: site templates by subtrees that recur on a host, and a few rules of structure.
 
-A page is parsed once into blocks. Elements that are never content (navigation, headers and footers of the
-page, forms, scripts, comments of readers ...) are cut by tag, role or the words of their class and id. Of
-the other elements that hold blocks, the hash of each subtree is counted per host in Spark, once a page and
-over distinct pages only; a subtree on LEAST_PAGES pages of its host, whatever the host's size, is a template
-and is deleted.
+A page is parsed into a tree. The hash of each subtree that is or holds a block, whatever its tag or class,
+goes to Spark, which counts on how many distinct pages of its host each stands; a subtree on LEAST_PAGES of
+them, whatever the host's size, is a template and is deleted. That comes first. Then rules take what does not
+recur: elements that are never content by tag, role or the words of their class and id.
 Within an article, paragraphs and headings are never templates: a passage that articles share is text.
 """
 
@@ -32,7 +31,8 @@ BROADCAST_TEMPLATES, HOST_TEMPLATES = 200_000, 2_000
 # fixed values: HTML's element classes
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript plaintext".split())
-SKIPPED = frozenset("head script style noscript template iframe object svg math canvas audio video nav footer aside form button select textarea input dialog menu noembed noframes map title xmp".split())
+NO_TEXT = frozenset("head script style noscript template iframe object svg math canvas audio video noembed noframes map title xmp".split())
+SKIPPED = frozenset("nav footer aside form button select textarea input dialog menu".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCKS - frozenset("body html td th tr tbody thead tfoot dd dt li summary figcaption".split())
 SELF_CLOSING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "p": ("p",)}
@@ -56,9 +56,10 @@ _NAME = re.compile(r"[a-z]+")
 @dataclass
 class Node:
     tag: str
-    cut: bool
+    cut: bool  # holds no text at all, or is deleted
     parent: Node | None = None
     in_article: bool = False
+    rule: bool = False  # never content, by the rules of structure
     children: list = field(default_factory=list)  # nodes and strings
     hash: int = 0
     empty: bool = True
@@ -119,7 +120,7 @@ def parse(html: str | None) -> Node:
             while here is not to:
                 articles -= here.tag in ARTICLES
                 here = here.parent
-        node = Node(tag, _boilerplate(tag, m[4], articles > 0), here, articles > 0)
+        node = Node(tag, tag in NO_TEXT, here, articles > 0, _boilerplate(tag, m[4], articles > 0))
         here.children.append(node)
         if tag in RAW:
             over = re.compile(rf"</{re.escape(tag)}[\s>/]", re.I).search(html, pos)
@@ -139,7 +140,7 @@ def _walk(top: Node) -> Iterator[tuple[Node | str, bool]]:
     while stack:
         x, done = stack.pop()
         yield x, done
-        if isinstance(x, Node) and not done:
+        if isinstance(x, Node) and not done and not x.cut:
             stack.append((x, True))
             stack += [(BREAK if isinstance(c, Node) and c.cut else c, False) for c in reversed(x.children) if isinstance(c, str) or not c.cut or c.tag in BLOCKS]
 
@@ -171,12 +172,22 @@ def _may_be_template(x: Node) -> bool:
     return x.tag in BLOCKS and not x.empty and x.tag not in ("html", "body", "article", "main") and not (x.in_article and x.tag in KEPT_IN_ARTICLE)
 
 
+def delete(root: Node, templates: frozenset[int] | set[int], rules: bool = True) -> tuple[int, int]:
+    """Cut the templates, then of the rest what the rules name; returns how many subtrees went by either."""
+    def cut_where(named) -> int:
+        n = 0
+        for x, done in _walk(root):
+            if not done and isinstance(x, Node) and named(x):
+                x.cut, n = True, n + 1
+        return n
+
+    recurring = cut_where(lambda x: x.hash in templates and _may_be_template(x)) if templates else 0
+    return recurring, cut_where(lambda x: x.rule) if rules else 0
+
+
 def main_text(root: Node, templates: frozenset[int] | set[int] = frozenset()) -> str:
     """The blocks of the article (of <main>, of the page, if there is none), without templates."""
-    if templates:
-        for x, done in _walk(root):
-            if not done and isinstance(x, Node) and x.hash in templates and _may_be_template(x):
-                x.cut = True
+    delete(root, templates)
     nodes = [x for x, done in _walk(root) if not done and isinstance(x, Node)]
     tops = [x for x in nodes if x.tag == "article" and not x.in_article] or [x for x in nodes if x.tag == "article"] or [x for x in nodes if x.tag == "main"] or [root]
     blocks: list[str] = []

@@ -58,3 +58,29 @@ def test_templates_of_large_hosts(spark, monkeypatch):
     assert {r.page_id: r.text for r in ht.extract(df).collect()} == want
     monkeypatch.setattr(ht, "HOST_TEMPLATES", 0)
     assert {r.page_id: r.text for r in ht.extract(df).collect()} == want
+
+
+def test_templates_decide_where_no_rule_does(spark):
+    """Pages without an article whose menus, notices and adverts bear neutral names: counting alone can tell."""
+    def page(i):
+        menu = "<div class=x1><ul><li><a>Home</a><li><a>Archive</a><li><a>Imprint</a></ul></div>"
+        return f"<body>{menu}<div class=x2><p>We value what you value.</p></div><div class=x3><h1>Title {i}</h1><p>First of {i}.</p><p>Second of {i}.</p></div><div class=x4><p>Call now, save ten.</p></div></body>"
+
+    rows = [(i, f"https://a.example/{i}", page(i)) for i in range(20)] + [(100, "https://b.example/1", page(100))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in ht.extract(df).collect()}
+    want = {i: f"Title {i}\n\nFirst of {i}.\n\nSecond of {i}." for i in range(20)}
+    assert {i: got[i] for i in want} == want
+    assert got[100].startswith("Home") and got[100].endswith("save ten.")  # one page of its host: nothing recurs
+    off = {r.page_id: r.text for r in ht.extract(df, least_pages=10**9).collect()}
+    assert all(off[i] != want[i] for i in want)
+
+
+def test_templates_go_before_rules():
+    html = "<body><nav>Menu of all</nav><nav>Only here</nav><div>Slogan</div><p>text</p></body>"
+    root = ht.parse(html)
+    ht.subtree_hashes(root)
+    known = {x.hash for x, done in ht._walk(root) if done and isinstance(x, ht.Node) and x.tag in ("nav", "div")} - {0}
+    first = [x.hash for x, done in ht._walk(root) if done and isinstance(x, ht.Node) and x.tag == "nav"][1]
+    assert ht.delete(root, known - {first}) == (2, 1)
+    assert text(html) == "Slogan\n\ntext"
