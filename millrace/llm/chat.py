@@ -3,9 +3,10 @@
 In a participant's rendering that speaker is the assistant, all others are named users, system turns stay
 system turns, and the mask marks what the assistant says (with the end marker) as the text to learn from.
 
-A conversation is rendered in blocks of BLOCK turns, nearly always one. Turns get their places from global
-prefix counts over range partitions, so that no task ever holds more than a block of one conversation, even
-if a third of all turns belong to it.
+A conversation is rendered in blocks of BLOCK turns, nearly always one. Conversations of one block are grouped
+as they are, which moves each text once, and their participants are read off the group. The turns of longer
+ones get their places from global prefix counts over range partitions, so that no task ever holds more than a
+block of one conversation, even if a third of all turns belong to it.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from millrace.llm.sharding import global_positions
 from millrace.session import cut, table
 
 BLOCK = 512
+#: Long conversations, and names of who takes part in them, that are broadcast at most.
+BROADCAST_LONG = 100_000
 START, END = "<|im_start|>", "<|im_end|>"
 
 
@@ -37,15 +40,28 @@ def rotate(conversations: DataFrame, system: str = "system", block: int = BLOCK)
     empty, a null conv_id is a conversation of its own. A conversation of system turns alone has no
     perspective and gives no row. The text of a long conversation is that of its blocks, joined in order.
     """
-    c = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("unknown")).alias("role"), F.col("text").cast("string").alias("text"), F.lit(1).cast("long").alias("one"))
-    placed = global_positions(c, ["conv_id", "turn", "role", "text"], "one").select("conv_id", "role", "text", "position")
-    placed = cut(placed, "chat")
-    first = placed.groupBy(F.col("conv_id").alias("id")).agg(F.min("position").alias("first"))
-    turns = placed.join(first, F.col("conv_id").eqNullSafe(F.col("id"))).drop("id")
-    place = F.col("position") - F.col("first")
-    blocks = turns.groupBy("conv_id", F.floor(place / block).cast("int").alias("block")).agg(F.sort_array(F.collect_list(F.struct("position", "role", "text"))).alias("turns"))
-    people = placed.where(F.col("role") != system).select(F.col("conv_id").alias("id"), F.col("role").alias("perspective")).distinct()
-    each = blocks.join(people, F.col("conv_id").eqNullSafe(F.col("id")))
+    c = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("unknown")).alias("role"), F.col("text").cast("string").alias("text"))
+    # a row a long conversation
+    long = c.groupBy(F.col("conv_id").alias("id")).agg(F.count("*").alias("n"), F.collect_set(F.when(F.col("role") != system, F.col("role"))).alias("people"))
+    long = cut(long.where(F.col("n") > block).drop("n"), "chat-long")
+    n_long, names = long.agg(F.count("*"), F.sum(F.size("people"))).first()
+    few = n_long + (names or 0) <= BROADCAST_LONG
+    known = F.broadcast(long) if few else long
+    same = F.col("conv_id").eqNullSafe(F.col("id"))
+    rest = c.join(known, same, "left_anti") if n_long else c
+    turns = F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")
+    blocks = rest.groupBy("conv_id").agg(turns).select("conv_id", F.lit(0).alias("block"), "turns")
+    people = F.array_distinct(F.filter(F.transform("turns", lambda t: t["role"]), lambda r: r != system))
+    each = blocks.select("conv_id", "block", "turns", F.explode(people).alias("perspective"))
+    if n_long:
+        mine = c.join(known.select("id"), same, "left_semi").withColumn("one", F.lit(1).cast("long"))
+        placed = global_positions(mine, ["conv_id", "turn", "role", "text"], "one").select("conv_id", "turn", "role", "text", "position")
+        first = placed.groupBy(F.col("conv_id").alias("id")).agg(F.min("position").alias("first"))
+        first = cut(first.join(long.withColumnRenamed("id", "id_"), F.col("id").eqNullSafe(F.col("id_"))).drop("id_"), "chat-first")
+        numbered = placed.join(F.broadcast(first) if few else first, same)
+        at = F.floor((F.col("position") - F.col("first")) / block).cast("int").alias("block")
+        parts = numbered.groupBy("conv_id", at).agg(turns, F.first("people").alias("people"))
+        each = each.union(parts.select("conv_id", "block", "turns", F.explode("people").alias("perspective")))
 
     me = F.col("perspective")
     role = lambda t: F.when(t["role"] == me, "assistant").when(t["role"] == system, system).otherwise(F.concat(F.lit("user name="), _name(t["role"])))
