@@ -21,6 +21,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,10 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE, UNK_PENALTY, LEAST = "▁", 10.0, -1e8
 #: Characters of a chunk; longer texts are split. Words that a worker remembers.
 CHUNK, MEMO = 32_768, 300_000
+#: Words of a length that are worked out together, from so many on and so many at a time, up to so many characters.
+FEW_WORDS, WORDS_AT_ONCE, LONG_WORD = 24, 8192, 64
+#: Chunks of a giant text whose matrices one task multiplies; more are multiplied in a tree.
+FOLD = 64
 NONE = -np.inf
 
 
@@ -88,6 +93,10 @@ class Vocabulary:
             node[None] = (i, score)
         return root
 
+    @cached_property
+    def table(self) -> PieceTable:
+        return PieceTable(self)
+
     @cached_property
     def unk_score(self) -> float:
         return min(s for *_, s in self.pieces) - UNK_PENALTY
@@ -174,12 +183,22 @@ class _Memo(dict):
         super().__init__()
         self.v = v
 
-    def __missing__(self, word: str) -> bytes:
-        _, back, ids = forward(self.v, word, len(word), [0.0])
-        out = np.array(trace(self.v, word, back, ids, len(word))[1], np.int32).tobytes()
-        if len(self) < MEMO:
-            self[word] = out
-        return out
+    def learn(self, words: list[str]) -> list[str]:
+        """Add words that are not in it yet; returns those over its bound, for the caller to take out again."""
+        at = max(0, MEMO - len(self))
+        by_length: dict[int, list[str]] = {}
+        for w in words:
+            by_length.setdefault(len(w), []).append(w)
+        for n, group in by_length.items():
+            if len(group) < FEW_WORDS or n > LONG_WORD:
+                for w in group:
+                    _, back, ids = forward(self.v, w, n, [0.0])
+                    self[w] = np.array(trace(self.v, w, back, ids, n)[1], np.int32).tobytes()
+            else:
+                for i in range(0, len(group), WORDS_AT_ONCE):
+                    part = group[i : i + WORDS_AT_ONCE]
+                    self.update(zip(part, best_of_equal_length(self.v, part, n), strict=True))
+        return words[at:]
 
 
 def memo(v: Vocabulary) -> _Memo:
@@ -188,9 +207,87 @@ def memo(v: Vocabulary) -> _Memo:
     return v.memo["words"]
 
 
+class PieceTable:
+    """Pieces by a hash of their characters, for looking up very many substrings at once."""
+
+    BASE, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+    def __init__(self, v: Vocabulary):
+        h, ids, scores, sizes = [], [], [], []
+        for piece, i, score in v.pieces:
+            x = 0
+            for c in piece:
+                x = (x * int(self.BASE) + ord(c) + 1) % (1 << 64)
+            h.append(x)
+            ids.append(i)
+            scores.append(score)
+            sizes.append(len(piece))
+        order = np.argsort(np.array(h, np.uint64), kind="stable")
+        self.hashes = np.array(h, np.uint64)[order]
+        self.ids, self.scores, self.sizes = np.array(ids, np.int32)[order], np.array(scores)[order], np.array(sizes)[order]
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(self.hashes * self.SPREAD) >> np.uint64(44)] = True
+        self.powers = [np.uint64(pow(int(self.BASE), k, 1 << 64)) for k in range(v.reach + 1)]
+
+    def find(self, h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of h that are pieces of this size, and where these stand in the table."""
+        rows = np.flatnonzero(self.maybe[(h * self.SPREAD) >> np.uint64(44)])
+        at = np.minimum(np.searchsorted(self.hashes, h[rows]), len(self.hashes) - 1)
+        ok = (self.hashes[at] == h[rows]) & (self.sizes[at] == size)
+        return rows[ok], at[ok]
+
+
+def best_of_equal_length(v: Vocabulary, words: list[str], n: int) -> list[bytes]:
+    """The ids of the best segmentation of each word of n characters: forward() and trace() for all of them at once."""
+    t, k = v.table, len(words)
+    codes = np.array(words, f"<U{n}").view(np.uint32).reshape(k, n).astype(np.uint64) + np.uint64(1)
+    sums = np.zeros((n + 1, k), np.uint64)
+    for j in range(n):
+        sums[j + 1] = sums[j] * t.BASE + codes[:, j]
+    best, back, ids = np.full((n + 1, k), NONE), np.zeros((n + 1, k), np.int32), np.full((n + 1, k), v.unk_id, np.int32)
+    best[0] = 0.0
+    for j in range(1, n + 1):
+        for i in range(max(0, j - v.reach), j):  # of equals the earliest start stays, as in forward()
+            rows, at = t.find(sums[j] - sums[i] * t.powers[j - i], j - i)
+            score = best[i, rows] + t.scores[at]
+            up = score > best[j, rows]
+            rows, at = rows[up], at[up]
+            best[j, rows], back[j, rows], ids[j, rows] = score[up], i, t.ids[at]
+        single = np.zeros(k, bool)
+        single[t.find(codes[:, j - 1], 1)[0]] = True
+        up = ~single & (best[j - 1] + v.unk_score > best[j])
+        best[j, up], back[j, up], ids[j, up] = best[j - 1, up] + v.unk_score, j - 1, v.unk_id
+    path, at, size, every = np.zeros((k, n), np.int32), np.full(k, n), np.zeros(k, np.int64), np.arange(k)
+    strange = np.zeros(k, bool)
+    for step in range(n):  # from the end; the ids of a word fill its row from the right
+        open_ = at > 0
+        if not open_.any():
+            break
+        piece = ids[at, every]
+        path[open_, n - 1 - step] = piece[open_]
+        strange |= open_ & (piece == v.unk_id)
+        size += open_
+        at = np.where(open_, back[at, every], 0)
+    out = [row[n - m :].tobytes() for row, m in zip(path, size, strict=True)]
+    for x in np.flatnonzero(strange):  # with characters that no piece covers: these become bytes
+        _, b, i = forward(v, words[x], n, [0.0])
+        out[x] = np.array(trace(v, words[x], b, i, n)[1], np.int32).tobytes()
+    return out
+
+
+def encode_many(v: Vocabulary, prepared: list[str]) -> list[np.ndarray]:
+    """Ids of texts that begin and end at a cut; words that the memory does not hold are worked out together."""
+    words, known = [v.words.findall(t) for t in prepared], memo(v)
+    over = known.learn(list(set(chain.from_iterable(words)).difference(known)))
+    out = [np.frombuffer(b"".join(map(known.__getitem__, ws)), np.int32) for ws in words]
+    for w in over:
+        del known[w]
+    return out
+
+
 def encode(v: Vocabulary, prepared: str) -> np.ndarray:
     """Ids of a text that begins and ends at a cut."""
-    return np.frombuffer(b"".join(map(memo(v).__getitem__, v.words.findall(prepared))), np.int32)
+    return encode_many(v, [prepared])[0]
 
 
 def decode(v: Vocabulary, ids) -> str:
@@ -291,10 +388,9 @@ def encode_documents(docs: DataFrame, v: Vocabulary, chunk: int = CHUNK) -> Data
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, ok = [], []
-            for t in batch.column("text").to_pylist():
-                ids.append(encode(v, prepare(t, v)))
-                ok.append(None if t is None else decode(v, ids[-1].tolist()) == t)
+            texts = batch.column("text").to_pylist()
+            ids = encode_many(v, [prepare(t, v) for t in texts])
+            ok = [None if t is None else decode(v, x.tolist()) == t for t, x in zip(texts, ids, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, _lists(ids, pa.int32()), pa.array(ok, pa.bool_())], [*batch.schema.names, "ids", "round_trip"])
 
     giant = F.coalesce(F.char_length("text"), F.lit(0)) > chunk
@@ -319,32 +415,20 @@ def encode_documents(docs: DataFrame, v: Vocabulary, chunk: int = CHUNK) -> Data
         for pdf in frames:
             yield pd.DataFrame({"_row": pdf["_row"], "c": pdf["c"], "m": [transfer(v, *x).ravel() for x in texts(pdf)]})
 
-    def products(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, f, out = pdf.sort_values("c"), np.array([0.0] + [NONE] * (k - 1)), []
-        for m in pdf["m"]:
-            out.append(f)
-            f = (f[:, None] + np.asarray(m).reshape(k, k)).max(0)
-        return pd.DataFrame({"_row": pdf["_row"], "c": pdf["c"], "entry": out})
-
     def maps(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             yield pd.DataFrame({"_row": pdf["_row"], "c": pdf["c"], "entry": pdf["entry"], "from_": [entries(v, *x, list(f)) for x, f in zip(texts(pdf), pdf["entry"], strict=True)]})
 
-    def states(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, state, out = pdf.sort_values("c", ascending=False), 0, []
-        for m in pdf["from_"]:
-            out.append(state)
-            state = int(m[state])
-        return pd.DataFrame({"_row": pdf["_row"], "c": pdf["c"], "entry": pdf["entry"], "exit": out})
-
     def pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             yield pd.DataFrame({"_row": pdf["_row"], "c": pdf["c"], "part_ids": [backtrace(v, *x, list(f), int(e)) for x, f, e in zip(texts(pdf), pdf["entry"], pdf["exit"], strict=True)]})
 
-    # a group below is the chunks of one document, 2 kB each: 60 MB for a text of a billion characters
-    scan = chunks.mapInPandas(matrices, "_row long, c int, m array<double>").groupBy("_row").applyInPandas(products, "_row long, c int, entry array<double>")
-    found = chunks.join(scan, ["_row", "c"]).mapInPandas(maps, "_row long, c int, entry array<double>, from_ array<int>")
-    state = found.groupBy("_row").applyInPandas(states, "_row long, c int, entry array<double>, exit int")
+    most = chunks.groupBy("_row").agg(F.max("c").alias("c")).agg(F.max("c")).first()[0] + 1
+    found_matrices = cut(chunks.mapInPandas(matrices, "_row long, c int, m array<double>"), "sp-matrices")
+    scan = prefix_states(found_matrices, k, most, FOLD)
+    found = cut(chunks.join(scan, ["_row", "c"]).mapInPandas(maps, "_row long, c int, entry array<double>, from_ array<int>"), "sp-maps")
+    exits = suffix_states(found.select("_row", "c", F.col("from_").alias("m")), most, FOLD)
+    state = found.select("_row", "c", "entry").join(exits, ["_row", "c"])
     done = chunks.join(state, ["_row", "c"]).mapInPandas(pieces, "_row long, c int, part_ids array<int>")
     joined = done.groupBy("_row").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("c", "part_ids"))), lambda x: x["part_ids"])).alias("ids"))
 
@@ -357,6 +441,68 @@ def encode_documents(docs: DataFrame, v: Vocabulary, chunk: int = CHUNK) -> Data
     return out.unionByName(giants)
 
 
+def prefix_states(matrices: DataFrame, k: int, most: int, fold: int) -> DataFrame:
+    """_row, c and entry (scores of the entry states) of chunks with matrices m, most of them in a document.
+
+    The product over (max, +) is associative: more than `fold` matrices are multiplied in blocks, the blocks'
+    products scanned in turn by this function, and each block goes on from its own entry.
+    """
+    start = [0.0] + [NONE] * (k - 1)
+
+    def from_entry(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, out = pdf.sort_values("c"), []
+        f = np.array(pdf["at"].iloc[0], float)
+        for m in pdf["m"]:
+            out.append(f)
+            f = (f[:, None] + np.asarray(m).reshape(k, k)).max(0)
+        return pd.DataFrame({"_row": pdf["_row"], "c": pdf["c"], "entry": out})
+
+    def product(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        p = None
+        for m in pdf.sort_values("c")["m"]:
+            m = np.asarray(m).reshape(k, k)
+            p = m if p is None else (p[:, :, None] + m[None]).max(1)
+        return pd.DataFrame({"_row": [key[0]], "c": [key[1]], "m": [p.ravel()]})
+
+    done = "_row long, c int, entry array<double>"
+    if most <= fold:
+        at = F.array(*[F.lit(x) for x in start]).alias("at")
+        return matrices.select("_row", "c", "m", at).groupBy("_row").applyInPandas(from_entry, done)
+    block = F.floor(F.col("c") / fold).cast("int").alias("b")
+    blocks = matrices.select("_row", block, "c", "m")
+    totals = cut(blocks.groupBy("_row", "b").applyInPandas(product, "_row long, c int, m array<double>"), "sp-blocks")
+    entries_ = prefix_states(totals, k, -(-most // fold), fold).select("_row", F.col("c").alias("b"), F.col("entry").alias("at"))
+    return blocks.join(entries_, ["_row", "b"]).groupBy("_row", "b").applyInPandas(from_entry, done)
+
+
+def suffix_states(maps: DataFrame, most: int, fold: int) -> DataFrame:
+    """_row, c and exit of chunks with maps m (exit state to entry state): the same tree, from the right, over maps."""
+
+    def from_exit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, out = pdf.sort_values("c", ascending=False), []
+        state = int(pdf["at"].iloc[0])
+        for m in pdf["m"]:
+            out.append(state)
+            state = int(m[state])
+        return pd.DataFrame({"_row": pdf["_row"], "c": pdf["c"], "exit": out})
+
+    def composed(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        p = None
+        for m in pdf.sort_values("c", ascending=False)["m"]:
+            m = np.asarray(m)
+            p = m if p is None else np.where(p >= 0, m[p], -1)
+        return pd.DataFrame({"_row": [key[0]], "c": [key[1]], "m": [p]})
+
+    done = "_row long, c int, exit int"
+    if most <= fold:
+        return maps.select("_row", "c", "m", F.lit(0).alias("at")).groupBy("_row").applyInPandas(from_exit, done)
+    block = F.floor(F.col("c") / fold).cast("int").alias("b")
+    blocks = maps.select("_row", block, "c", "m")
+    totals = cut(blocks.groupBy("_row", "b").applyInPandas(composed, "_row long, c int, m array<int>"), "sp-blocks")
+    exits = suffix_states(totals, -(-most // fold), fold).select("_row", F.col("c").alias("b"), F.col("exit").alias("at"))
+    return blocks.join(exits, ["_row", "b"]).groupBy("_row", "b").applyInPandas(from_exit, done)
+
+
 def decode_documents(encoded: DataFrame, v: Vocabulary) -> DataFrame:
     """encoded (with ids) plus decoded; null ids give a null text."""
 

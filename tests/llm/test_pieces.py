@@ -59,7 +59,54 @@ def test_chunks_equal_one_pass(v):
             assert sp._long([(p[a : a + size + k], len(p[a : a + size])) for a in at], v) == want
 
 
-def test_documents(spark, v):
+def test_words_together_equal_words_alone(v):
+    """The segmentation of many words at once is that of each word, ties, strange characters and long words included."""
+    rnd = random.Random(5)
+    alphabet = "aeinrst" * 3 + "bcdghlmopuüé中\U0001f600\x00"
+    words = list({sp.SPACE * rnd.randrange(2) + "".join(rnd.choice(alphabet) for _ in range(rnd.randrange(1, 12))) for _ in range(4000)})
+    words += ["abcdefgh" * n for n in (7, 8, 9, 40)]
+    fresh = sp.load()
+    got = sp.encode_many(fresh, words)
+    for w, ids in zip(words, got, strict=True):
+        _, back, found = sp.forward(v, w, len(w), [0.0])
+        whole = sp.trace(v, w, back, found, len(w))[1] if len(v.words.findall(w)) == 1 else sp.encode(v, w).tolist()
+        assert ids.tolist() == whole, w
+
+
+def test_a_full_memory_changes_nothing(v, monkeypatch):
+    monkeypatch.setattr(sp, "MEMO", 5)
+    small, rnd = sp.load(), random.Random(6)
+    small.memo = {}
+    ts = [sp.prepare(t, v) for t in texts(30, rnd)]
+    assert [x.tolist() for x in sp.encode_many(small, ts)] == [sp.encode(v, t).tolist() for t in ts]
+    assert len(sp.memo(small)) <= 5
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 30])
+def test_trees_equal_one_fold(spark, v, n):
+    """The tree of products gives every chunk the states that a fold from the left, and one from the right, give."""
+    import numpy as np
+
+    rng, k = np.random.default_rng(n), 4
+    ms = rng.integers(-20, 0, (n, k, k)).astype(float)
+    maps = rng.integers(0, k, (n, k))
+    df = spark.createDataFrame([(r, c, (ms[c] - r).ravel().tolist()) for r in (0, 5) for c in range(n)], "_row long, c int, m array<double>")
+    want, f = [], np.array([0.0] + [sp.NONE] * (k - 1))
+    for m in ms:
+        want.append(f.tolist())
+        f = (f[:, None] + m).max(0)
+    got = {(r._row, r.c): r.entry for r in sp.prefix_states(df, k, n, 3).collect()}
+    assert [got[0, c] for c in range(n)] == want and len(got) == 2 * n
+    df = spark.createDataFrame([(0, c, maps[c].tolist()) for c in range(n)], "_row long, c int, m array<int>")
+    want, state = {}, 0
+    for c in reversed(range(n)):
+        want[c] = state
+        state = int(maps[c][state])
+    assert {r.c: r.exit for r in sp.suffix_states(df, n, 3).collect()} == want
+
+
+def test_documents(spark, v, monkeypatch):
+    monkeypatch.setattr(sp, "FOLD", 2)
     rnd = random.Random(3)
     rows = [(i, t, 7) for i, t in enumerate(["", "one", *texts(20, rnd), "word " * 2000, "unbrokentext" * 500, "\n" * 900, "end"])] + [(99, None, 1), (99, "one", 1), (99, "one", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids int")
