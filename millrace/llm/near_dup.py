@@ -11,12 +11,13 @@ Work grows with the pairs that are likely, not with the square of a group of cop
 * every band pairs its members with one leader, chosen anew for each band; each member is verified against its
   likeliest leader, and components are computed; two members of one component need no comparison;
 * a bucket that still holds several components is split by length class (sizes with a ratio under the wanted
-  similarity never meet, exactly), and all its pairs of different components are compared: by a join where few
-  rows share it, else in blocks of those outside its largest component against all, on their registers. Texts
-  of such a crowd with more shingles of their own than any partner could leave unmatched are out beforehand.
-  So no leader hides a pair: each pair that shares a band is either in one component or compared;
-* the likely pairs that are left are verified one by one, or, where a cluster is dense with them, in blocks of
-  texts, each block a task that returns pairs of components, never pairs of texts.
+  similarity never meet, exactly), and all its pairs of different components are compared. Where few rows share
+  it, a join makes the pairs, a bounded number for each row. In a crowd, those outside its largest component
+  meet all others in blocks: registers say which rows of a block have a likely partner there, the texts of these
+  come to the block, and the task verifies likely pairs, the likeliest first, skipping those whose components it
+  has joined by then. It returns links between components, never pairs of texts. A pair is the work of its first
+  common bucket. Texts of a crowd with more shingles of their own than any partner could leave unmatched are out
+  beforehand. So no leader hides a pair: each pair that shares a band is in one component or compared.
 """
 
 from __future__ import annotations
@@ -35,14 +36,12 @@ from millrace.session import cut, drop, table
 WORDS, BUCKETS, ROWS = 5, 128, 4
 BANDS = BUCKETS // ROWS
 ZERO_BITS, MANTISSA = 6, 10
-#: Texts of a block, and shingles of one piece of its matrices.
-BLOCK, COLUMNS = 512, 8192
-#: Shingles that a block of texts holds, in expectation (16 MB).
-BLOCK_SHINGLES = 2_000_000
-#: Members of a bucket and length class that a join pairs; with more they are compared in blocks of CROWD registers.
-FEW, CROWD = 64, 1024
-#: Likely pairs from which a cluster can be dense, and the share of all its comparisons that they must be.
-DENSE_PAIRS, DENSE = 2000, 1 / 8
+#: Shingles of one piece of a block's matrices.
+COLUMNS = 8192
+#: Members of a bucket and length class that a join pairs; with more they are compared in blocks of CROWD.
+FEW, CROWD = 16, 512
+#: The share of a block's pairs from which all are multiplied out rather than verified one by one.
+DENSE = 1 / 16
 #: Ids that are broadcast at most (16 bytes each); beyond it the texts are shuffled.
 BROADCAST_IDS = 500_000
 _P = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -86,23 +85,29 @@ def compress(minima: np.ndarray) -> np.ndarray:
 
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
-    """(documents, BANDS) keys of 64 bits."""
+    """(documents, BANDS) keys of 64 bits, the lowest five of which are the band."""
     packed = regs.reshape(len(regs), BANDS, ROWS).astype(np.uint64)
     key = np.zeros(packed.shape[:2], np.uint64)
     for j in range(ROWS):
         key = (key << np.uint64(16)) | packed[:, :, j]
-    return _mix(key ^ _mix(np.arange(BANDS, dtype=np.uint64) + np.uint64(1))[None, :])
+    bands = np.arange(BANDS, dtype=np.uint64)
+    key = _mix(key ^ _mix(bands + np.uint64(1))[None, :])
+    return (key & ~np.uint64(BANDS - 1)) | bands[None, :]
 
 
-def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Jaccard estimate of rows of registers: equal ones, less those expected to be equal by accident."""
+def estimate_from(same: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Jaccard estimate by the number of equal registers, less those expected to be equal by accident."""
     n, m = np.maximum(n_a, n_b).astype(float), np.minimum(n_a, n_b).astype(float)
     ratio = (1 + n) / m
     accidents = 0.169919487159739093975315012348 * 2.0 ** (7 - MANTISSA) * 4 * n / m / ratio**2
-    same = (a == b).sum(1)
     return np.clip((same - accidents) / (BUCKETS - accidents), 0, 1)
 
 
+def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """The estimate for rows of registers."""
+    return estimate_from((a == b).sum(1), n_a, n_b)
+
+
 def least_estimate(n_a: np.ndarray, n_b: np.ndarray, similarity: float) -> np.ndarray:
     """An estimate below this is 4.5 standard errors under the wanted similarity; small sets have few free registers."""
     v = similarity * (1 - similarity) * (1 / BUCKETS + 1 / np.minimum(n_a, n_b))
@@ -191,32 +196,20 @@ def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percent: in
     return out
 
 
-def _across(percent: int):
-    """Links between components within one task of strangers and members: exact intersections as a matrix product."""
-
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        sets = [shingle_set(t.encode()) for t in pdf["text"]]
-        left, right = np.flatnonzero(pdf["stranger"]), np.flatnonzero(~pdf["stranger"])
-        comp, sizes, out = pdf["comp"].to_numpy(), np.array([len(x) for x in sets]), []
-        if len(left) and len(right):
-            sides = [(np.concatenate([sets[i] for i in ids]), np.repeat(np.arange(len(ids)), sizes[ids])) for ids in (left, right)]
-            shared = np.intersect1d(*[np.unique(h) for h, _ in sides])
-            both = np.zeros((len(left), len(right)), np.float32)  # exact: counts are far below 2 ** 24
-            for at in range(0, len(shared), COLUMNS):
-                part = shared[at : at + COLUMNS]
-                dense = []
-                for (h, row), ids in zip(sides, (left, right), strict=True):
-                    c = np.minimum(np.searchsorted(part, h), len(part) - 1)
-                    ok, m = part[c] == h, np.zeros((len(ids), len(part)), np.float32)
-                    m[row[ok], c[ok]] = 1
-                    dense.append(m)
-                both += dense[0] @ dense[1].T
-            union = sizes[left][:, None] + sizes[right][None, :] - both
-            x, y = np.nonzero((100 * both.astype(np.float64) >= percent * union) & (comp[left][:, None] != comp[right][None, :]))
-            out = np.unique(np.sort(np.column_stack([comp[left][x], comp[right][y]]), axis=1), axis=0) if len(x) else []
-        return pd.DataFrame(np.array(out, np.int64).reshape(-1, 2), columns=["a", "b"])
-
-    return run
+def common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of one side shares with each of the other: exact, as a product of matrices."""
+    both = np.zeros((len(left), len(right)), np.float32)  # exact: counts are far below 2 ** 24
+    sides = [(np.concatenate(x), np.repeat(np.arange(len(x)), [len(s) for s in x])) for x in (left, right)]
+    shared = np.intersect1d(*[np.unique(h) for h, _ in sides])
+    for at in range(0, len(shared), COLUMNS):
+        part, dense = shared[at : at + COLUMNS], []
+        for (h, row), x in zip(sides, (left, right), strict=True):
+            c = np.minimum(np.searchsorted(part, h), len(part) - 1)
+            ok, m = part[c] == h, np.zeros((len(x), len(part)), np.float32)
+            m[row[ok], c[ok]] = 1
+            dense.append(m)
+        both += dense[0] @ dense[1].T
+    return both
 
 
 def _own(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -227,33 +220,95 @@ def _own(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(shingles, pa.int64())], ["node", "shingle"])
 
 
-def _compare(similarity: float):
-    """Likely pairs of different components in one block of strangers and members of a bucket, on their registers."""
+class Block:
+    """Strangers and members of a bucket in one task."""
+
+    def __init__(self, pdf: pd.DataFrame, similarity: float):
+        self.left, self.right = (pdf[pdf["stranger"]].reset_index(drop=True), pdf[~pdf["stranger"]].reset_index(drop=True))
+        self.similarity, self.band = similarity, int(pdf["bucket"].iloc[0]) & (BANDS - 1)
+
+    def likely(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of strangers and of members, and the estimate, of likely pairs whose first common bucket is this one."""
+        a, b = self.left, self.right
+        # once a pair, in one order if both are strangers here
+        new = a["comp"].to_numpy()[:, None] != b["comp"].to_numpy()[None]
+        new &= (b["comp"] == b["main"]).to_numpy()[None] | (a["node"].to_numpy()[:, None] < b["node"].to_numpy()[None])
+        x, y = np.nonzero(new & (a["home"].to_numpy()[:, None] | b["home"].to_numpy()[None]))
+        n_a, n_b = a["n"].to_numpy(), b["n"].to_numpy()
+        most = np.minimum(a["free"].to_numpy()[x], b["free"].to_numpy()[y])  # what either shares with anyone
+        ok = most >= self.similarity * (n_a[x] + n_b[y] - most) - 1e-9
+        x, y = x[ok], y[ok]
+        regs_a, regs_b = (np.frombuffer(b"".join(d["regs"]), np.uint16).reshape(-1, BUCKETS) for d in (a, b))
+        out = []
+        for at in range(0, len(x), 1 << 15):
+            i, j = x[at : at + (1 << 15)], y[at : at + (1 << 15)]
+            same = regs_a[i] == regs_b[j]
+            est = estimate_from(same.sum(1), n_a[i], n_b[j])
+            keep = est >= least_estimate(n_a[i], n_b[j], self.similarity)
+            if self.band:
+                earlier = same[:, : self.band * ROWS].reshape(len(i), self.band, ROWS).all(2).any(1)
+                keep &= ~earlier
+            out.append((i[keep], j[keep], est[keep]))
+        return tuple(np.concatenate(v) for v in zip(*out, strict=True)) if out else (x, y, np.zeros(0))
+
+    def links(self, percent: int, dense: float) -> np.ndarray:
+        """Pairs of components that some likely pair links."""
+        x, y, est = self.likely()
+        comps = [self.left["comp"].to_numpy(), self.right["comp"].to_numpy()]
+        sets = [[shingle_set(t.encode()) for t in d["text"]] for d in (self.left, self.right)]
+        sizes = [np.array([len(s) for s in side]) for side in sets]
+        if len(x) > dense * len(self.left) * len(self.right):
+            both = common(*sets)[x, y]
+            ok = 100 * both.astype(np.float64) >= percent * (sizes[0][x] + sizes[1][y] - both)
+            found = np.column_stack([comps[0][x[ok]], comps[1][y[ok]]])
+            return np.unique(np.sort(found, axis=1), axis=0)
+        root: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while root.setdefault(c, c) != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        out = []
+        for i in np.argsort(-est, kind="stable"):
+            p, q = find(int(comps[0][x[i]])), find(int(comps[1][y[i]]))
+            if p == q:
+                continue
+            left, right = sets[0][x[i]], sets[1][y[i]]
+            both = len(np.intersect1d(left, right, assume_unique=True))
+            if 100 * both >= percent * (len(left) + len(right) - both) > 0:
+                root[max(p, q)] = min(p, q)
+                out.append(sorted((int(comps[0][x[i]]), int(comps[1][y[i]]))))
+        return np.array(out, np.int64).reshape(-1, 2)
+
+
+KEYS = ["bucket", "length", "at", "strangers"]
+
 
+def _partners(similarity: float):
+    """The rows of a block that have a likely partner there."""
+
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        b = Block(pdf, similarity)
+        x, y, _ = b.likely()
+        found = pd.concat([b.left.iloc[np.unique(x)], b.right.iloc[np.unique(y)]])
+        return found[[*KEYS, "home", "node", "comp", "main", "n", "free", "regs", "stranger"]]
+
+    return run
+
+
+def _block_links(similarity: float, percent: int, dense: float):
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        for side in (pdf[pdf["stranger"]], pdf[~pdf["stranger"]]):
-            regs = np.frombuffer(b"".join(side["regs"]), np.uint16).reshape(-1, BUCKETS)
-            parts.append((side["node"].to_numpy(), side["comp"].to_numpy(), side["n"].to_numpy(), side["free"].to_numpy(), side["home"].to_numpy(), regs))
-        (a, comp_a, n_a, free_a, home_a, regs_a), (b, comp_b, n_b, free_b, home_b, regs_b) = parts
-        x, y = np.nonzero((comp_a[:, None] != comp_b[None]) & (home_a[:, None] | home_b[None]))
-        # what both have in common is bounded by what either shares with anyone
-        most = np.minimum(free_a[x], free_b[y])
-        ok = most >= similarity * (n_a[x] + n_b[y] - most) - 1e-9
-        x, y, out = x[ok], y[ok], []
-        for at in range(0, len(x), 1 << 16):
-            i, j = x[at : at + (1 << 16)], y[at : at + (1 << 16)]
-            est = estimate(regs_a[i], regs_b[j], n_a[i], n_b[j])
-            keep = est >= least_estimate(n_a[i], n_b[j], similarity)
-            out.append(np.column_stack([a[i[keep]], b[j[keep]]]))
-        found = np.unique(np.sort(np.concatenate(out), axis=1), axis=0) if out else np.empty((0, 2), np.int64)
+        found = Block(pdf, similarity).links(percent, dense) if pdf["stranger"].any() and not pdf["stranger"].all() else np.empty((0, 2), np.int64)
         return pd.DataFrame(found, columns=["a", "b"])
 
     return run
 
 
-def _hidden_pairs(mates: DataFrame, comps: DataFrame, classes: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
-    """Likely pairs (a, b) of different components among all that share a bucket, not only those with its leader."""
+def _hidden_links(mates: DataFrame, comps: DataFrame, classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components among all that share a bucket, not only those with its leader."""
+    similarity = percent / 100
     # similar sizes are in one class or in neighbouring ones; the margin is for rounding
     width = -float(np.log(similarity)) * (1 + 1e-6)
     length = F.floor(F.log(F.col("n_shingles").cast("double")) / F.lit(width)).cast("int")
@@ -279,11 +334,12 @@ def _hidden_pairs(mates: DataFrame, comps: DataFrame, classes: DataFrame, rows:
     ratio = F.least("n_shingles_1", "n_shingles_2") >= F.lit(similarity) * F.greatest("n_shingles_1", "n_shingles_2") - 1e-9
     met = x.join(y, ["bucket", "length"]).where("node_1 < node_2 AND comp_1 <> comp_2 AND (home_1 OR home_2)").where(ratio)
     pairs = cut(met.select(F.col("node_1").alias("a"), F.col("node_2").alias("b")).distinct(), "nd-met")
-    likely = _with_registers(pairs, classes, similarity).select("a", "b")
+    likely = cut(_with_registers(pairs, classes, similarity).select("a", "b"), "nd-likely")
+    links = _verified(likely, classes, rows, percent)
 
     crowd = left.where(F.col("members") > FEW)
     nodes = cut(crowd.select("node").distinct(), "nd-crowd")
-    made = [placed, open_, left, pairs, nodes]
+    made = [placed, open_, left, pairs, likely, nodes]
     if not nodes.isEmpty():
         texts = _texts(nodes, classes, rows)
         own = map_arrow(texts, _own, "node long, shingle long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"))
@@ -292,60 +348,25 @@ def _hidden_pairs(mates: DataFrame, comps: DataFrame, classes: DataFrame, rows:
         able = nodes.join(classes.select("node", "n_shingles", "regs"), "node").join(own, "node", "left").select("node", "regs", free.alias("free"), "n_shingles")
         able = cut(able.where(free >= F.lit(similarity) * F.col("n_shingles") - 1e-9).drop("n_shingles"), "nd-able")
         each = crowd.join(able, "node").select("bucket", "length", "home", "node", "comp", "main", F.col("n_shingles").alias("n"), "free", "regs", "members", "most")
-        at = [F.ceil(n / CROWD).cast("int") for n in (F.col("members"), F.col("members") - F.col("most"))]
-        blocks = _blocks(each, at, F.col("comp") != F.col("main"), ["bucket", "length"], ["home", "node", "comp", "n", "free", "regs"])
-        found = blocks.groupBy("bucket", "length", "at", "strangers").applyInPandas(_compare(similarity), "a long, b long")
-        likely = likely.union(found).distinct()
-        made += [texts, able]
-    likely = cut(likely, "nd-hidden")
+        blocks = _blocks(each, CROWD, ["home", "node", "comp", "main", "n", "free", "regs"])
+        schema = "bucket long, length int, at int, strangers int, home boolean, node long, comp long, main long, n long, free long, regs binary, stranger boolean"
+        near = blocks.groupBy(*KEYS).applyInPandas(_partners(similarity), schema)
+        found = near.join(texts, "node").groupBy(*KEYS).applyInPandas(_block_links(similarity, percent, DENSE), "a long, b long").distinct()
+        both = cut(links.union(found), "nd-hidden")
+        made += [texts, able, links]
+        links = both
     drop(*made)
-    return likely
+    return links
 
 
-def _blocks(rows: DataFrame, counts: list, stranger, keys: list[str], columns: list[str]) -> DataFrame:
-    """Rows dealt over blocks (keys, at, strangers): every stranger meets every member in one of them."""
-    own = [F.pmod(F.xxhash64("node", F.lit(i)), F.greatest(n, F.lit(1))).cast("int") for i, n in enumerate(counts)]
-    each = [F.explode(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1)) for n in counts]
-    member = rows.select(*keys, own[0].alias("at"), each[1].alias("strangers"), *columns, F.lit(False).alias("stranger"))
-    some = rows.where(stranger).select(*keys, each[0].alias("at"), own[1].alias("strangers"), *columns, F.lit(True).alias("stranger"))
-    return member.union(some)
-
-
-def _links_across(likely: DataFrame, comps: DataFrame, classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs that link two components: of nodes, or of the components themselves.
-
-    likely are pairs of different components. They form clusters; where a cluster holds so many that comparing
-    all outside its largest component with all its members costs little more, that is done in blocks of texts.
-    The other pairs are verified one by one.
-    """
-    clusters = connected_components(likely).withColumnRenamed("component", "cluster")
-    placed = clusters.join(comps, "node", "left").select("cluster", "node", F.coalesce("component", "node").alias("comp"))
-    placed = placed.join(classes.select("node", "n_shingles"), "node")
-    sizes = placed.groupBy("cluster", "comp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
-    main = sizes.groupBy("cluster").agg(
-        F.max(F.struct("n", "comp", "shingles")).alias("main"), F.sum("n").alias("members"), F.sum("shingles").alias("shingles")
-    )
-    count = likely.join(clusters, likely["a"] == clusters["node"]).groupBy("cluster").agg(F.count("*").alias("pairs"))
-    main = main.join(count, "cluster").select("cluster", "members", "shingles", "pairs", F.col("main.n").alias("most"), F.col("main.comp").alias("main"), F.col("main.shingles").alias("own"))
-    dense = (F.col("pairs") >= DENSE_PAIRS) & (F.col("pairs") >= DENSE * F.col("members") * (F.col("members") - F.col("most")))
-    dense = cut(main.where(dense), "nd-dense")
-    if dense.isEmpty():
-        out = _verified(likely, classes, rows, percent)
-        drop(dense)
-        return out
-    small = F.broadcast(dense) if dense.count() <= BROADCAST_IDS else dense
-    inside = cut(placed.join(small, "cluster"), "nd-inside")
-    alone = likely.join(clusters.select(F.col("node").alias("a"), "cluster"), "a").join(small.select("cluster"), "cluster", "left_anti")
-    links = _verified(alone.select("a", "b"), classes, rows, percent)
-    texts = _texts(inside, classes, rows)
-    each = inside.join(texts, "node")
-    strangers, held = F.col("members") - F.col("most"), F.col("shingles") - F.col("own")
-    at = [F.greatest(F.ceil(n / BLOCK), F.ceil(m / BLOCK_SHINGLES)).cast("int") for n, m in ((F.col("members"), F.col("shingles")), (strangers, held))]
-    blocks = _blocks(each, at, F.col("comp") != F.col("main"), ["cluster"], ["comp", "text"])
-    across = blocks.groupBy("cluster", "at", "strangers").applyInPandas(_across(percent), "a long, b long").distinct()
-    out = cut(links.union(across), "nd-across")
-    drop(dense, inside, links, texts)
-    return out
+def _blocks(rows: DataFrame, size: int, columns: list[str]) -> DataFrame:
+    """Rows dealt over blocks (KEYS) of a bucket: every row outside its largest component meets every row in one of them."""
+    counts = [F.greatest(F.ceil(n / size).cast("int"), F.lit(1)) for n in (F.col("members"), F.col("members") - F.col("most"))]
+    own = [F.pmod(F.xxhash64("node", F.lit(i)), n).cast("int") for i, n in enumerate(counts)]
+    each = [F.explode(F.sequence(F.lit(0), n - 1)) for n in counts]
+    member = rows.select("bucket", "length", own[0].alias("at"), each[1].alias("strangers"), *columns, F.lit(False).alias("stranger"))
+    outside = rows.where("comp <> main")
+    return member.union(outside.select("bucket", "length", each[0].alias("at"), own[1].alias("strangers"), *columns, F.lit(True).alias("stranger")))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -379,11 +400,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     comps = connected_components(links)
     drop(star, likely, first)
 
-    hidden = _hidden_pairs(mates, comps, classes, rows, similarity)
+    hidden = _hidden_links(mates, comps, classes, rows, percent)
     if not hidden.isEmpty():
-        more = _links_across(hidden, comps, classes, rows, percent)
-        both = cut(links.union(more), "nd-links")
-        drop(comps, links, more)
+        both = cut(links.union(hidden), "nd-links")
+        drop(comps, links)
         links, comps = both, connected_components(both)
     drop(mates, hidden, links)
 

@@ -81,10 +81,11 @@ def test_no_leader_hides_a_pair(spark):
     assert result(nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == want
 
 
-@pytest.mark.parametrize("changed", [0.02, 0.027])
-def test_a_family_around_the_limit(spark, monkeypatch, changed):
-    """Changed copies of one text at 0.6 to 0.8, compared one by one and in blocks, and a crowd with others."""
-    monkeypatch.setattr(nd, "DENSE_PAIRS", 50)
+@pytest.mark.parametrize(("changed", "dense"), [(0.02, 0), (0.027, 1)])
+def test_a_family_around_the_limit(spark, monkeypatch, changed, dense):
+    """Changed copies of one text at 0.6 to 0.8, verified one by one and multiplied out, over several blocks."""
+    monkeypatch.setattr(nd, "DENSE", dense)
+    monkeypatch.setattr(nd, "CROWD", 64)
     rnd = random.Random(8)
     base = draw(rnd, 150)
     rows = []
