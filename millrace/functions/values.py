@@ -193,10 +193,27 @@ def contains_quote(evidence: Column | str, quote: Column | str) -> Column:
     return F.contains(F.lower(c(evidence)), F.lower(F.trim(c(quote)))) & (F.trim(c(quote)) != "")
 
 
-def event_problems() -> Column:
-    """FLT-14: what is wrong with an event row (event_id, n_articles, date_min, date_max, low, high, confidence)."""
+def event_problems(counts: tuple[str, ...] = ("counts",)) -> Column:
+    """FLT-14: what is wrong with the structure of an event row, in order; an empty list is a well-formed row.
+
+    The row has event_id, source_uids (array), n_articles, date_start, date_end, deaths, affected_population,
+    flood_type_confidence and, for each of counts, a struct with min and max.
+    """
+    n = F.coalesce(F.size("source_uids"), F.lit(0))
+    texts = lambda *xs: F.concat(*[x.cast("string") if isinstance(x, Column) else F.lit(x) for x in xs])
     bad = [
-        (F.trim(F.coalesce("event_id", F.lit(""))) == "", "missing id"), (F.col("n_articles") < 1, "no articles"), (F.col("date_min") > F.col("date_max"), "dates reversed"),
-        (F.col("low") > F.col("high"), "min over max"), ((F.col("low") < 0) | (F.col("high") < 0), "negative count"), (~F.col("confidence").between(0, 1), "confidence out of range"),
-    ]
+        (F.coalesce("event_id", F.lit("")) == "", F.lit("missing event_id")),
+        (n == 0, F.lit("no source_uids: an event with no article is not evidence of anything")),
+        (F.col("n_articles") != n, texts("n_articles=", F.col("n_articles"), " but ", n, " source_uids")),
+        (F.col("date_start") > F.col("date_end"), F.lit("date_start after date_end")),
+        *[(F.col(f"{k}.min") > F.col(f"{k}.max"), texts(f"{k}: min ", F.col(f"{k}.min"), " > max ", F.col(f"{k}.max"))) for k in counts],
+        *[(F.col(k) < 0, F.lit(f"{k} is negative")) for k in ("deaths", "affected_population")],
+        (~F.col("flood_type_confidence").between(0, 1), F.lit("flood_type_confidence outside [0, 1]")),
+    ]
     return F.array_compact(F.array(*[F.when(b, msg) for b, msg in bad]))
+
+
+def implausible(limits: dict[str, float]) -> Column:
+    """FLT-16: struct(field, value) of every field whose value reaches its limit, in the order of limits."""
+    each = [F.when(F.col(k).cast("double") >= v, F.struct(F.lit(k).alias("field"), F.col(k).cast("double").alias("value"))) for k, v in limits.items()]
+    return F.array_compact(F.array(*each))

@@ -27,7 +27,11 @@ def token_support(text: Column, phrase: Column) -> Column:
 
 
 def ground(assertions: DataFrame, ratio: float = 0.6, window: int = 160, head: int | None = None) -> DataFrame:
-    """CMP-3: grounded, method, token_ratio and evidence of assertions (uid, field, kind number/date/text, value, text), in the first `head` characters if it is given."""
+    """CMP-3, DAT-5: grounded, method, token_ratio and evidence of assertions (uid, field, kind number/date/text, value, text), in the first `head` characters if it is given.
+
+    With a column publish_date, a date that the text does not state but whose weekday it names, within a week of
+    publication, has the method weekday_relative: it is still not grounded.
+    """
     text = F.col("text") if head is None else F.substring("text", 1, head)
     forms = (
         F.when(F.col("kind") == "number", number_surface_forms(F.col("value").try_cast("double")))
@@ -39,7 +43,18 @@ def ground(assertions: DataFrame, ratio: float = 0.6, window: int = 160, head: i
     method = F.when(F.col("form").isNotNull(), "exact").when(F.col("token_ratio") >= ratio, "tokens").otherwise("none")
     at = F.instr(F.lower(text), F.lower(F.coalesce("form", F.get(F.split("value", " "), F.lit(0)))))
     near = F.when(at > 0, F.substring(text, F.greatest(at - window // 2, F.lit(1)), F.lit(window)))
-    return out.withColumns({"method": method, "grounded": method != "none", "evidence": F.when(method != "none", near)}).drop("form")
+    out = out.withColumns({"method": method, "grounded": method != "none", "evidence": F.when(method != "none", near)}).drop("form")
+    if "publish_date" not in assertions.columns:
+        return out
+    day = F.try_to_date("value", "yyyy-MM-dd")
+    relative = (F.col("kind") == "date") & (F.col("method") == "none") & weekday_relative(text, day, F.try_to_date(F.col("publish_date").cast("string"), "yyyy-MM-dd"))
+    return out.withColumn("method", F.when(relative, "weekday_relative").otherwise(F.col("method")))
+
+
+def weekday_relative(text: Column, day: Column, published: Column, days: int = 7) -> Column:
+    """DAT-5: whether a text names the weekday of a date that lies within so many days of its publication."""
+    named = F.regexp_like(F.lower(text), F.concat(F.lit(r"\b"), F.lower(F.date_format(day, "EEEE")), F.lit(r"\b")))
+    return F.coalesce(named & (F.abs(F.datediff(published, day)) <= days), F.lit(False))
 
 
 def support_rates(grounded: DataFrame) -> DataFrame:
@@ -47,6 +62,29 @@ def support_rates(grounded: DataFrame) -> DataFrame:
     return grounded.groupBy("field").agg(F.count("*").alias("n"), F.avg(F.col("grounded").cast("double")).alias("support"), F.avg("token_ratio").alias("mean_ratio"))
 
 
+def grounding_summary(grounded: DataFrame, agreement: DataFrame | None = None) -> DataFrame:
+    """AGG-18: one row of articles, mean_ratio (of each article's grounded share), fully_grounded and agreement.
+
+    agreement: uid and agrees (whether an entity tagger found what a slot says); without it the share is null.
+    """
+    per = grounded.groupBy("uid").agg(F.avg(F.col("grounded").cast("double")).alias("share"))
+    out = per.agg(F.count("*").alias("articles"), F.avg("share").alias("mean_ratio"), F.avg((F.col("share") == 1).cast("double")).alias("fully_grounded"))
+    if agreement is None:
+        return out.withColumn("agreement", F.lit(None).cast("double"))
+    return out.join(F.broadcast(agreement.agg(F.avg(F.col("agrees").cast("double")).alias("agreement"))))  # one row
+
+
+def resolution_rates(places: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """AGG-19: shares of uids with any and with all places resolved (one row), and resolved places by feature.
+
+    places: uid, status, feature.
+    """
+    ok = F.col("status") == "resolved"
+    per = places.groupBy("uid").agg(F.bool_or(ok).alias("any"), F.bool_and(ok).alias("all"))
+    rate = lambda x: F.avg(F.col(x).cast("double")).alias(x)
+    return per.agg(F.count("*").alias("uids"), rate("any"), rate("all")), places.where(ok).groupBy("feature").agg(F.count("*").alias("n"))
+
+
 def surface_forms(mention: Column | str) -> Column:
     """STR-21: array of struct(form, kind): full, without brackets, what brackets hold, parts between commas, capitalised runs."""
     m = F.trim(c(mention))

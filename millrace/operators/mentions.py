@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions import text as T
 from millrace.functions import values as V
 from millrace.operators.relational import first_by, ranked
-from millrace.operators.vector import medoids
+from millrace.operators.vector import UNKNOWN_TYPE, medoids
 
 # fixed values: names that models invent for a slot, and the slot they mean
 ALIASES = {
@@ -52,23 +52,45 @@ def _count(key: str) -> Column:
     return F.coalesce(F.array_max(values), F.lit(-1.0)).alias(key)
 
 
-def embedding_text() -> Column:
-    """PRJ-8: title, summary, places, rivers, country, dates and causes, each without its last full stop."""
-    part = lambda x: F.nullif(F.regexp_replace(F.trim(F.coalesce(x, F.lit(""))), r"\.+$", ""), F.lit(""))
-    some = lambda x, n: F.array_join(F.slice(x, 1, n), ", ")
-    return F.concat_ws(". ", part(F.col("title")), part(F.col("summary")), part(some("places", 12)), part(some("rivers", 6)), part(F.col("country")), part(some(F.col("dates").cast("array<string>"), 6)), part(some("causes", 4)))
+def embedding_text(type_: Column | str | None = None) -> Column:
+    """PRJ-8: what an embedding model sees of a mention: title, summary and labelled parts, each without its last full stops."""
+    def part(label: str, value: Column) -> Column:
+        return F.when(F.coalesce(value, F.lit("")) != "", F.regexp_replace(F.concat(F.lit(label), value), r"\.+$", ""))
+
+    def some(name: str, n: int, by: str = "; ") -> Column:
+        return F.array_join(F.slice(F.col(name).cast("array<string>"), 1, n), by)
+
+    kind = F.col("flood_type") if type_ is None else F.col(type_) if isinstance(type_, str) else type_
+    title = F.regexp_replace(F.trim(F.coalesce("title", F.lit(""))), r"\.+$", "")
+    return F.concat_ws(
+        ". ", F.when(F.trim(F.coalesce("title", F.lit(""))) != "", title), part("", F.col("summary")), part("Flooded: ", some("places", 12)), part("River: ", some("rivers", 6)),
+        part("Country: ", F.col("country")), part("Flood type: ", F.nullif(kind, F.lit(UNKNOWN_TYPE))), part("Date: ", some("dates", 6, ", ")), part("Cause: ", some("causes", 4)),
+    )
 
 
 def index_metadata(mentions: DataFrame) -> DataFrame:
-    """PRJ-9: flat metadata; missing counts -1, missing texts empty, lists joined."""
+    """PRJ-9: flat metadata without nulls: missing counts -1, missing texts empty, lists joined.
+
+    mentions: uid, year, month, article_id, publish_date, title, country, city, places, rivers, dates (sorted),
+    flood_type, flood_type_confidence, flood_type_evidence, n_events, verifiable, contains_flood and the counts.
+    """
+    text = lambda x: F.coalesce(F.col(x).cast("string"), F.lit(""))
+    some = lambda x, n: F.coalesce(F.array_join(F.slice(x, 1, n), "; "), F.lit(""))
+    day = lambda x: F.coalesce(x.cast("string"), F.lit(""))
+    first, last = F.get("dates", F.lit(0)), F.try_element_at("dates", F.lit(-1))
     return mentions.select(
-        "uid", F.substring(F.coalesce("title", F.lit("")), 1, 300).alias("title"), F.coalesce("country", F.lit("")).alias("country"), F.array_join(F.slice("places", 1, 20), "; ").alias("places"),
-        F.array_join(F.slice("rivers", 1, 10), "; ").alias("rivers"), F.coalesce(F.col("date_min").cast("string"), F.lit("")).alias("date_min"), F.coalesce(F.col("date_max").cast("string"), F.lit("")).alias("date_max"),
+        "uid", F.col("year").cast("int").alias("year"), *[text(x).alias(x) for x in ("month", "article_id", "publish_date")],
+        day(first).alias("event_date"), day(first).alias("date_min"), day(last).alias("date_max"), text("country").alias("country"), text("city").alias("city"),
+        some("places", 20).alias("locations"), F.coalesce(F.size("places"), F.lit(0)).alias("n_locations"), some("rivers", 10).alias("rivers"),
+        F.coalesce("flood_type", F.lit(UNKNOWN_TYPE)).alias("flood_type"), F.coalesce(F.col("flood_type_confidence").cast("double"), F.lit(0.0)).alias("flood_type_confidence"),
+        F.substring(text("flood_type_evidence"), 1, 300).alias("flood_type_evidence"), F.coalesce("n_events", F.lit(0)).alias("n_events"),
+        *[F.coalesce(x, F.lit(False)).alias(x) for x in ("verifiable", "contains_flood")], F.substring(text("title"), 1, 300).alias("title"),
         *[F.coalesce(k, F.lit(-1.0)).alias(k) for k in COUNTS],
     )
 
 
-BANDS = [("catastrophic", 100, 100_000), ("severe", 20, 10_000), ("moderate", 1, 1_000), ("minor", 0, 0)]
+# fixed values: severity bands by the least deaths and the least people affected
+BANDS = [("catastrophic", 100, 1_000_000), ("major", 20, 100_000), ("moderate", 3, 10_000), ("minor", 0, 0)]
 
 
 def build_events(mentions: DataFrame, clusters: DataFrame, vectors: DataFrame | None = None, bands=BANDS) -> DataFrame:

@@ -47,8 +47,8 @@ def top_counts(df: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def stratified_sample(df: DataFrame, strata: str, key: str, n: int, seed: int = 13) -> DataFrame:
-    """SRT-3, SRT-4: n rows of each stratum in the order of a seeded hash: the same rows, however the table is dealt."""
-    return first_by(df.withColumn("_h", F.xxhash64(F.lit(seed), key)), [strata], "_h", key, n=n).drop("_h")
+    """SRT-3, SRT-4: n rows of each stratum in the order of a seeded digest: the same rows, however the table is dealt."""
+    return first_by(df.withColumn("_h", order_hash(seed, key)), [strata], "_h", key, n=n).drop("_h")
 
 
 def merge_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -89,16 +89,65 @@ def patch_rejection(source: Column, patch: Column) -> Column:
     )
 
 
-VALIDATION = ("text-missing", "text-blank", "title-missing", "title-blank", "empty-after-cleaning", "too-short", "garbled")
+# fixed values: the codes for leaving a document out
+REASONS = (
+    "malformed_json", "unreadable_file", "not_a_json_object", "missing_translated_text", "empty_translated_text", "empty_translated_text_after_cleaning", "missing_translated_title",
+    "empty_translated_title", "fewer_than_min_words", "garbled_text", "missing_article_id", "write_failed", "duplicate_text",
+)
 
 
-def validation_reason(title: Column, text: Column, cleaned: Column, words: Column, min_words: int = 100, garbled: Column | None = None) -> Column:
+def file_reason(raw: Column, is_object: Column, is_json: Column) -> Column:
+    """FLT-4: why a file gives no document: it can't be read (a null), is no JSON, or is no object."""
+    return F.when(raw.isNull(), "unreadable_file").when(~is_json, "malformed_json").when(~is_object, "not_a_json_object")
+
+
+def validation_reason(title: Column, text: Column, cleaned_title: Column, cleaned: Column, words: Column, min_words: int = 100, garbled: Column | None = None) -> Column:
     """FLT-4: the first reason to leave a document out, cheapest test first; null keeps it."""
+    blank = lambda x: ~F.coalesce(x, F.lit("")).rlike(r"(?U)\S")
     out = (
-        F.when(text.isNull(), "text-missing").when(F.trim(text) == "", "text-blank").when(title.isNull(), "title-missing").when(F.trim(title) == "", "title-blank")
-        .when(F.coalesce(cleaned, F.lit("")) == "", "empty-after-cleaning").when(words < min_words, "too-short")
+        F.when(text.isNull(), "missing_translated_text").when(blank(text), "empty_translated_text")
+        .when(title.isNull(), "missing_translated_title").when(F.coalesce(cleaned_title, F.lit("")) == "", "empty_translated_title")
+        .when(F.coalesce(cleaned, F.lit("")) == "", "empty_translated_text_after_cleaning").when(words < min_words, "fewer_than_min_words")
     )
-    return out.when(garbled, "garbled") if garbled is not None else out
+    return out.when(garbled, "garbled_text") if garbled is not None else out
+
+
+def reason_report(rejected: DataFrame, reason: str = "reason", key: str = "article_id", detail: str = "detail", shown: int = 10) -> DataFrame:
+    """AGG-5: reason, n, share and the first examples (key and detail) by key; only those examples ever leave their tasks."""
+    counts = rejected.groupBy(reason).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n").alias("total"))  # one row
+    some = first_by(rejected, [reason], key, n=shown).groupBy(reason).agg(F.sort_array(F.collect_list(F.struct(key, detail))).alias("examples"))
+    out = counts.join(F.broadcast(total)).join(some, reason)
+    return out.select(reason, "n", (F.col("n") / F.col("total")).alias("share"), "examples")
+
+
+def order_hash(seed: int, *keys: Column | str) -> Column:
+    """The place of a row in a seeded random order: a digest of its key, alike wherever it is computed."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") if isinstance(k, str) else k.cast("string") for k in keys]))
+
+
+def rule_examples(df: DataFrame, rule: str, text: str, n: int, pool: int = 40, seed: int = 13) -> DataFrame:
+    """SRT-7: n random examples of each rule, out of its first `pool` by text, with how often the rule fired."""
+    w = Window.partitionBy(rule).orderBy(text)
+    first = df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= pool)
+    some = first_by(first.withColumn("_h", order_hash(seed, rule, text)), [rule], "_h", text, n=n).select(rule, text)
+    return some.join(df.groupBy(rule).agg(F.count("*").alias("fired")), rule)
+
+
+def symmetric_difference(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """SET-3: keys of exactly one of two tables, and which; one aggregate, no anti-joins."""
+    sides = a.select(key, F.lit(1).alias("side")).union(b.select(key, F.lit(2).alias("side")))
+    seen = sides.groupBy(key).agg(F.bit_or("side").alias("side"))
+    return seen.where("side < 3").select(key, F.when(F.col("side") == 1, "left").otherwise("right").alias("only_in"))
+
+
+def run_union(runs: dict[str, DataFrame], keys: tuple[str, ...] = ("query", "uid"), rank: str = "rank") -> DataFrame:
+    """SET-1: the distinct keys of several runs, with the rank in each run (null where it has none)."""
+    parts = [df.select(*keys, *[F.col(rank).alias(f"{name}_rank") if n == name else F.lit(None).cast(df.schema[rank].dataType).alias(f"{n}_rank") for n in runs]) for name, df in runs.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy(*keys).agg(*[F.min(f"{n}_rank").alias(f"{n}_rank") for n in runs])
 
 
 def ranked(df: DataFrame, *order: Column | str) -> DataFrame:

@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.places import location_similarity, river_similarity
+from millrace.functions.text import jaccard, normalize_ascii
 from millrace.functions.values import date_gap, date_proximity
 from millrace.operators.graph import connected_components
 from millrace.operators.relational import first_by
@@ -50,20 +52,33 @@ def knn(vectors: DataFrame, k: int, queries: DataFrame | None = None, id_: str =
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+# fixed values: the weights of the signals, and what unknown fields count
 WEIGHTS = {"semantic": 0.55, "date": 0.15, "location": 0.15, "river": 0.05, "type": 0.05, "country": 0.05}
+UNKNOWN, UNKNOWN_TYPE = 0.5, "Unknown"
 
 
-def same(a: Column, b: Column, unknown: float = 0.5) -> Column:
+def same(a: Column, b: Column, unknown: float = UNKNOWN) -> Column:
+    """1 for equal values, 0 for different ones, unknown if either is missing or empty."""
     return F.when(a.isNull() | b.isNull() | (a == "") | (b == ""), unknown).when(a == b, 1.0).otherwise(0.0)
 
 
 def pair_signals(pairs: DataFrame) -> DataFrame:
-    """NUM-11: the six signals of pairs with sim, date_min_a .. date_max_b, places_a, rivers_a, type_a, country_a and those of b."""
+    """NUM-11: the six signals of pairs with sim, date_min_a .. date_max_b, places_a, rivers_a, type_a, country_a and those of b.
+
+    Places are compared by their best pair of names, rivers by their keys, countries by their normalised names;
+    a type that is "Unknown" is no value.
+    """
     gap = date_gap(F.col("date_min_a"), F.col("date_max_a"), F.col("date_min_b"), F.col("date_max_b"))
-    meets = lambda x: F.when((F.size(f"{x}_a") < 1) | (F.size(f"{x}_b") < 1), 0.5).when(F.arrays_overlap(f"{x}_a", f"{x}_b"), 1.0).otherwise(0.0)
+
+    def lists(x: str, similarity) -> Column:
+        empty = (F.coalesce(F.size(f"{x}_a"), F.lit(0)) < 1) | (F.coalesce(F.size(f"{x}_b"), F.lit(0)) < 1)
+        return F.when(empty, UNKNOWN).otherwise(similarity(f"{x}_a", f"{x}_b"))
+
+    known = [F.nullif(F.col(f"type_{s}"), F.lit(UNKNOWN_TYPE)) for s in "ab"]
     return pairs.withColumns({
-        "gap": gap, "s_semantic": F.least(F.greatest(F.col("sim"), F.lit(0.0)), F.lit(1.0)), "s_date": date_proximity(gap), "s_location": meets("places"), "s_river": meets("rivers"),
-        "s_type": same(F.col("type_a"), F.col("type_b")), "s_country": same(F.col("country_a"), F.col("country_b")),
+        "gap": gap, "s_semantic": F.least(F.greatest(F.col("sim"), F.lit(0.0)), F.lit(1.0)), "s_date": date_proximity(gap),
+        "s_location": lists("places", location_similarity), "s_river": lists("rivers", river_similarity),
+        "s_type": same(*known), "s_country": same(*[normalize_ascii(f"country_{s}") for s in "ab"]),
     })
 
 
@@ -76,8 +91,8 @@ def pair_score(weights: dict[str, float] = WEIGHTS) -> Column:
 
 def veto(max_gap: int = 3) -> Column:
     """JN-8: too far apart in time, or in countries that are known and differ."""
-    a, b = F.col("country_a"), F.col("country_b")
-    return F.coalesce(F.col("gap") > max_gap, F.lit(False)) | F.coalesce((a != "") & (b != "") & (a != b), F.lit(False))
+    a, b = normalize_ascii("country_a"), normalize_ascii("country_b")
+    return F.coalesce(F.col("gap") > max_gap, F.lit(False)) | ((a != "") & (b != "") & (a != b))
 
 
 def span_limited_clusters(links: DataFrame, spans: DataFrame, days: int = 45) -> DataFrame:
@@ -140,3 +155,23 @@ def cluster_events(vectors: DataFrame, meta: DataFrame, k: int = 20, min_cosine:
     order = scored.select("a", "b", (F.lit(1_000_000_000) - F.round(F.col("score") * 1e6).cast("long")).alias("order"))
     clusters = span_limited_clusters(order, meta.select(F.col("id").alias("node"), F.col("date_min").alias("lo"), F.col("date_max").alias("hi")), days)
     return vectors.select(F.col("id").alias("node")).join(clusters, "node", "left").select("node", F.coalesce("cluster", "node").alias("cluster"))
+
+
+def signal_percentiles(scored: DataFrame, signals: tuple[str, ...] = (*(f"s_{k}" for k in WEIGHTS), "score")) -> DataFrame:
+    """AGG-22: signal, n, mean, p10, median and p90 over accepted links, a row a signal."""
+    long = scored.select(F.explode(F.array(*[F.struct(F.lit(k).alias("signal"), F.col(k).cast("double").alias("v")) for k in signals])).alias("s")).select("s.*")
+    p = F.percentile("v", F.array(*[F.lit(x) for x in (0.1, 0.5, 0.9)])).alias("p")
+    out = long.groupBy("signal").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), p)
+    return out.select("signal", "n", "mean", *[F.get("p", F.lit(i)).alias(x) for i, x in enumerate(("p10", "median", "p90"))])
+
+
+def semantic_duplicates(vectors: DataFrame, texts: DataFrame, k: int = 20, least: float = 0.95, most_jaccard: float = 0.5) -> DataFrame:
+    """CMP-2: a, b, sim, jaccard of neighbours whose vectors nearly agree while their words do not: candidates only.
+
+    vectors: id, embedding; texts: id, shingles (array). What few pairs pass the cosine fetch their shingles.
+    """
+    near = knn(vectors, k).where(F.col("sim") >= least)
+    pairs = near.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("sim").alias("sim"))
+    for s in "ab":
+        pairs = pairs.join(texts.select(F.col("id").alias(s), F.col("shingles").alias(f"shingles_{s}")), s)
+    return pairs.select("a", "b", "sim", jaccard("shingles_a", "shingles_b").alias("jaccard")).where(F.col("jaccard") < most_jaccard)

@@ -16,7 +16,7 @@ from millrace.session import cut, table
 _NORM = r"trim(regexp_replace(lower(text), '\s+', ' ', 'g'))"
 _WORDS = rf"(CASE WHEN {_NORM} = '' THEN 0 ELSE len(string_split({_NORM}, ' ')) END)"
 _TITLE = r"split_part(text, chr(10), 1)"
-_REASON = rf"CASE WHEN {_NORM} = '' THEN 'text-blank' WHEN {_WORDS} < 100 THEN 'too-short' END"
+_REASON = rf"CASE WHEN {_NORM} = '' THEN 'empty_translated_text' WHEN {_WORDS} < 100 THEN 'fewer_than_min_words' END"
 
 
 def _cleaned(spark, sf):
@@ -24,7 +24,7 @@ def _cleaned(spark, sf):
     norm = F.lower(T.collapse("text"))
     words = F.when(norm == "", 0).otherwise(F.size(F.split(norm, " "))).cast("long")
     title = F.split("text", "\n")[0]
-    reason = validation_reason(title.isNotNull().cast("string"), F.col("text"), norm, words)
+    reason = validation_reason(title, F.col("text"), F.lit("-"), norm, words)  # titles are not judged here
     return d.withColumns({"norm": norm, "words": words, "reason": reason})
 
 

@@ -98,11 +98,20 @@ def label_functions(spark, sf):
     return o.select("o_orderkey", V.month_label(i, F.lit("stem")).alias("month"), V.human_count(F.floor(F.col("o_totalprice") / 100) * 100).alias("human"), V.error_class(msg).alias("error_class"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, list_filter([CASE WHEN l_quantity < 5 THEN 'no articles' END, CASE WHEN l_linenumber > 5 THEN 'dates reversed' END, CASE WHEN l_discount > 0.08 THEN 'negative count' END, CASE WHEN l_tax > 0.07 THEN 'confidence out of range' END], lambda x: x IS NOT NULL) AS problems FROM lineitem""")
+@query("""WITH e AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 50 > 0 THEN l_partkey::VARCHAR ELSE '' END AS event_id, (l_partkey % 4)::BIGINT AS uids, (l_quantity::BIGINT % 4)::BIGINT AS n_articles, l_shipdate::DATE AS d1, (l_shipdate + INTERVAL 2 day)::DATE - l_linenumber::INT AS d2,
+l_quantity::BIGINT AS lo, floor(l_extendedprice / 1000)::BIGINT AS hi, l_suppkey - 3 AS deaths, l_discount * 20 AS conf FROM lineitem)
+SELECT l_orderkey, l_linenumber, list_filter([CASE WHEN event_id = '' THEN 'missing event_id' END, CASE WHEN uids = 0 THEN 'no source_uids: an event with no article is not evidence of anything' END,
+CASE WHEN n_articles <> uids THEN 'n_articles=' || n_articles || ' but ' || uids || ' source_uids' END, CASE WHEN d1 > d2 THEN 'date_start after date_end' END, CASE WHEN lo > hi THEN 'counts: min ' || lo || ' > max ' || hi END,
+CASE WHEN deaths < 0 THEN 'deaths is negative' END, CASE WHEN deaths - 50 < 0 THEN 'affected_population is negative' END, CASE WHEN conf > 1 THEN 'flood_type_confidence outside [0, 1]' END], lambda x: x IS NOT NULL) AS problems FROM e""")
 def event_validation(spark, sf):
-    """FLT-14."""
-    l = table(spark, sf, "lineitem")
-    e = l.select("l_orderkey", "l_linenumber", F.col("l_orderkey").cast("string").alias("event_id"), F.when(F.col("l_quantity") < 5, 0).otherwise(1).alias("n_articles"), F.when(F.col("l_linenumber") > 5, F.lit("2022")).otherwise("2020").alias("date_min"), F.lit("2021").alias("date_max"), F.when(F.col("l_discount") > 0.08, -1).otherwise(1).alias("low"), F.lit(2).alias("high"), F.when(F.col("l_tax") > 0.07, 2.0).otherwise(0.5).alias("confidence"))
+    """FLT-14: the structural problems of event rows, in words."""
+    k = F.col("l_partkey")
+    e = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(k % 50 > 0, k.cast("string")).otherwise("").alias("event_id"), F.slice(F.array(*[F.lit(x) for x in "abc"]), 1, (k % 4).cast("int")).alias("source_uids"),
+        (F.col("l_quantity").cast("long") % 4).alias("n_articles"), F.to_date("l_shipdate").alias("date_start"), F.date_add(F.to_date("l_shipdate"), 2 - F.col("l_linenumber")).alias("date_end"),
+        F.struct(F.col("l_quantity").cast("long").alias("min"), F.floor(F.col("l_extendedprice") / 1000).alias("max")).alias("counts"), (F.col("l_suppkey") - 3).alias("deaths"),
+        (F.col("l_suppkey") - 53).alias("affected_population"), (F.col("l_discount") * 20).alias("flood_type_confidence"),
+    )
     return e.select("l_orderkey", "l_linenumber", V.event_problems().alias("problems"))
 
 
@@ -150,8 +159,3 @@ def translation_batches(spark, sf):
     return d.groupBy("lang", "block").applyInPandas(run, "lang string, block long, batch int, texts int, longest int, tokens long")
 
 
-@query()
-def annotation_sample(spark, sf):
-    """CMP-6: a seeded sample of each stratum with what an annotator sees; the sample is the feature."""
-    l = relational.stratified_sample(table(spark, sf, "labels"), "toxic", "doc_id", 10)
-    return l.join(table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id")

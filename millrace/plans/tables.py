@@ -151,9 +151,8 @@ def set_intersection(spark, sf):
 @query("SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity >= 45 THEN 'l_quantity' WHEN l_discount >= 0.1 THEN 'l_discount' END AS outlier FROM lineitem WHERE l_quantity >= 45 OR l_discount >= 0.1")
 def implausible_values(spark, sf):
     """FLT-16: values over the limit of their field."""
-    limits = {"l_quantity": 45, "l_discount": 0.1}
-    which = F.coalesce(*[F.when(F.col(k) >= v, k) for k, v in limits.items()])
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", which.alias("outlier")).where("outlier IS NOT NULL")
+    found = V.implausible({"l_quantity": 45, "l_discount": 0.1})
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.get(found, F.lit(0))["field"].alias("outlier")).where("outlier IS NOT NULL")
 
 
 @query("""SELECT a.o_orderkey AS a, b.o_orderkey AS b, greatest(date_diff('day', a.o_orderdate, b.o_orderdate), date_diff('day', b.o_orderdate, a.o_orderdate), 0) AS gap
@@ -183,11 +182,8 @@ def rate_60s(spark, sf):
 SELECT user_id, sum(dn)::BIGINT AS items, sum(dt)::BIGINT AS seconds, round(sum(dn) / sum(dt), 6) AS rate FROM d WHERE dt > 0 AND dt <= 86400 AND dn >= 0 GROUP BY user_id""")
 def gap_rates(spark, sf):
     """WIN-7, STM-6: rates between samples, gaps over a day left out."""
-    e = table(spark, sf, "events").select("user_id", F.struct(F.col("ts").cast("timestamp").cast("long").alias("t"), "event_id").alias("at"), "ts", "event_id")
-    w = Window.partitionBy("user_id").orderBy("at")
-    d = e.select("user_id", (F.col("at.t") - F.lag("at.t").over(w)).alias("dt"), (F.col("event_id") - F.lag("event_id").over(w)).alias("dn"))
-    d = d.where("dt > 0 AND dt <= 86400 AND dn >= 0").groupBy("user_id").agg(F.sum("dn").alias("items"), F.sum("dt").alias("seconds"))
-    return d.withColumn("rate", F.round(F.col("items") / F.col("seconds"), 6))
+    d = live.gap_rates(table(spark, sf, "events"), ["user_id"], "ts", "event_id", interval=21_600)  # four intervals are a day
+    return d.select("user_id", "items", "seconds", F.round("rate", 6).alias("rate"))
 
 
 @query("SELECT event_type, time_bucket(INTERVAL 1 hour, ts) AS start, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
@@ -274,9 +270,9 @@ def strata(spark, sf):
     return table(spark, sf, "labels").select(s.alias("stratum")).groupBy("stratum").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("SELECT doc_id, quality, toxic FROM (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY md5('13|' || doc_id), doc_id) AS n FROM labels) WHERE n <= 20")
 def stratified_sample(spark, sf):
-    """SRT-3, SRT-4: sampling is the feature; hashes differ from DuckDB's."""
+    """SRT-3, SRT-4: sampling is the feature."""
     return relational.stratified_sample(table(spark, sf, "labels"), "quality", "doc_id", 20)
 
 

@@ -80,8 +80,9 @@ def trailing_rate(events: DataFrame, keys: list[str], ts: str = "ts", seconds: i
 
 def gap_rates(samples: DataFrame, keys: list[str], ts: str, count: str, interval: int = 15) -> DataFrame:
     """WIN-7: deltas between consecutive samples, left out across gaps over max(60, 4 intervals) and where counts fall."""
-    w = Window.partitionBy(*keys).orderBy(ts)
-    dt = F.col(ts).cast("timestamp").cast("long") - F.lag(F.col(ts).cast("timestamp").cast("long")).over(w)
+    t = F.col(ts).cast("timestamp").cast("long")
+    w = Window.partitionBy(*keys).orderBy(t, count)
+    dt = t - F.lag(t).over(w)
     dn = F.col(count) - F.lag(count).over(w)
     ok = (F.col("dt") > 0) & (F.col("dt") <= max(60, 4 * interval)) & (F.col("dn") >= 0)
     return samples.withColumns({"dt": dt, "dn": dn}).where(ok).groupBy(*keys).agg(F.sum("dn").alias("items"), F.sum("dt").alias("seconds"), (F.sum("dn") / F.sum("dt")).alias("rate"))

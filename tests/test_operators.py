@@ -51,12 +51,14 @@ def test_clusters_and_events(spark):
     rows = {r.uid: r for r in m.collect()}
     r = rows["2021/07/1"]
     assert (r.deaths, r.places, r.rivers, r.date_min, r.country) == (3.0, ["Pune"], ["Mula"], day, "India") and rows["2021/07/3"].deaths == -1.0
-    assert m.select(mentions.embedding_text().alias("t")).first().t.startswith("T. Pune. Mula. India. 2021-07-01")
+    typed = m.withColumn("flood_type", F.lit("Flash Flood"))
+    assert typed.select(mentions.embedding_text().alias("t")).first().t == "T. Flooded: Pune. River: Mula. Country: India. Flood type: Flash Flood. Date: 2021-07-01"
     ev = {r.event_id: r for r in mentions.build_events(m, c.withColumnRenamed("node", "id"), v).collect()}
     e = ev["E-2021-000001"]
     assert (e.n_articles, e.deaths.value, e.deaths.min, e.deaths.conflict, e.severity, e.medoid) == (2, 5.0, 3.0, True, "moderate", 1)
     assert mentions.conflict_rates(mentions.build_events(m, c.withColumnRenamed("node", "id"))).first().conflict_rate == 1.0
-    assert mentions.index_metadata(m).where("deaths = -1").count() == 1
+    more = {k: F.lit(None).cast("string") for k in ("year", "month", "publish_date", "city", "flood_type", "flood_type_confidence", "flood_type_evidence", "n_events")}
+    assert mentions.index_metadata(m.withColumns({**more, "verifiable": F.col("is_verifiable_flood"), "contains_flood": F.col("contains_flood_event")})).where("deaths = -1").count() == 1
 
 
 def test_grounding(spark):
