@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.relational import running_sums
+
 
 def ratio(a: Column, b: Column) -> Column:
     """0 where the denominator is 0."""
@@ -47,23 +49,26 @@ def ranking_scores(run: DataFrame, k: int = 10) -> DataFrame:
 
 
 def operating_point(scored: DataFrame, target: float, score: str = "score", label: str = "label") -> DataFrame:
-    """WIN-8: the highest threshold whose recall reaches the target. Scores are counted first, so the window holds distinct scores only."""
+    """WIN-8: the highest threshold whose recall reaches the target. Scores are counted first; sums run over range partitions."""
     by = scored.groupBy(score).agg(F.sum(label).alias("pos"), F.count("*").alias("n"))
-    w = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
     total = scored.agg(F.sum(label)).first()[0] or 0
-    run = by.select(F.col(score).alias("threshold"), F.sum("pos").over(w).alias("tp"), F.sum("n").over(w).alias("kept"))
+    run = running_sums(by, [F.desc(score)], "pos", "n").select(F.col(score).alias("threshold"), F.col("pos_sum").cast("long").alias("tp"), F.col("n_sum").cast("long").alias("kept"))
     run = run.withColumns({"recall": F.col("tp") / F.lit(max(total, 1)), "precision": F.col("tp") / F.col("kept")})
     return run.where(F.col("recall") >= target).orderBy(F.desc("threshold")).limit(1)
 
 
 def roc_auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """AGG-27: the area under the curve by ranks with ties halved, and average precision, over distinct scores."""
+    """AGG-27: the area under the curve by ranks with ties halved, and average precision, over distinct scores.
+
+    One descending order serves both: the negatives below a score are all of them less those down to it.
+    """
     by = scored.groupBy(score).agg(F.sum(label).cast("double").alias("pos"), F.count("*").cast("double").alias("n")).withColumn("neg", F.col("n") - F.col("pos"))
-    up = Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    down = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    run = by.select("pos", "neg", F.coalesce(F.sum("neg").over(up), F.lit(0.0)).alias("below"), F.sum("pos").over(down).alias("tp"), F.sum("n").over(down).alias("kept"))
-    out = run.agg(F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2)).alias("wins"), F.sum("pos").alias("p"), F.sum("neg").alias("q"), F.sum(F.col("pos") * F.col("tp") / F.col("kept")).alias("ap"))
-    return out.select(ratio(F.col("wins"), F.col("p") * F.col("q")).alias("roc_auc"), ratio(F.col("ap"), F.col("p")).alias("average_precision"))
+    run = running_sums(by, [F.desc(score)], "pos", "n", "neg")
+    out = run.agg(
+        F.sum(F.col("pos") * (F.col("neg") / 2 - F.col("neg_sum"))).alias("less"), F.sum("pos").alias("p"), F.sum("neg").alias("q"), F.sum(F.col("pos") * F.col("pos_sum") / F.col("n_sum")).alias("ap")
+    )
+    wins = F.col("p") * F.col("q") + F.col("less")
+    return out.select(ratio(wins, F.col("p") * F.col("q")).alias("roc_auc"), ratio(F.col("ap"), F.col("p")).alias("average_precision"))
 
 
 def title_prefilter(train: DataFrame, text: str = "text", label: str = "label", features: int = 1 << 16):

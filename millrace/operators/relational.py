@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.values import date_gap
 from millrace.session import cut
 
 
@@ -150,6 +151,41 @@ def run_union(runs: dict[str, DataFrame], keys: tuple[str, ...] = ("query", "uid
     return out.groupBy(*keys).agg(*[F.min(f"{n}_rank").alias(f"{n}_rank") for n in runs])
 
 
+def running_sums(df: DataFrame, order: list[Column | str], *columns: str) -> DataFrame:
+    """df with <column>_sum, the sum of each column over all rows up to this one in a global order, in many tasks.
+
+    The order must be total. Rows are range-partitioned by it and written once; a partition starts from the totals
+    of those before (one row a partition on the driver), and sums within partitions do the rest.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    runs = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    runs = cut(runs.withColumn("_run", F.shiftright("_id", 33)), "sums")
+    rows, start = [], [0.0] * len(columns)
+    for r in sorted(runs.groupBy("_run").agg(*[F.sum(c).cast("double").alias(c) for c in columns]).collect(), key=lambda r: r["_run"]):
+        rows.append((r["_run"], *start))
+        start = [a + (r[c] or 0.0) for a, c in zip(start, columns, strict=True)]
+    offsets = spark.createDataFrame(rows or [(-1, *start)], "_run long, " + ", ".join(f"_start_{i} double" for i in range(len(columns))))
+    w = Window.partitionBy("_run").orderBy("_id").rowsBetween(Window.unboundedPreceding, 0)
+    out = runs.withColumns({f"{c}_sum": F.sum(c).over(w) for c in columns}).join(F.broadcast(offsets), "_run")
+    return out.withColumns({f"{c}_sum": F.col(f"{c}_sum") + F.col(f"_start_{i}") for i, c in enumerate(columns)}).drop("_id", "_run", *[f"_start_{i}" for i in range(len(columns))])
+
+
+def interval_pairs(df: DataFrame, key: str, id_: str, lo: str, hi: str, days: int) -> DataFrame:
+    """JN-8: a, b (ids, a < b) and gap of rows of one key whose closed date intervals are at most `days` apart.
+
+    Time is cut into windows; a row is in those that it touches, its later end stretched by `days`, and rows meet in
+    a window, so a key with very many rows is spread over its windows. A pair counts in the first one it shares.
+    """
+    width = max(1, days) + 1
+    day = lambda x, more=0: F.floor((F.datediff(F.col(x), F.lit("1970-01-01")) + more) / width)
+    rows = df.where(F.col(lo).isNotNull() & F.col(hi).isNotNull()).select(key, id_, lo, hi, day(lo).alias("from"), F.sequence(day(lo), day(hi, days)).alias("ws"))
+    a, b = (rows.select(key, F.col(id_).alias(s), F.col(lo).alias(f"lo_{s}"), F.col(hi).alias(f"hi_{s}"), F.col("from").alias(f"from_{s}"), F.explode("ws").alias("w")) for s in "ab")
+    gap = date_gap(F.col("lo_a"), F.col("hi_a"), F.col("lo_b"), F.col("hi_b"))
+    met = a.join(b, [key, "w"]).where((F.col("a") < F.col("b")) & (F.col("w") == F.greatest("from_a", "from_b")))
+    return met.select("a", "b", gap.alias("gap")).where(F.col("gap") <= days)
+
+
 def ranked(df: DataFrame, *order: Column | str) -> DataFrame:
     """df with rank, from 1, in a global order, without bringing all rows to one task.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 from millrace.functions import values as V
-from millrace.operators import rules, search
+from millrace.operators import rules, search, vector
 from millrace.operators.graph import connected_components
 from millrace.operators.relational import exact_duplicates, first_by, top_counts, validation_reason
 from millrace.plans.base import query
@@ -76,11 +76,11 @@ def doc_top_sources(spark, sf):
 
 
 @query(r"""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS token FROM documents)
-SELECT token, count(*) AS n, count(DISTINCT doc_id) AS docs FROM t GROUP BY token HAVING count(DISTINCT doc_id) >= 20""")
+SELECT token, count(*) AS n, count(DISTINCT doc_id) AS docs FROM t GROUP BY token""")
 def doc_token_counts(spark, sf):
-    """STR-7: tokens that 20 documents hold."""
+    """STR-7: how often each token occurs, and in how many documents."""
     t = table(spark, sf, "documents").select("doc_id", F.explode(T.tokenize("text")).alias("token")).groupBy("token", "doc_id").agg(F.count("*").alias("n"))
-    return t.groupBy("token").agg(F.sum("n").alias("n"), F.count("*").alias("docs")).where("docs >= 20")
+    return t.groupBy("token").agg(F.sum("n").alias("n"), F.count("*").alias("docs"))
 
 
 _SH = r"""t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents),
@@ -94,12 +94,18 @@ def _shingle_sets(spark, sf):
 
 
 def _similar_pairs(spark, sf):
-    """JN-7, CMP-2: pairs with Jaccard >= 0.8 of five-word shingles, by prefix filtering.
+    """JN-7, CMP-2: pairs with Jaccard >= 0.8 of five-word shingles, by prefix filtering; equal sets are one class.
 
-    A pair must share one of the rarest n - ceil(0.8 n) + 1 shingles of either side, so only those are
-    joined; candidates are verified on hashed full sets.
+    Of a class of equal sets the smallest id stands for it: pairs are those of representatives, and each other
+    member has one pair with its representative, so m copies give m - 1 pairs. A pair of classes must share one of
+    the rarest n - ceil(0.8 n) + 1 shingles of either side, so only those are joined; where the prefixes first meet
+    bounds what can still be shared, and candidates are verified on hashed full sets.
     """
-    sets = cut(_shingle_sets(spark, sf).select("doc_id", F.transform("s", lambda x: F.xxhash64(x)).alias("s")), "sets")
+    own = _shingle_sets(spark, sf).select("doc_id", F.array_sort(F.transform("s", lambda x: F.xxhash64(x))).alias("s"))
+    own = cut(own.withColumn("g", F.md5(F.array_join(F.transform("s", lambda x: x.cast("string")), " "))), "sets")
+    reps = own.groupBy("g").agg(F.min("doc_id").alias("rep"))
+    member = own.select("doc_id", "g").join(reps, "g").where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"), F.lit(1.0).alias("jaccard"))
+    sets = cut(own.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "s"), "classes")
     each = sets.select("doc_id", F.size("s").alias("n"), F.explode("s").alias("x"))
     freq = each.groupBy("x").agg(F.count("*").alias("f"))
     ranked = each.join(freq.where("f > 1"), "x")  # a shingle of one document joins nothing
@@ -107,18 +113,22 @@ def _similar_pairs(spark, sf):
     # single shingles come first in the order by rarity, so what is left of the prefix is known from their number
     pre = ranked.groupBy("doc_id", "n").agg(order.alias("o"))
     keep = F.col("n") - F.ceil(F.lit(0.8) * F.col("n")).cast("int") + 1 - (F.col("n") - F.size("o"))
-    pre = pre.where(keep > 0).select("doc_id", "n", F.explode(F.slice("o", F.lit(1), keep)).alias("p")).select("doc_id", "n", "p.x")
-    a, b = (pre.select(F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), "x") for s in "ab")
-    pairs = a.join(b, "x").where("a < b AND least(na, nb) >= 0.8 * greatest(na, nb)").select("a", "b").distinct()
+    pre = pre.where(keep > 0).select("doc_id", "n", (F.col("n") - F.size("o")).alias("alone"), F.posexplode(F.slice("o", F.lit(1), keep)).alias("i", "p"))
+    pre = pre.select("doc_id", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("rest"), "p.x")  # shingles from this one on
+    a, b = (pre.select(F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), F.col("rest").alias(f"r{s}"), "x") for s in "ab")
+    size = "a < b AND least(na, nb) >= 0.8 * greatest(na, nb)"
+    first = a.join(b, "x").where(size).groupBy("a", "b", "na", "nb").agg(F.max(F.least("ra", "rb")).alias("most"))  # at the first shingle that both prefixes hold
+    pairs = first.where("most >= 0.8 * (na + nb - most) - 1e-9").select("a", "b")
     for s in "ab":
         pairs = pairs.join(sets.select(F.col("doc_id").alias(s), F.col("s").alias(f"s{s}")), s)
-    return cut(pairs.select("a", "b", T.jaccard("sa", "sb").alias("jaccard")).where("jaccard >= 0.8"), "pairs")
+    return cut(pairs.select("a", "b", T.jaccard("sa", "sb").alias("jaccard")).where("jaccard >= 0.8").union(member), "pairs")
 
 
-@query(rf"""WITH {_SH}, p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL)
-SELECT a, b, round(shared / (ka.n + kb.n - shared), 6) AS jaccard FROM p JOIN k ka ON ka.doc_id = a JOIN k kb ON kb.doc_id = b WHERE shared / (ka.n + kb.n - shared) >= 0.8""")
+@query(rf"""WITH {_SH}, g AS (SELECT doc_id, md5(string_agg(s, '|' ORDER BY s)) AS g FROM s GROUP BY doc_id), c AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY g) AS rep FROM g), r AS (SELECT s.doc_id, s FROM s JOIN c ON c.doc_id = s.doc_id AND c.rep = s.doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM r x JOIN r y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL)
+SELECT a, b, round(shared / (ka.n + kb.n - shared), 6) AS jaccard FROM p JOIN k ka ON ka.doc_id = a JOIN k kb ON kb.doc_id = b WHERE shared / (ka.n + kb.n - shared) >= 0.8 UNION ALL SELECT rep, doc_id, 1.0 FROM c WHERE rep <> doc_id""")
 def doc_shingle_pairs(spark, sf):
-    """STR-8, SET-5, JN-7."""
+    """STR-8, SET-5, JN-7: pairs of class representatives, and each other member with its own."""
     return _similar_pairs(spark, sf).select("a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
@@ -136,7 +146,7 @@ def doc_components_keep_longest(spark, sf):
 
 def _bm25_sql(k):
     return rf"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS t FROM documents), st AS (SELECT count(*) AS n, avg(len(t)) AS avgdl FROM d),
-q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM benchmark WHERE item_id < 8),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM benchmark),
 tf AS (SELECT term, doc_id, dl, count(*) AS tf FROM (SELECT doc_id, len(t)::DOUBLE AS dl, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
 f AS (SELECT term, ln((st.n - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM tf, st GROUP BY term, st.n), i AS (SELECT term, CASE WHEN idf < 0 THEN 0.25 * (SELECT avg(idf) FROM f) ELSE idf END AS idf FROM f),
 s AS (SELECT item_id, doc_id, round(sum(idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))), 9) AS score FROM tf JOIN i USING (term) JOIN q USING (term), st GROUP BY item_id, doc_id),
@@ -145,7 +155,7 @@ SELECT item_id AS query_id, doc_id AS id, round(score, 6) AS score, rank FROM r
 
 
 def _bm25(spark, sf, k):
-    """Every benchmark item searches all documents; the SQL searches with the first eight alone."""
+    """Every benchmark item searches all documents."""
     q = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
     return search.bm25(table(spark, sf, "documents"), q, k, "doc_id", "text")
 
@@ -254,3 +264,31 @@ def doc_entities(spark, sf):
     """STR-17, STR-18: rule entities with offsets."""
     d = table(spark, sf, "documents").select("doc_id", F.explode(rules.entities("text", {"HAZARD": ["flood", "storm", "landslide"]})).alias("e"))
     return d.select("doc_id", "e.text", "e.label", "e.start", "e.end")
+
+
+_DENSE = """v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), q AS (SELECT item_id, (SELECT e FROM v WHERE vec_id = item_id) AS e FROM benchmark),
+dense AS (SELECT item_id AS query_id, vec_id AS id, row_number() OVER (PARTITION BY item_id ORDER BY list_dot_product(q.e, v.e) DESC, vec_id) AS rank FROM q, v WHERE q.e IS NOT NULL AND vec_id <> item_id QUALIFY rank <= 20)"""
+
+
+@query(f"""WITH {_DENSE}, b AS ({_bm25_sql(20)}), f AS (SELECT query_id, id, sum(1.0 / (60 + rank)) AS s FROM (SELECT query_id, id, rank FROM b UNION ALL SELECT query_id, id, rank FROM dense) GROUP BY ALL)
+SELECT query_id, id, round(s, 9) AS rrf_score, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 12) DESC, id) AS rank FROM f""")
+def hybrid_search(spark, sf):
+    """CMP-5: a lexical and a dense run as one; the vector with an item's number stands for its embedding."""
+    v = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    asks = v.join(table(spark, sf, "benchmark").select(F.col("item_id").alias("id")), "id", "left_semi")
+    dense = vector.knn(v, 20, asks).select(F.col("a").alias("query_id"), F.col("b").alias("id"), "rank")
+    fused = search.fuse([_bm25(spark, sf, 20), dense])
+    return fused.select("query_id", "id", F.round("rrf_score", 9).alias("rrf_score"), F.col("rank").cast("long").alias("rank"))
+
+
+@query("""WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), n AS (SELECT x.vec_id AS a, y.vec_id AS b, list_dot_product(x.e, y.e) AS sim, row_number() OVER (PARTITION BY x.vec_id ORDER BY list_dot_product(x.e, y.e) DESC, y.vec_id) AS rank FROM v x, v y WHERE x.vec_id <> y.vec_id),
+p AS (SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b, sim FROM n WHERE rank <= 20 AND round(sim, 9) >= 0.35), t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) AS s FROM t WHERE len(w) > 0)
+SELECT p.a, p.b, count(*) AS n, bool_and(len(list_intersect(x.s, y.s)) / len(list_distinct(list_concat(x.s, y.s))) < 0.5) AS unlike FROM p JOIN s x ON x.doc_id = p.a JOIN s y ON y.doc_id = p.b
+WHERE len(list_intersect(x.s, y.s)) / len(list_distinct(list_concat(x.s, y.s))) < 0.5 GROUP BY ALL""")
+def semantic_duplicates(spark, sf):
+    """CMP-2: pairs whose vectors agree while their words do not; a vector stands for the document of its number, the cosine is lowered to what these data hold."""
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), T.tokenize("text").alias("w")).where("size(w) > 0").select("id", T.shingles("w", 5).alias("shingles"))
+    v = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    p = vector.semantic_duplicates(v.withColumn("embedding", F.col("embedding").cast("array<double>")), d, least=0.35)
+    return p.select("a", "b", F.lit(1).cast("long").alias("n"), (F.col("jaccard") < 0.5).alias("unlike"))

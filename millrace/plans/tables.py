@@ -160,9 +160,7 @@ FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_
 def interval_join(spark, sf):
     """JN-8, DAT-3: pairs of one key whose dates are at most three days apart."""
     o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("d"))
-    a, b = (o.select("o_custkey", F.col("o_orderkey").alias(s), F.col("d").alias(f"d{s}")) for s in "ab")
-    gap = V.date_gap(F.col("da"), F.col("da"), F.col("db"), F.col("db"))
-    return a.join(b, "o_custkey").where("a < b").select("a", "b", gap.cast("long").alias("gap")).where("gap <= 3")
+    return relational.interval_pairs(o, "o_custkey", "o_orderkey", "d", "d", 3).select("a", "b", F.col("gap").cast("long").alias("gap"))
 
 
 @query("SELECT event_type, json_extract_string(props, '$.' || k) AS value, k AS key, count(*) AS n FROM (SELECT event_type, props, unnest(json_keys(props)) AS k FROM events) GROUP BY ALL")

@@ -18,6 +18,25 @@ def raw_files(spark: SparkSession, root: str, glob: str = "*.json*", folder: str
     return df.where(F.lower("path").rlike(rf"/{re.escape(folder.lower())}/")) if folder else df
 
 
+def raw_lines(spark: SparkSession, root: str, glob: str = "*.jsonl", folder: str | None = None) -> DataFrame:
+    """SRC-3: path, index (from 0 among the lines that are not blank) and text of each line below root.
+
+    Files are split, so a large one is read by many tasks; a line's number comes from where it begins: lines are
+    counted per split, and a split starts from the counts of those before it in its file (one row a split).
+    """
+    df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root)
+    df = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), F.col("value").alias("raw"), F.monotonically_increasing_id().alias("at"))
+    df = df.where(F.trim(F.regexp_replace("raw", "^\ufeff", "")) != "")
+    df = df.where(F.lower("path").rlike(rf"/{re.escape(folder.lower())}/")) if folder else df
+    # within a split lines come in order, and a task numbers its rows upwards
+    within = df.withColumn("n", F.row_number().over(Window.partitionBy("path", "split").orderBy("at")))
+    sizes = df.groupBy("path", "split").agg(F.count("*").alias("lines"))
+    before = F.coalesce(F.sum("lines").over(Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    start = sizes.select("path", "split", before.alias("before"), F.sum("lines").over(Window.partitionBy("path")).alias("total"))
+    out = within.join(start, ["path", "split"])
+    return out.select("path", (F.col("before") + F.col("n") - 1).cast("int").alias("index"), F.col("total").cast("int").alias("n"), F.regexp_replace("raw", "^\ufeff", "").alias("raw"))
+
+
 def _record(raw: Column) -> Column:
     return F.from_json(raw, "map<string,string>")
 
@@ -25,15 +44,16 @@ def _record(raw: Column) -> Column:
 def articles(spark: SparkSession, root: str, folder: str | None = None) -> DataFrame:
     """SRC-2, SRC-3, SRC-9: path, index, record (map, key order kept), article_id and corrupt of every record.
 
-    A file is an object, a list of objects, or lines of objects. A byte order mark is skipped. What can't be
+    A .json file is an object or a list of objects and is read whole; a .jsonl file is read line by line, by many
+    tasks if it is large. A byte order mark is skipped. What can't be
     read is a row with corrupt = true, and no error. Without an id the file's stem is the id, with #index
     where a file has several records.
     """
-    files = raw_files(spark, root, folder=folder)
+    files = raw_files(spark, root, "*.json", folder)
     body = F.regexp_replace("raw", "^﻿", "")
-    lines = F.filter(F.split(body, r"\r?\n"), lambda x: F.trim(x) != "")
-    items = F.when(F.endswith("path", F.lit(".jsonl")), lines).when(F.trim(body).startswith("["), F.coalesce(F.from_json(body, "array<string>"), F.array(body))).otherwise(F.array(body))
+    items = F.when(F.trim(body).startswith("["), F.coalesce(F.from_json(body, "array<string>"), F.array(body))).otherwise(F.array(body))
     each = files.select("path", F.size(items).alias("n"), F.posexplode(items).alias("index", "raw"))
+    each = each.unionByName(raw_lines(spark, root, folder=folder))
     stem = F.regexp_extract("path", r"([^/]+)\.jsonl?$", 1)
     rec = each.withColumn("record", F.when(F.trim("raw").startswith("{"), _record(F.col("raw"))))
     bad = F.col("record").isNull() | ((F.size("record") == 0) & (F.regexp_replace("raw", r"\s", "") != "{}"))
@@ -117,3 +137,55 @@ def parse_uid(uid: Column) -> Column:
     p = F.split(uid, "/", 3)
     three = F.size(p) == 3
     return F.struct(p[0].alias("year"), F.when(three, p[1]).otherwise("").alias("month"), F.when(three, p[2]).otherwise(F.get(p, F.lit(1))).alias("article_id"))
+
+
+def scan_languages(spark: SparkSession, root: str, head: int = 4096, folder: str | None = None) -> DataFrame:
+    """SRC-7: path and language of each .json file: the field is looked for in the first bytes, then in the whole file.
+
+    Only path, head and (where the head lacks the field) a match of the rest leave the scan; nothing is parsed.
+    """
+    pattern = r'"language"\s*:\s*(?:"((?:[^"\\\\]|\\\\.)*)"|null)'
+    find = lambda x: F.nullif(F.trim(F.regexp_extract(x, pattern, 1)), F.lit(""))
+    files = raw_files(spark, root, "*.json", folder)
+    first = F.substring("raw", 1, head)
+    return files.select("path", F.lower(F.when(first.rlike(pattern), find(first)).otherwise(find(F.col("raw")))).alias("language"))
+
+
+def extraction_files(paths: DataFrame, years: list[int] | None = None) -> DataFrame:
+    """SRC-11: year, month and path of extraction files (.../<year>/<year>_<month>.jsonl), failures left out, in order of year and month."""
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    parts = paths.select(F.regexp_extract("path", r"/(\d{4})/(\d{4}_\d{2})\.jsonl$", 1).alias("year"), F.regexp_extract("path", r"/(\d{4})/(\d{4}_\d{2})\.jsonl$", 2).alias("month"), "path", name.alias("name"))
+    ok = (F.col("year") != "") & ~F.contains("name", F.lit(".failed."))
+    out = parts.where(ok).select(F.col("year").cast("int").alias("year"), "month", "path")
+    return out.where(F.col("year").isin(years)) if years else out
+
+
+def discover_years(paths: DataFrame) -> list[int]:
+    """SRC-20: the years that name a folder, in order; one row a year reaches the driver."""
+    y = F.explode(F.regexp_extract_all("path", F.lit(r"/((?:19|20)\d{2})(?=/)"), F.lit(1)))
+    return sorted(int(r.year) for r in paths.select(y.alias("year")).distinct().collect())
+
+
+# fixed values: countries and states are gazetteer rows of their own, by feature
+FEATURES = ("point", "admin", "country")
+
+
+def read_gazetteer(spark: SparkSession, cities: str, countries: str | None = None, states: str | None = None) -> DataFrame:
+    """SRC-18: place_id, name, alternates, country, population, lat, lon and feature of CSV files with a header.
+
+    cities: id, name, alternates (joined by commas), country, population, lat, lon; countries and states: id, name,
+    alternates, country, lat, lon. Ids are made unique across the three; rows without a name or place are left out.
+    """
+    out = None
+    for i, (path, feature) in enumerate(zip((cities, states, countries), FEATURES, strict=True)):
+        if path is None:
+            continue
+        df = spark.read.option("header", True).option("escape", '"').csv(path)
+        people = F.col("population").try_cast("long") if "population" in df.columns else F.lit(0).cast("long")
+        names = F.filter(F.transform(F.split(F.coalesce("alternates", F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
+        part = df.select(
+            (F.col("id").try_cast("long") * 3 + i).alias("place_id"), F.trim("name").alias("name"), names.alias("alternates"), F.upper(F.trim("country")).alias("country"), F.coalesce(people, F.lit(0)).alias("population"),
+            F.col("lat").try_cast("double").alias("lat"), F.col("lon").try_cast("double").alias("lon"), F.lit(feature).alias("feature"),
+        ).where("place_id IS NOT NULL AND name <> '' AND lat IS NOT NULL AND lon IS NOT NULL")
+        out = part if out is None else out.unionByName(part)
+    return out

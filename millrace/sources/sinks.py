@@ -23,9 +23,10 @@ def append_new(df: DataFrame, path: str, key: str) -> int:
     return spark.read.parquet(path).count() - (0 if done is None else done.count())
 
 
-def write_months(df: DataFrame, path: str, by: str = "month", overwrite: bool = True) -> None:
-    """SNK-4, SNK-7, SNK-8: one folder a month, each month's rows together; refuses a folder that is there unless told."""
-    df.repartition(F.col(by)).write.partitionBy(by).mode("overwrite" if overwrite else "errorifexists").json(path)
+def write_months(df: DataFrame, path: str, by: str = "month", overwrite: bool = True, files: int = 8) -> None:
+    """SNK-4, SNK-7, SNK-8: one folder a month, each month's rows in at most `files` tasks; refuses a folder that is there unless told."""
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(files))
+    df.withColumn("_salt", salt).repartition(F.col(by), F.col("_salt")).drop("_salt").write.partitionBy(by).mode("overwrite" if overwrite else "errorifexists").json(path)
 
 
 def split_write(df: DataFrame, ok: str, path: str) -> None:

@@ -70,12 +70,20 @@ def part_state(done: Column, failed: Column, total: Column, idle_seconds: Column
     )
 
 
-def trailing_rate(events: DataFrame, keys: list[str], ts: str = "ts", seconds: int = 60, least: int = 5) -> DataFrame:
-    """WIN-6: events in the trailing window a second, null until it spans `least` seconds."""
-    t = F.col(ts).cast("timestamp").cast("long")
-    w = Window.partitionBy(*keys).orderBy(t).rangeBetween(-seconds, 0)
+def trailing_rate(events: DataFrame, keys: list[str], ts: str = "ts", seconds: int = 60, least: int = 5, stretch: int = 64) -> DataFrame:
+    """WIN-6: events in the trailing window a second, null until it spans `least` seconds.
+
+    Time is cut into stretches of `stretch` windows, each a group of its own that also sees the last window of the
+    stretch before, so that a key with very many events is dealt over many tasks.
+    """
+    t, size = F.col(ts).cast("timestamp").cast("long"), seconds * stretch
+    at = F.floor(t / size)
+    late = F.pmod(t, F.lit(size)) >= size - seconds  # the next stretch looks back at these
+    home, guest = F.struct(at.alias("at"), F.lit(True).alias("own")), F.struct((at + 1).alias("at"), F.lit(False).alias("own"))
+    dealt = events.withColumn("_s", F.explode(F.when(late, F.array(home, guest)).otherwise(F.array(home))))
+    w = Window.partitionBy(*keys, "_s.at").orderBy(t).rangeBetween(-seconds, 0)
     span = t - F.min(t).over(w)
-    return events.withColumn("rate", F.when(span >= least, F.count("*").over(w) / span))
+    return dealt.withColumn("rate", F.when(span >= least, F.count("*").over(w) / span)).where("_s.own").drop("_s")
 
 
 def gap_rates(samples: DataFrame, keys: list[str], ts: str, count: str, interval: int = 15) -> DataFrame:
