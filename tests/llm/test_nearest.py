@@ -45,3 +45,20 @@ def test_ties_edges_and_equal_vectors(spark):
     assert [i for i, _ in got[0]] == [120, *range(1, 20)] and [i for i, _ in got[20]] == [120, *range(19)]
     assert got[120][0] == (100, 3.5) and len(got[120]) == 20
     assert nn.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_blocks_and_parts_meet_in_full(spark, monkeypatch):
+    """Several blocks of vectors and parts of queries give what one block gives, ties across blocks included."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(900, 12)).round(2)
+    x[300:330] = x[0]
+    df = spark.createDataFrame([(i, v.tolist(), "z") for i, v in enumerate(x)], "vec_id long, embedding array<double>, query string")
+    monkeypatch.setattr(nn, "BLOCK", 200)
+    monkeypatch.setattr(nn, "QUERIES_BLOCK", 10)
+    got = {}
+    for r in nn.nearest(df, F.col("vec_id") % 20 == 0, verify=1.0).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    for q in range(0, 900, 20):
+        s = (x * x[q]).sum(1)
+        want = [i for i in np.lexsort((np.arange(900), -s)) if i != q][:20]
+        assert [v for _, v in sorted(got[q])] == want
