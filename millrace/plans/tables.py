@@ -304,3 +304,45 @@ def ordered_union(spark, sf):
     """AGG-9, SET-1: distinct values joined in order."""
     j = table(spark, sf, "customer").join(F.broadcast(table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")), "c_nationkey")  # 25 rows
     return j.groupBy("c_mktsegment").agg(F.array_join(F.sort_array(F.collect_set("n_name")), "; ").alias("nations"))
+
+
+@query("""WITH r AS (SELECT user_id::VARCHAR AS part, event_type AS article_id, value >= 50 AS ok, floor(epoch(ts)) AS t FROM events WHERE user_id % 10 > 0), i AS (SELECT part, article_id, max(ok::INT) AS ok FROM r GROUP BY ALL),
+p AS (SELECT part, sum(ok) AS ok, count(*) - sum(ok) AS failed FROM i GROUP BY part), l AS (SELECT part, max(t) AS last FROM r GROUP BY part), n AS (SELECT max(floor(epoch(ts))) AS now FROM events), w AS (SELECT DISTINCT user_id::VARCHAR AS part, 3 + user_id % 4 AS total FROM events)
+SELECT part, coalesce(ok, 0)::BIGINT AS ok, coalesce(failed, 0)::BIGINT AS failed, total, CASE WHEN coalesce(ok, 0) + coalesce(failed, 0) >= total THEN CASE WHEN coalesce(now - last < 7200, false) THEN 'retry' ELSE 'done' END WHEN coalesce(now - last < 7200, false) THEN 'running' WHEN coalesce(ok + failed, 0) > 0 THEN 'partial' ELSE 'queued' END AS state
+FROM w LEFT JOIN p USING (part) LEFT JOIN l USING (part), n""")
+def part_states(spark, sf):
+    """STM-2, STM-5: what each partition of the work is doing; users stand for partitions."""
+    e = table(spark, sf, "events")
+    part = F.col("user_id").cast("string").alias("part")
+    now = e.agg(F.max("ts")).first()[0]
+    r = e.where("user_id % 10 > 0").select(part, F.col("event_type").alias("article_id"), (F.col("value") >= 50).alias("ok"), "ts")
+    return live.part_states(r, e.select(part, (3 + F.col("user_id") % 4).alias("total")).distinct(), F.lit(now), fresh=7200)
+
+
+@query("""SELECT count(*) + 1 AS block, round(sum(value) / sum(1 + user_id % 7), 6) AS chunks_per_s, round(5000 / (sum(value) / sum(1 + user_id % 7)), 6) AS estimated, round(greatest(0, 5000 / (sum(value) / sum(1 + user_id % 7)) - 60), 6) AS remaining FROM events""")
+def block_eta(spark, sf):
+    """STM-8: the pace of all finished blocks and what the one in flight still takes."""
+    e = table(spark, sf, "events").select(F.col("value").alias("chunks"), (1 + F.col("user_id") % 7).alias("seconds"))
+    b = live.block_eta(e, F.lit(5000.0), F.lit(60.0))
+    return b.select("block", *[F.round(x, 6).alias(x) for x in ("chunks_per_s", "estimated", "remaining")])
+
+
+@query("""WITH l AS (SELECT event_type AS t, user_id AS u, event_id AS i FROM events) SELECT CASE WHEN t = 'error' THEN 'other' WHEN u % 3 = 0 THEN 'done' WHEN u % 3 = 1 THEN 'plan' ELSE 'oom' END AS kind,
+CASE WHEN t = 'error' THEN 'ERROR failed to read <path> line N' WHEN u % 3 = 2 THEN 'CUDA out of memory at N' END AS error, count(*) AS n, sum(CASE WHEN t <> 'error' AND u % 3 < 2 THEN i % 40 END)::DOUBLE AS chunks, sum(CASE WHEN t <> 'error' AND u % 3 = 0 THEN u + 0.5 END)::DOUBLE AS seconds FROM l GROUP BY ALL""")
+def log_state(spark, sf):
+    """STM-7, STR-23, STR-25: progress lines and error classes of a log."""
+    u, i = F.col("user_id"), F.col("event_id")
+    text = lambda *xs: F.concat(*[x.cast("string") if not isinstance(x, str) else F.lit(x) for x in xs])
+    line = (
+        F.when(F.col("event_type") == "error", text("ERROR failed to read /data/", u, "/", i, ".json line ", i)).when(u % 3 == 0, text("block ", u, " done: ", i % 40, " chunks in ", u, ".5 s"))
+        .when(u % 3 == 1, text("block ", u, ": ", i % 40, " chunks planned")).otherwise(text("CUDA out of memory at ", i))
+    )
+    return live.log_state(table(spark, sf, "events").select(line.alias("line")))
+
+
+@query("""WITH x AS (SELECT event_type AS part, 'user_id' AS list, user_id::VARCHAR AS value FROM events UNION ALL SELECT event_type, 'hour', hour(ts)::VARCHAR FROM events), c AS (SELECT part, list, value, count(*) AS n FROM x GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY part, list ORDER BY n DESC, value) AS k FROM c) SELECT part, list, value, n FROM r WHERE k <= 5""")
+def top_lists(spark, sf):
+    """STM-3: the most frequent values of each partition."""
+    e = table(spark, sf, "events").select(F.col("event_type").alias("part"), "user_id", F.hour("ts").alias("hour"))
+    return live.top_lists(e, "part", ["user_id", "hour"])

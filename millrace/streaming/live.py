@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from millrace.functions.values import error_class, log_fields
+from millrace.operators.relational import first_by
+
 
 def tail(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """STM-1: the records of JSON files as they are completed in a folder."""
@@ -62,14 +65,49 @@ def reconcile_batch(records: DataFrame) -> DataFrame:
 
 
 def part_state(done: Column, failed: Column, total: Column, idle_seconds: Column, fresh: int = 120) -> Column:
-    """STM-5: queued, running, retry, done or partial."""
-    seen = done + failed
+    """STM-5: what a partition of the work is doing: retry, done, running, partial or queued.
+
+    Where every item is accounted for it is done, unless it has been written to lately: then failures are being
+    retried. idle_seconds is null for a partition that was never written to.
+    """
+    seen, lately = done + failed, F.coalesce(idle_seconds < fresh, F.lit(False))
     return (
-        F.when(seen == 0, "queued").when((done >= total) & (failed == 0), "done").when(idle_seconds <= fresh, F.when(seen >= total, "retry").otherwise("running"))
-        .otherwise("partial")
+        F.when((total > 0) & (seen >= total), F.when(lately, "retry").otherwise("done")).when(lately, "running")
+        .when(seen > 0, "partial").otherwise("queued")
     )
 
 
+def part_states(records: DataFrame, totals: DataFrame, now: Column, fresh: int = 120) -> DataFrame:
+    """STM-5: part, ok, failed, total and state, from records (part, article_id, ok, ts) and totals (part, total)."""
+    last = records.groupBy("part").agg(F.max("ts").alias("last"))
+    items = reconcile_batch(records).groupBy("part").agg(F.sum((F.col("state") == "ok").cast("long")).alias("ok"), F.sum((F.col("state") != "ok").cast("long")).alias("failed"))
+    out = totals.join(items, "part", "left").join(last, "part", "left")
+    ok, failed = F.coalesce("ok", F.lit(0)), F.coalesce("failed", F.lit(0))
+    idle = now.cast("timestamp").cast("long") - F.col("last").cast("timestamp").cast("long")
+    return out.select("part", ok.alias("ok"), failed.alias("failed"), "total", part_state(ok, failed, F.col("total"), idle, fresh).alias("state"))
+
+
+def block_eta(blocks: DataFrame, plan_chunks: Column, elapsed: Column) -> DataFrame:
+    """STM-8: chunks_per_s over every finished block (chunks, seconds), and what the block in flight still takes."""
+    rate = blocks.agg(F.count("*").alias("blocks"), (F.sum("chunks") / F.nullif(F.sum("seconds"), F.lit(0))).alias("chunks_per_s"))
+    estimate = plan_chunks / F.col("chunks_per_s")
+    return rate.select((F.col("blocks") + 1).alias("block"), "chunks_per_s", estimate.alias("estimated"), F.greatest(F.lit(0.0), estimate - elapsed).alias("remaining"))
+
+
+def log_state(lines: DataFrame, line: str = "line") -> DataFrame:
+    """STM-7: kind, error, n, chunks and seconds of progress lines; errors are grouped by their masked text."""
+    r = lines.select(log_fields(line).alias("x"), F.col(line).alias("line"))
+    error = F.when(F.col("x.kind").isin("other", "oom") & F.lower("line").rlike("error|failed|out of memory"), error_class("line"))
+    return r.groupBy(F.col("x.kind").alias("kind"), error.alias("error")).agg(F.count("*").alias("n"), F.sum("x.chunks").alias("chunks"), F.sum("x.seconds").alias("seconds"))
+
+
+def top_lists(records: DataFrame, part: str, columns: list[str], n: int = 5) -> DataFrame:
+    """STM-3: part, list, value and n: the most frequent values of each column in each partition, of equals the smaller."""
+    each = records.select(part, F.explode(F.array(*[F.struct(F.lit(c).alias("list"), F.col(c).cast("string").alias("value")) for c in columns])).alias("x")).select(part, "x.*")
+    counts = each.where("value IS NOT NULL").groupBy(part, "list", "value").agg(F.count("*").alias("n"))
+    return first_by(counts, [part, "list"], F.desc("n"), "value", n=n)
+
+
 def trailing_rate(events: DataFrame, keys: list[str], ts: str = "ts", seconds: int = 60, least: int = 5, stretch: int = 64) -> DataFrame:
     """WIN-6: events in the trailing window a second, null until it spans `least` seconds.
 
