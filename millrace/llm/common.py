@@ -18,7 +18,7 @@ def ascii_lower(text: Column) -> Column:
 
 
 #: Rows and bytes of an Arrow batch, alike for every operator: the option acts when a plan runs, so the last one set decides.
-BATCH_ROWS, BATCH_BYTES = 500, 32 << 20
+BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:

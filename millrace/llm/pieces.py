@@ -275,8 +275,23 @@ def best_of_equal_length(v: Vocabulary, words: list[str], n: int) -> list[bytes]
     return out
 
 
-def encode_many(v: Vocabulary, prepared: list[str]) -> list[np.ndarray]:
-    """Ids of texts that begin and end at a cut; words that the memory does not hold are worked out together."""
+def encode_many(v: Vocabulary, prepared: list[str], at_once: int = 1 << 20) -> list[np.ndarray]:
+    """Ids of texts that begin and end at a cut.
+
+    Texts are taken in runs of about `at_once` characters, whose lists of words are all that is held; words that the
+    memory does not hold are worked out together.
+    """
+    out, run, size = [], [], 0
+    for t in prepared:
+        run.append(t)
+        size += len(t)
+        if size >= at_once:
+            out += _encode_run(v, run)
+            run, size = [], 0
+    return out + _encode_run(v, run)
+
+
+def _encode_run(v: Vocabulary, prepared: list[str]) -> list[np.ndarray]:
     words, known = [v.words.findall(t) for t in prepared], memo(v)
     over = known.learn(list(set(chain.from_iterable(words)).difference(known)))
     out = [np.frombuffer(b"".join(map(known.__getitem__, ws)), np.int32) for ws in words]
