@@ -87,6 +87,22 @@ def test_values(spark):
 
 def test_entities_and_classifier(spark):
     spans = rules.entity_spans("On 3 May 2021 the Kosi River rose; 1,200 people fled landslides.", {"HAZARD": ["land", "landslides"]})
-    assert [(s["text"], s["label"]) for s in spans] == [("3 May 2021", "DATE"), ("Kosi", "RIVER"), ("1,200", "NUMBER"), ("landslides", "HAZARD")]
+    assert [(s["text"], s["label"]) for s in spans] == [("3 May 2021", "DATE"), ("Kosi River", "RIVER"), ("1,200", "NUMBER"), ("landslides", "HAZARD")]
     df = spark.createDataFrame([("the dam burst and dam water",), ("rain",), (None,)], "t string").withColumn("k", rules.classify("t", {"dam": {"dam": 1.5, "burst": 1.0}, "rain": {"rain": 2.0, "water": 0.5}}))
     assert [r.k.label for r in df.collect()] == ["dam", "rain", None]
+
+
+def test_entity_forms_and_promotion():
+    found = {(s["text"], s["label"]) for s in rules.entity_spans("On 5 Sept. 2020 and Jan 3, two lakh of 4 lakhs crossed the Tungabhadra Nadi, not River Monday; rivers the Mula Mutha.", {})}
+    assert {("5 Sept. 2020", "DATE"), ("Jan 3", "DATE"), ("4 lakhs", "NUMBER"), ("Tungabhadra Nadi", "RIVER"), ("rivers the Mula Mutha", "RIVER")} <= found
+    assert not any("Monday" in t for t, _ in found)
+    text = "Flood on the Teesta Canal"
+    place = {"text": "Teesta", "label": "LOCATION", "start": 13, "end": 19, "confidence": 0.9, "source": "model"}
+    assert rules.promote_rivers(text, [place]) == [{**place, "label": "RIVER", "text": "Teesta Canal", "end": 25, "source": "rule", "confidence": 0.6}]
+    assert rules.promote_rivers("Teesta, a town", [{**place, "start": 0, "end": 6}]) == []
+
+
+def test_evidence_of_a_cue_that_is_an_expression(spark):
+    df = spark.createDataFrame([("Before: the dams burst at night.",)], "t string")
+    r = df.select(rules.classify("t", {"dam": {r"dams?\s+burst": 3.0}, "other": {"rain": 1.0}}).alias("k")).first().k
+    assert r.label == "dam" and "dams burst" in r.evidence
