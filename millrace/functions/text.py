@@ -184,8 +184,10 @@ normalize_input = scalar(_for_model, "string")
 # sentences and chunks
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+(?=[A-Z\"'(‘“])|\n{2,}")
-_ANY_SENTENCE = regex.compile(r"(?<=[.!?؟])\s+|(?<=[。！？])|\n+")
-ABBREVIATIONS = frozenset("mr mrs ms dr prof st sr jr vs etc no inc ltd co corp gen col lt sgt rev hon gov sen rep u.s u.k e.g i.e a.m p.m sra dra bzw z.b d.h usw av".split())
+# fixed values: what ends a sentence in any script, what may close after it, and words whose full stop ends none
+_ANY_END, _CLOSERS = ".!?。！？؟۔।॥።։", "\"'”’）)]"
+ABBREVIATIONS = frozenset("mr mrs ms dr prof sr sra st vs etc inc ltd co jr no ave gov sen rep col gen capt lt sgt".split())
+_ANY_SENTENCE = regex.compile(rf"(?<=[{_ANY_END}])[{regex.escape(_CLOSERS)}]*\s+")
 
 
 def sentences(t: str | None) -> list[str]:
@@ -194,16 +196,19 @@ def sentences(t: str | None) -> list[str]:
 
 
 def sentences_any(t: str | None) -> list[str]:
-    """STR-10: sentences of any language; an end after an abbreviation or a single letter is none."""
+    """STR-10: sentences of any language, each line by itself; an end after an abbreviation is none."""
     out: list[str] = []
-    for part in _ANY_SENTENCE.split(t or ""):
-        if not part or not part.strip():
-            continue
-        last = out[-1].rsplit(None, 1)[-1].rstrip(".").lower() if out and out[-1].endswith(".") else ""
-        if last and (last in ABBREVIATIONS or len(last) == 1):
-            out[-1] += f" {part.strip()}"
-        else:
-            out.append(part.strip())
+    for line in (t or "").split("\n"):
+        held = ""
+        for part in _ANY_SENTENCE.split(line.strip()):
+            if part := part.strip():
+                held = f"{held} {part}" if held else part
+                last = regex.search(r"\b(\w+)\.$", held)
+                if not last or last[1].lower() not in ABBREVIATIONS:
+                    out.append(held)
+                    held = ""
+        if held:
+            out.append(held)
     return out
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.text import number_surface_forms
+from millrace.functions.text import normalize_ascii, number_surface_forms
 from millrace.functions.values import c, date_surface_forms
 from millrace.operators.relational import first_by
 
@@ -85,21 +85,38 @@ def resolution_rates(places: DataFrame) -> tuple[DataFrame, DataFrame]:
     return per.agg(F.count("*").alias("uids"), rate("any"), rate("all")), places.where(ok).groupBy("feature").agg(F.count("*").alias("n"))
 
 
-def surface_forms(mention: Column | str) -> Column:
-    """STR-21: array of struct(form, kind): full, without brackets, what brackets hold, parts between commas, capitalised runs."""
+# fixed values: administrative words that a place may be found without
+STRIPPED = "district province state city county region municipality village town prefecture department governorate".split()
+
+
+def surface_forms(mention: Column | str, aliases: dict[str, str] | None = None, stripped: list[str] = STRIPPED) -> Column:
+    """STR-21: array of struct(form, kind): ever freer readings of a place, each normalised and once, the earliest first.
+
+    full: the mention, its alias, the mention without brackets; stripped: without administrative words; part: what
+    brackets hold, parts between commas, slashes and semicolons, these stripped; caps: runs of capitalised words,
+    the longest first.
+    """
     m = F.trim(c(mention))
-    bare = F.trim(F.regexp_replace(F.regexp_replace(m, r"\([^)]*\)", " "), r"\s+", " "))
-    stripped = F.trim(F.regexp_replace(bare, r"(?i)\b(district|province|state|city|county|region|municipality|village|town)( of)?\b", " "))
-    form = lambda x, kind: F.struct(F.trim(F.regexp_replace(F.lower(x), r"\s+", " ")).alias("form"), F.lit(kind).alias("kind"))
-    many = lambda xs, kind: F.transform(xs, lambda x: form(x, kind))
+    outer = F.regexp_replace(m, r"\([^)]*\)", " ")
+    key = normalize_ascii(m)
+    alias = F.lit(None).cast("string")
+    if aliases:
+        alias = F.try_element_at(F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv]), key)
+    bare = lambda x: F.array_join(F.filter(F.split(normalize_ascii(x), " "), lambda w: ~w.isin(*stripped)), " ")
+    form = lambda x, kind: F.struct(normalize_ascii(x).alias("form"), F.lit(kind).alias("kind"))
+    parts = F.flatten(F.transform(F.split(outer, r"[,/;]"), lambda p: F.array(form(p, "part"), form(bare(p), "part"))))
+    runs = F.regexp_extract_all(outer, F.lit(r"\p{Lu}[\p{L}\p{N}_'-]+(?:\s+\p{Lu}[\p{L}\p{N}_'-]+)*"), F.lit(0))
+    longest = F.transform(F.array_sort(F.transform(runs, lambda r, i: F.struct((-F.length(r)).alias("n"), i.alias("i"), r.alias("r")))), lambda x: x["r"])
     forms = F.concat(
-        F.array(form(m, "full"), form(bare, "no-brackets"), form(stripped, "stripped")), many(F.regexp_extract_all(m, F.lit(r"\(([^)]*)\)"), F.lit(1)), "brackets"),
-        many(F.split(bare, r"[,/;]"), "part"), many(F.regexp_extract_all(bare, F.lit(r"\p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+)*"), F.lit(0)), "capitals"),
+        F.array(form(m, "full"), form(F.coalesce(alias, F.lit("")), "full"), form(outer, "full"), form(bare(outer), "stripped")),
+        F.transform(F.regexp_extract_all(m, F.lit(r"\(([^)]*)\)"), F.lit(1)), lambda x: form(x, "part")), parts, F.transform(longest, lambda x: form(x, "caps")),
     )
-    return F.filter(forms, lambda f: F.length(f["form"]) > 1)
+    # the list is worked out once, then each form is looked up among those before it
+    once = F.get(F.transform(F.array(forms), lambda fs: F.filter(fs, lambda f, i: F.array_position(F.transform(fs, lambda g: g["form"]), f["form"]) == i + 1)), F.lit(0))
+    return F.filter(once, lambda f: f["form"] != "")
 
 
-def geocode(mentions: DataFrame, gazetteer: DataFrame, ratio: float = 5.0) -> DataFrame:
+def geocode(mentions: DataFrame, gazetteer: DataFrame, ratio: float = 5.0, aliases: dict[str, str] | None = None) -> DataFrame:
     """CMP-4, JN-9: status, place_id, lat and lon of mentions (mention, country).
 
     gazetteer: place_id, name, alternates (array), country, population, lat, lon, feature (point, admin,
@@ -107,11 +124,11 @@ def geocode(mentions: DataFrame, gazetteer: DataFrame, ratio: float = 5.0) -> Da
     them, and if it leaves none the next form is tried. One candidate, or one with `ratio` times the people
     of the next, is resolved. Countries and states answer to full and stripped forms only.
     """
-    names = gazetteer.select("*", F.explode(F.concat(F.array(F.struct(F.lit(0).alias("rank"), F.lower("name").alias("form"))), F.transform("alternates", lambda a: F.struct(F.lit(1).alias("rank"), F.lower(a).alias("form"))))).alias("n"))
+    names = gazetteer.select("*", F.explode(F.concat(F.array(F.struct(F.lit(0).alias("rank"), normalize_ascii("name").alias("form"))), F.transform("alternates", lambda a: F.struct(F.lit(1).alias("rank"), normalize_ascii(a).alias("form"))))).alias("n"))
     names = names.select("place_id", "country", "population", "lat", "lon", "feature", "n.rank", "n.form").withColumnRenamed("country", "place_country")
     asked = mentions.select("mention", "country").distinct()
-    forms = asked.select("mention", "country", F.posexplode(surface_forms("mention")).alias("at", "f")).select("mention", "country", "at", "f.form", "f.kind")
-    hits = forms.join(names, "form").where((F.col("feature") == "point") | F.col("kind").isin("full", "stripped", "no-brackets"))
+    forms = asked.select("mention", "country", F.posexplode(surface_forms("mention", aliases)).alias("at", "f")).select("mention", "country", "at", "f.form", "f.kind")
+    hits = forms.join(names, "form").where((F.col("feature") == "point") | F.col("kind").isin("full", "stripped"))
     hits = hits.where(F.col("country").isNull() | (F.col("country") == "") | (F.col("place_country") == F.col("country")))
     key = Window.partitionBy("mention", "country")
     first = hits.withColumn("best", F.min(F.struct("at", "rank")).over(key)).where(F.struct("at", "rank") == F.col("best"))

@@ -111,10 +111,34 @@ def mentions(extractions: DataFrame, select: str = "verifiable", done: DataFrame
 
 
 def with_bodies(events: DataFrame, bodies: DataFrame) -> DataFrame:
-    """SRC-13, SRC-14: events with the body of each uid, null where the file is missing."""
+    """SRC-13: events with the body of each uid, null where the file is missing."""
     return events.join(bodies.select("uid", fill("translated_text", "text").alias("body")), "uid", "left")
 
 
+def year_roots(years: list[int], root: str, overrides: dict[int, str] | None = None) -> dict[int, str]:
+    """SRC-14: the folder of each year's articles: root with {year} filled in, or an override."""
+    return {y: (overrides or {}).get(y, root.format(year=y)) for y in years}
+
+
+def missing_bodies(events: DataFrame) -> DataFrame:
+    """SRC-14: by year, the events and how many of them have no body."""
+    missing = F.sum((F.trim(F.coalesce("body", F.lit(""))) == "").cast("long"))
+    return events.groupBy("year").agg(F.count("*").alias("events"), missing.alias("missing"))
+
+
+def count_events(extractions: DataFrame, select: str = "verifiable") -> int:
+    """SRC-15: the number of distinct mentions (uid) of a selection."""
+    keep = {"all": F.lit(True), "flood": F.col("contains_flood_event"), "verifiable": F.col("is_verifiable_flood")}[select]
+    return extractions.where(F.coalesce(keep, F.lit(False))).select(F.count_distinct("uid")).first()[0]
+
+
+def select_months(files: DataFrame, months: list[str] | None = None) -> DataFrame:
+    """SRC-10: month and path of files below month folders, of some months (2021_07 or 2021-07) or of all, in their order."""
+    month = F.replace(F.regexp_extract("path", r"/(\d{4}[_-]\d{2})/", 1), F.lit("-"), F.lit("_"))
+    out = files.select(month.alias("month"), "path").where("month <> ''")
+    return out.where(F.col("month").isin([m.replace("-", "_") for m in months])) if months else out
+
+
 def parse_years(tokens: list[str]) -> list[int]:
     """SRC-20, SET-7: 2021, 2019-2024, in order and once each."""
     out: set[int] = set()

@@ -50,16 +50,37 @@ def flatten_events(records: DataFrame, keep: list[str], fields: list[str], rare:
     return each.select(*keep, cell(F.col("event_index"), "int").alias("event_index"), *cols, F.when(F.size(extra) > 0, F.to_json(extra)).otherwise("").alias("extra_fields"))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
+    """SNK-9: CSV with a header; with bom every file begins with a byte order mark, as spreadsheets want it."""
+    if bom:
+        first = df.columns[0]
+        df = df.withColumnRenamed(first, f"\ufeff{first}")
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
+def status_counts(journal: DataFrame, key: str = "article_id", status: str = "status", order: str = "seq") -> DataFrame:
+    """SNK-3: how many items are in each state; of an item's marks the last one counts, so marking twice is marking once."""
+    last = journal.groupBy(key).agg(F.max_by(status, order).alias(status))
+    return last.groupBy(status).agg(F.count("*").alias("n"))
+
+
 def refresh_metadata(index: DataFrame, meta: DataFrame, key: str = "uid") -> DataFrame:
     """SNK-10: new metadata beside the vectors that are there; nothing is embedded again."""
     kept = [c for c in index.columns if c not in meta.columns or c == key]
     return index.select(*kept).join(meta, key, "left")
 
 
+def upsert(index: DataFrame, rows: DataFrame, key: str = "uid") -> DataFrame:
+    """SNK-10: index with rows added, and put in the place of those with their key; columns that rows lack are null."""
+    return index.join(rows.select(key), key, "left_anti").unionByName(rows, allowMissingColumns=True)
+
+
+def export_matrix(index: DataFrame, path: str, key: str = "uid", vec: str = "embedding") -> int:
+    """SNK-10: keys and vectors of the index as Parquet, in the order of the keys, those without a vector left out; how many."""
+    index.where(F.col(vec).isNotNull()).select(key, vec).sort(key).write.mode("overwrite").parquet(path)
+    return index.sparkSession.read.parquet(path).count()
+
+
 def markdown(df: DataFrame, rows: int = 100) -> str:
     """SNK-12: a small table as Markdown."""
     out = [f"| {' | '.join(df.columns)} |", f"|{'---|' * len(df.columns)}"]

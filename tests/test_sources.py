@@ -47,3 +47,21 @@ def test_months_are_written_whole(spark, tmp_path):
     sinks.write_months(df, str(tmp_path / "m"))
     back = spark.read.json(str(tmp_path / "m"))
     assert back.count() == 200 and back.where("month = '2021_08'").count() == 20
+
+
+def test_journals_indexes_and_selections(spark, tmp_path):
+    journal = spark.createDataFrame([("a", "failed", 1), ("a", "done", 2), ("a", "done", 3), ("b", "failed", 1)], "article_id string, status string, seq int")
+    assert {tuple(r) for r in sinks.status_counts(journal).collect()} == {("done", 1), ("failed", 1)}
+    index = spark.createDataFrame([("a", [1.0], "x"), ("b", [2.0], "y")], "uid string, embedding array<double>, title string")
+    new = spark.createDataFrame([("b", [3.0]), ("c", None)], "uid string, embedding array<double>")
+    both = sinks.upsert(index, new)
+    assert sorted((r.uid, r.embedding, r.title) for r in both.collect()) == [("a", [1.0], "x"), ("b", [3.0], None), ("c", None, None)]
+    assert sinks.export_matrix(both, str(tmp_path / "m")) == 2
+    sinks.write_csv(index.select("uid", "title"), str(tmp_path / "csv"), bom=True)
+    assert next((tmp_path / "csv").glob("part*")).read_bytes().startswith(b"\xef\xbb\xbfuid")
+    paths = spark.createDataFrame([("/r/2021_07/a.json",), ("/r/2021-08/b.json",), ("/r/x/c.json",)], "path string")
+    assert files.select_months(paths).count() == 2 and files.select_months(paths, ["2021-07"]).first().month == "2021_07"
+    assert files.year_roots([2021, 2022], "/d/{year}", {2022: "/e"}) == {2021: "/d/2021", 2022: "/e"}
+    ev = spark.createDataFrame([("u", 2021, True, False, None), ("u", 2021, True, True, "b"), ("v", 2022, True, True, " ")], "uid string, year int, contains_flood_event boolean, is_verifiable_flood boolean, body string")
+    assert (files.count_events(ev), files.count_events(ev, "all")) == (2, 2)
+    assert sorted(tuple(r) for r in files.missing_bodies(ev).collect()) == [(2021, 2, 1), (2022, 1, 1)]

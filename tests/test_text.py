@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 from millrace.functions import values as V
-from millrace.operators import rules
+from millrace.operators import grounding, rules
 
 
 def rows(name):
@@ -45,7 +45,7 @@ def test_strings():
     assert T.fold("São Paulo—FLOOD's") == "s o paulo flood s"
     assert T.repair_mojibake("cafÃ©") == "café" and T.repair_mojibake("café") == "café"
     assert T.sentences("One. Two said. three\n\nFour") == ["One.", "Two said. three", "Four"]
-    assert T.sentences_any("Dr. Smith came. He left。中文。") == ["Dr. Smith came.", "He left。", "中文。"]
+    assert T.sentences_any("Dr. Smith came. He left。 中文。") == ["Dr. Smith came.", "He left。", "中文。"]
     assert T.dominant_script("漢字かな") == "Hiragana" and T.dominant_script("привет") == "Cyrillic" and T.dominant_script("12") is None
     assert T.guess_language("the cat is in the house of the king") == "en"
     assert T.number_forms(120000) == ["120000", "120,000", "120 000", "1,20,000", "1200 hundred", "120 thousand"]
@@ -106,3 +106,17 @@ def test_evidence_of_a_cue_that_is_an_expression(spark):
     df = spark.createDataFrame([("Before: the dams burst at night.",)], "t string")
     r = df.select(rules.classify("t", {"dam": {r"dams?\s+burst": 3.0}, "other": {"rain": 1.0}}).alias("k")).first().k
     assert r.label == "dam" and "dams burst" in r.evidence
+
+
+def test_sentences_of_any_language():
+    assert T.sentences_any('Dr. Rao said "Run." Then he left.\nMr. X।  दो। 三。 四！ End') == ['Dr. Rao said "Run.', "Then he left.", "Mr. X।", "दो।", "三。", "四！", "End"]
+    assert T.sentences_any("At the end of St.") == ["At the end of St."] and T.sentences_any(None) == []
+
+
+def test_readings_of_a_place(spark):
+    df = spark.createDataFrame([("Lower Assam (Barpeta), Cachar District",), ("Bombay",), ("",), (None,)], "m string")
+    got = [[tuple(f) for f in r[0] or []] for r in df.select(grounding.surface_forms("m", {"bombay": "Mumbai"})).collect()]
+    assert got[0] == [
+        ("lower assam barpeta cachar district", "full"), ("lower assam cachar district", "full"), ("lower assam cachar", "stripped"), ("barpeta", "part"), ("lower assam", "part"), ("cachar district", "part"), ("cachar", "part"),
+    ]
+    assert got[1] == [("bombay", "full"), ("mumbai", "full")] and got[2] == [] and got[3] == []
