@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,7 +19,7 @@ def ascii_lower(text: Column) -> Column:
 
 
 #: Rows and bytes of an Arrow batch, alike for every operator: the option acts when a plan runs, so the last one set decides.
-BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -27,6 +28,15 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system: workers are kept for later tasks, of other stages too."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library; it frees as it likes
+        pass
+
+
 def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """mapInArrow with a function of one batch."""
 
@@ -34,6 +44,7 @@ def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], sche
         for batch in batches:
             if batch.num_rows:
                 yield f(batch)
+        release()
 
     bounded_batches(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_arrow
+from millrace.llm.common import map_arrow, release
 from millrace.operators.graph import connected_components
 from millrace.session import cut, drop, table
 
@@ -293,6 +293,7 @@ def _partners(similarity: float):
         b = Block(pdf, similarity)
         x, y, _ = b.likely()
         found = pd.concat([b.left.iloc[np.unique(x)], b.right.iloc[np.unique(y)]])
+        release()
         return found[[*KEYS, "home", "node", "comp", "main", "n", "free", "regs", "stranger"]]
 
     return run
@@ -301,6 +302,7 @@ def _partners(similarity: float):
 def _block_links(similarity: float, percent: int, dense: float):
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         found = Block(pdf, similarity).links(percent, dense) if pdf["stranger"].any() and not pdf["stranger"].all() else np.empty((0, 2), np.int64)
+        release()
         return pd.DataFrame(found, columns=["a", "b"])
 
     return run

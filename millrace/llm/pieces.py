@@ -18,7 +18,7 @@ computed is the best-scoring segmentation (as of a unigram model with these piec
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 from itertools import chain
@@ -30,13 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bounded_batches
+from millrace.llm.common import bounded_batches, release
 from millrace.session import cut, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE, UNK_PENALTY, LEAST = "▁", 10.0, -1e8
 #: Characters of a chunk; longer texts are split. Words that a worker remembers.
-CHUNK, MEMO = 32_768, 300_000
+CHUNK, MEMO = 32_768, 150_000
 #: Words of a length that are worked out together, from so many on and so many at a time, up to so many characters.
 FEW_WORDS, WORDS_AT_ONCE, LONG_WORD = 24, 8192, 64
 #: Chunks of a giant text whose matrices one task multiplies; more are multiplied in a tree.
@@ -275,7 +275,7 @@ def best_of_equal_length(v: Vocabulary, words: list[str], n: int) -> list[bytes]
     return out
 
 
-def encode_many(v: Vocabulary, prepared: list[str], at_once: int = 1 << 20) -> list[np.ndarray]:
+def encode_many(v: Vocabulary, prepared: Iterable[str], at_once: int = 1 << 19) -> list[np.ndarray]:
     """Ids of texts that begin and end at a cut.
 
     Texts are taken in runs of about `at_once` characters, whose lists of words are all that is held; words that the
@@ -404,9 +404,10 @@ def encode_documents(docs: DataFrame, v: Vocabulary, chunk: int = CHUNK) -> Data
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            ids = encode_many(v, [prepare(t, v) for t in texts])
+            ids = encode_many(v, (prepare(t, v) for t in texts))
             ok = [None if t is None else decode(v, x.tolist()) == t for t, x in zip(texts, ids, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, _lists(ids, pa.int32()), pa.array(ok, pa.bool_())], [*batch.schema.names, "ids", "round_trip"])
+        release()
 
     giant = F.coalesce(F.char_length("text"), F.lit(0)) > chunk
     out = base.where(~giant).mapInArrow(short, f"{schema}, ids array<int>, round_trip boolean")
@@ -429,14 +430,17 @@ def encode_documents(docs: DataFrame, v: Vocabulary, chunk: int = CHUNK) -> Data
     def matrices(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             yield pd.DataFrame({"_row": pdf["_row"], "c": pdf["c"], "m": [transfer(v, *x).ravel() for x in texts(pdf)]})
+        release()
 
     def maps(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             yield pd.DataFrame({"_row": pdf["_row"], "c": pdf["c"], "entry": pdf["entry"], "from_": [entries(v, *x, list(f)) for x, f in zip(texts(pdf), pdf["entry"], strict=True)]})
+        release()
 
     def pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             yield pd.DataFrame({"_row": pdf["_row"], "c": pdf["c"], "part_ids": [backtrace(v, *x, list(f), int(e)) for x, f, e in zip(texts(pdf), pdf["entry"], pdf["exit"], strict=True)]})
+        release()
 
     most = chunks.groupBy("_row").agg(F.max("c").alias("c")).agg(F.max("c")).first()[0] + 1
     found_matrices = cut(chunks.mapInPandas(matrices, "_row long, c int, m array<double>"), "sp-matrices")
