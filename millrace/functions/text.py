@@ -329,6 +329,12 @@ def to_flores(code: Column | str, text: Column | str | None = None, table: dict[
 STOPWORDS = {
     "en": "the of and to in is that for it was on with as are be by this from at", "fr": "le la les de des et un une en est que pour dans sur du qui au pas",
     "de": "der die das und ist in den von zu mit dem für auf ein eine nicht als", "es": "el la los de y que en un una por con para las del se es al no",
+    "pt": "o a os as de do da dos das e que em no na um uma para com não por se ao", "it": "il lo la gli le di del della e che in un una per con non è si da al sono",
+    "nl": "de het een en van in is dat op te zijn met voor niet aan er om ook als bij", "sv": "och i att det som en på är av för med den till inte om ett har de från var",
+    "da": "og i at det som en på er af for med den til ikke om et har de fra var", "pl": "i w na z do że nie się jest to o jak po przez od za dla są ale który",
+    "tr": "ve bir bu da de için ile çok olarak olan gibi daha kadar ne en sonra ama olduğu", "id": "yang dan di dari untuk dengan ini itu pada tidak akan ada ke dalam oleh juga sebagai",
+    "ro": "și în de la cu o un pe nu din este ce să pentru care mai au fost sunt prin", "hu": "a az és hogy nem is egy ez volt meg van ki de csak már még vagy mint",
+    "fi": "ja on ei se että oli hän mutta ovat kuin myös tai jos joka sen ole kun niin", "vi": "và của là có trong được cho không các với người này những một đã khi từ",
 }
 
 

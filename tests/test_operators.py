@@ -190,3 +190,11 @@ def test_title_prefilter(spark):
     df = spark.createDataFrame(rows, "text string, label int")
     out = metrics.title_prefilter(df, features=1 << 12).transform(df)
     assert metrics.binary_scores(out.select("label", F.col("prediction").cast("int").alias("p")), "label", "p").first().f1 > 0.95
+
+
+def test_tuned_prefilter(spark):
+    rows = [(f"flood water rises {i}", 1) for i in range(60)] + [(f"market shares fall {i}", 0) for i in range(90)] + [(f"water market {i}", i % 2) for i in range(40)] + [(None, 1), ("x", None)]
+    df = spark.createDataFrame(rows, "text string, label int")
+    model, m = metrics.tuned_prefilter(df.coalesce(2), penalties=(0.01, 1.0), features=256)
+    assert m["roc_auc"] > 0.8 and m["penalty"] in (0.01, 1.0) and m["recall"] >= 0.95 and 0 < m["threshold"] < 1
+    assert model.transform(df.where("text IS NOT NULL")).count() == len(rows) - 1
