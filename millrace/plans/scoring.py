@@ -6,7 +6,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.operators import evaluation as E
-from millrace.operators import relational
 from millrace.plans.base import query
 from millrace.plans.semantics import norm
 from millrace.session import table
