@@ -36,7 +36,7 @@ from millrace.session import cut, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE, UNK_PENALTY, LEAST = "▁", 10.0, -1e8
 #: Characters of a chunk; longer texts are split. Words that a worker remembers.
-CHUNK, MEMO = 32_768, 150_000
+CHUNK, MEMO = 32_768, 60_000
 #: Words of a length that are worked out together, from so many on and so many at a time, up to so many characters.
 FEW_WORDS, WORDS_AT_ONCE, LONG_WORD = 24, 8192, 64
 #: Chunks of a giant text whose matrices one task multiplies; more are multiplied in a tree.
@@ -275,7 +275,7 @@ def best_of_equal_length(v: Vocabulary, words: list[str], n: int) -> list[bytes]
     return out
 
 
-def encode_many(v: Vocabulary, prepared: Iterable[str], at_once: int = 1 << 19) -> list[np.ndarray]:
+def encode_many(v: Vocabulary, prepared: Iterable[str], at_once: int = 1 << 18) -> list[np.ndarray]:
     """Ids of texts that begin and end at a cut.
 
     Texts are taken in runs of about `at_once` characters, whose lists of words are all that is held; words that the
@@ -390,15 +390,17 @@ def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values) if values else np.zeros(0), kind))
 
 
-def encode_documents(docs: DataFrame, v: Vocabulary, chunk: int = CHUNK) -> DataFrame:
-    """docs with ids (array<int>) and round_trip (whether decoding gives the text back).
+def encode_documents(docs: DataFrame, v: Vocabulary, chunk: int = CHUNK, keep_text: bool = True) -> DataFrame:
+    """docs with ids (array<int>) and round_trip (whether decoding gives the text back), without the text if it is not wanted.
 
     A null or empty text has no ids; a null's round_trip is null. A text that itself holds U+2581 decodes to
     a blank there. Columns of docs that bear one of these names are replaced; rows that repeat are kept.
     """
     spark, k = docs.sparkSession, v.reach
     base = docs.drop("ids", "round_trip").withColumn("text", F.col("text").cast("string"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
+    kept = [f for f in base.schema.fields if keep_text or f.name.lower() != "text"]  # a text that is not wanted need not come back from Python
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    names = [f.name for f in kept]
     bounded_batches(spark)
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -406,7 +408,7 @@ def encode_documents(docs: DataFrame, v: Vocabulary, chunk: int = CHUNK) -> Data
             texts = batch.column("text").to_pylist()
             ids = encode_many(v, (prepare(t, v) for t in texts))
             ok = [None if t is None else decode(v, x.tolist()) == t for t, x in zip(texts, ids, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, _lists(ids, pa.int32()), pa.array(ok, pa.bool_())], [*batch.schema.names, "ids", "round_trip"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), _lists(ids, pa.int32()), pa.array(ok, pa.bool_())], [*names, "ids", "round_trip"])
         release()
 
     giant = F.coalesce(F.char_length("text"), F.lit(0)) > chunk
@@ -454,7 +456,7 @@ def encode_documents(docs: DataFrame, v: Vocabulary, chunk: int = CHUNK) -> Data
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = [decode(v, ids) == t for t, ids in zip(batch.column("text").to_pylist(), batch.column("ids").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ok, pa.bool_())], [*batch.schema.names, "round_trip"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), batch.column("ids"), pa.array(ok, pa.bool_())], [*names, "ids", "round_trip"])
 
     giants = rows.join(joined, "_row").select(*base.columns, "ids").mapInArrow(check, f"{schema}, ids array<int>, round_trip boolean")
     return out.unionByName(giants)
@@ -537,7 +539,7 @@ def decode_documents(encoded: DataFrame, v: Vocabulary) -> DataFrame:
 
 
 def op10_pieces(spark: SparkSession, sf_dir: str, model: str = MODEL) -> DataFrame:
-    out = encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), load(model))
+    out = encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), load(model), keep_text=False)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "round_trip", "ids")
 
 
