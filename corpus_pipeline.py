@@ -74,7 +74,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their piece ids; round_trip says that decoding gives the text back."""
-    out = pieces.encode_documents(docs, pieces.load())
+    out = pieces.encode_documents(docs, pieces.load(), keep_text=False)
     return out.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "round_trip", "ids")
 
 
