@@ -37,7 +37,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE, UNK_PENALTY, LEAST = "▁", 10.0, -1e8
 #: Characters of a chunk; longer texts are split. Words that a worker remembers.
 CHUNK, MEMO = 32_768, 60_000
-#: Words of a length that are worked out together, from so many on and so many at a time, up to so many characters.
+#: Words that are worked out together, from so many on and so many at a time, up to so many characters each.
 FEW_WORDS, WORDS_AT_ONCE, LONG_WORD = 24, 8192, 64
 #: Chunks of a giant text whose matrices one task multiplies; more are multiplied in a tree.
 FOLD = 64
@@ -72,17 +72,6 @@ class Vocabulary:
     def digest(self) -> int:
         return xxhash.xxh3_64_intdigest(repr(self.pieces).encode())
 
-    @cached_property
-    def scores(self) -> np.ndarray:
-        """By id; a character that no piece covers counts at the first of its bytes."""
-        out = np.zeros(1 + max([i for _, i, _ in self.pieces] + list(self.byte_ids) + [self.unk_id]))
-        for _, i, score in self.pieces:
-            out[i] = score
-        for b, i in enumerate(self.byte_ids):
-            out[i] = 0.0 if 0x80 <= b < 0xC0 else self.unk_score
-        out[self.unk_id] = self.unk_score
-        return out
-
     @cached_property
     def trie(self) -> dict:
         root: dict = {}
@@ -109,8 +98,12 @@ class Vocabulary:
     def words(self) -> re.Pattern:
         """The runs between two places that no piece crosses."""
         assert not any(SPACE in p.lstrip(SPACE) for p, *_ in self.pieces), "a piece holds a blank after another character"
-        line = "" if any("\n" in p for p, *_ in self.pieces) else "\n"
-        return re.compile(f"{SPACE}*[^{SPACE}{line}]+|{SPACE}+" + (f"|{line}" if line else ""))
+        return re.compile(f"{SPACE}*[^{SPACE}{self.line}]+|{SPACE}+" + (f"|{self.line}" if self.line else ""))
+
+    @cached_property
+    def line(self) -> str:
+        """A line break, if no piece holds one."""
+        return "" if any("\n" in p for p, *_ in self.pieces) else "\n"
 
     @cached_property
     def surface(self) -> dict[int, bytes]:
@@ -186,18 +179,14 @@ class _Memo(dict):
     def learn(self, words: list[str]) -> list[str]:
         """Add words that are not in it yet; returns those over its bound, for the caller to take out again."""
         at = max(0, MEMO - len(self))
-        by_length: dict[int, list[str]] = {}
-        for w in words:
-            by_length.setdefault(len(w), []).append(w)
-        for n, group in by_length.items():
-            if len(group) < FEW_WORDS or n > LONG_WORD:
-                for w in group:
-                    _, back, ids = forward(self.v, w, n, [0.0])
-                    self[w] = np.array(trace(self.v, w, back, ids, n)[1], np.int32).tobytes()
-            else:
-                for i in range(0, len(group), WORDS_AT_ONCE):
-                    part = group[i : i + WORDS_AT_ONCE]
-                    self.update(zip(part, best_of_equal_length(self.v, part, n), strict=True))
+        many = [w for w in words if len(w) <= LONG_WORD]
+        if len(many) < FEW_WORDS:
+            many = []
+        for i in range(0, len(many), WORDS_AT_ONCE):
+            part = many[i : i + WORDS_AT_ONCE]
+            self.update(zip(part, best_of_words(self.v, part), strict=True))
+        if len(many) < len(words):
+            self.update((w, best_alone(self.v, w)) for w in words if not many or len(w) > LONG_WORD)
         return words[at:]
 
 
@@ -210,68 +199,104 @@ def memo(v: Vocabulary) -> _Memo:
 class PieceTable:
     """Pieces by a hash of their characters, for looking up very many substrings at once."""
 
-    BASE, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+    BASE, SPREAD, SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(44)
 
     def __init__(self, v: Vocabulary):
-        h, ids, scores, sizes = [], [], [], []
+        found, longer = [], set()
         for piece, i, score in v.pieces:
             x = 0
             for c in piece:
+                longer.add(x)  # a piece goes on from here
                 x = (x * int(self.BASE) + ord(c) + 1) % (1 << 64)
-            h.append(x)
-            ids.append(i)
-            scores.append(score)
-            sizes.append(len(piece))
-        order = np.argsort(np.array(h, np.uint64), kind="stable")
-        self.hashes = np.array(h, np.uint64)[order]
-        self.ids, self.scores, self.sizes = np.array(ids, np.int32)[order], np.array(scores)[order], np.array(sizes)[order]
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[(self.hashes * self.SPREAD) >> np.uint64(44)] = True
-        self.powers = [np.uint64(pow(int(self.BASE), k, 1 << 64)) for k in range(v.reach + 1)]
-
-    def find(self, h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of h that are pieces of this size, and where these stand in the table."""
-        rows = np.flatnonzero(self.maybe[(h * self.SPREAD) >> np.uint64(44)])
-        at = np.minimum(np.searchsorted(self.hashes, h[rows]), len(self.hashes) - 1)
-        ok = (self.hashes[at] == h[rows]) & (self.sizes[at] == size)
-        return rows[ok], at[ok]
-
-
-def best_of_equal_length(v: Vocabulary, words: list[str], n: int) -> list[bytes]:
-    """The ids of the best segmentation of each word of n characters: forward() and trace() for all of them at once."""
+            found.append((x * int(self.SPREAD) % (1 << 64), i, score, len(piece)))
+        h, ids, scores, sizes = zip(*sorted(found), strict=True)
+        self.hashes, self.ids, self.scores, self.sizes = np.array(h, np.uint64), np.array(ids, np.int32), np.array(scores, float), np.array(sizes)
+        spot = self.hashes >> self.SHIFT
+        self.begins = np.searchsorted(spot, np.arange(1 << 20, dtype=np.uint64)).astype(np.int32)
+        self.probes = int(np.bincount(spot.astype(np.int64)).max())
+        self.is_piece, self.goes_on = np.zeros(1 << 20, bool), np.zeros(1 << 20, bool)
+        self.is_piece[spot] = True  # both may say so of strings of which it is not true
+        self.goes_on[np.array(list(longer), np.uint64) * self.SPREAD >> self.SHIFT] = True
+
+    def find(self, h: np.ndarray, spot: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of hashes h (spread; their spots) that are pieces of this size, and where these stand in the table."""
+        rows = np.flatnonzero(self.is_piece[spot])
+        want, at = h[rows], self.begins[spot[rows]]
+        hits, places = [], []
+        for k in range(self.probes):
+            here = np.minimum(at + k, len(self.hashes) - 1)
+            ok = np.flatnonzero((self.hashes[here] == want) & (self.sizes[here] == size))
+            hits.append(rows[ok])
+            places.append(here[ok])
+            if len(ok) == len(rows):
+                break
+        return np.concatenate(hits), np.concatenate(places)
+
+
+def best_alone(v: Vocabulary, word: str) -> bytes:
+    """The ids of the best segmentation of a word, as bytes of 32-bit integers."""
+    _, back, ids = forward(v, word, len(word), [0.0])
+    return np.array(trace(v, word, back, ids, len(word))[1], np.int32).tobytes()
+
+
+def best_of_words(v: Vocabulary, words: list[str]) -> list[bytes]:
+    """The ids of the best segmentation of each word: forward() and trace() for all of them at once.
+
+    First all pieces are found at all places, by their lengths; a place is given up as soon as no piece goes on there.
+    Then the places are followed from the left, those at the same distance from their word's begin together.
+    """
     t, k = v.table, len(words)
-    codes = np.array(words, f"<U{n}").view(np.uint32).reshape(k, n).astype(np.uint64) + np.uint64(1)
-    sums = np.zeros((n + 1, k), np.uint64)
-    for j in range(n):
-        sums[j + 1] = sums[j] * t.BASE + codes[:, j]
-    best, back, ids = np.full((n + 1, k), NONE), np.zeros((n + 1, k), np.int32), np.full((n + 1, k), v.unk_id, np.int32)
-    best[0] = 0.0
-    for j in range(1, n + 1):
-        for i in range(max(0, j - v.reach), j):  # of equals the earliest start stays, as in forward()
-            rows, at = t.find(sums[j] - sums[i] * t.powers[j - i], j - i)
-            score = best[i, rows] + t.scores[at]
-            up = score > best[j, rows]
-            rows, at = rows[up], at[up]
-            best[j, rows], back[j, rows], ids[j, rows] = score[up], i, t.ids[at]
-        single = np.zeros(k, bool)
-        single[t.find(codes[:, j - 1], 1)[0]] = True
-        up = ~single & (best[j - 1] + v.unk_score > best[j])
-        best[j, up], back[j, up], ids[j, up] = best[j - 1, up] + v.unk_score, j - 1, v.unk_id
-    path, at, size, every = np.zeros((k, n), np.int32), np.full(k, n), np.zeros(k, np.int64), np.arange(k)
-    strange = np.zeros(k, bool)
-    for step in range(n):  # from the end; the ids of a word fill its row from the right
-        open_ = at > 0
-        if not open_.any():
+    n = np.fromiter(map(len, words), np.int64, k)
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+    ends, word, pos = np.cumsum(n), np.repeat(np.arange(k), n), np.arange(len(codes))
+    offset, room = pos - (ends - n)[word], ends[word] - pos
+    single = np.zeros(len(codes), bool)
+    starts, sizes, pieces, scores = [], [], [], []
+    at, h = pos, np.zeros(len(codes), np.uint64)
+    for size in range(1, v.reach + 1):
+        h = h * t.BASE + codes[at + size - 1]
+        spread = h * t.SPREAD
+        spot = (spread >> t.SHIFT).astype(np.int64)
+        rows, found = t.find(spread, spot, size)
+        starts.append(at[rows])
+        sizes.append(np.full(len(rows), size))
+        pieces.append(t.ids[found])
+        scores.append(t.scores[found])
+        if size == 1:
+            single[at[rows]] = True
+        on = t.goes_on[spot] & (room[at] > size)
+        at, h = at[on], h[on]
+        if not len(at):
             break
-        piece = ids[at, every]
-        path[open_, n - 1 - step] = piece[open_]
-        strange |= open_ & (piece == v.unk_id)
-        size += open_
-        at = np.where(open_, back[at, every], 0)
-    out = [row[n - m :].tobytes() for row, m in zip(path, size, strict=True)]
-    for x in np.flatnonzero(strange):  # with characters that no piece covers: these become bytes
-        _, b, i = forward(v, words[x], n, [0.0])
-        out[x] = np.array(trace(v, words[x], b, i, n)[1], np.int32).tobytes()
+    strange = np.flatnonzero(~single)  # places of characters that are no pieces
+    start = np.concatenate([*starts, strange])
+    size = np.concatenate([*sizes, np.ones(len(strange), np.int64)])
+    piece = np.concatenate([*pieces, np.full(len(strange), v.unk_id, np.int32)])
+    score = np.concatenate([*scores, np.full(len(strange), v.unk_score)])
+    order = np.argsort(offset[start].astype(np.uint16), kind="stable")
+    start, size, piece, score = start[order], size[order], piece[order], score[order]
+    begin = start + word[start]  # a word has one place more than characters
+    end = begin + size
+    best, back, ids = np.full(len(codes) + k, NONE), np.zeros(len(codes) + k, np.int64), np.zeros(len(codes) + k, np.int32)
+    first, last = ends - n + np.arange(k), ends + np.arange(k)
+    best[first] = 0.0
+    bounds = np.searchsorted(offset[start], np.arange(n.max(initial=0) + 1))
+    for a, b in zip(bounds, bounds[1:]):  # pieces of one begin have different ends; of equals the earliest begin stays, as in forward()
+        to, total = end[a:b], best[begin[a:b]] + score[a:b]
+        up = total > best[to]
+        to = to[up]
+        best[to], back[to], ids[to] = total[up], size[a:b][up], piece[a:b][up]
+    on_path, here = np.zeros(len(best), bool), last[last > first]
+    while len(here):
+        on_path[here] = True
+        here = here - back[here]
+        here = here[back[here] > 0]
+    path = ids[on_path]
+    cuts_ = np.concatenate([[0], np.cumsum(on_path)[last]]) * 4
+    raw = path.tobytes()
+    out = [raw[a:b] for a, b in zip(cuts_.tolist(), cuts_[1:].tolist())]
+    for x in np.unique(word[start[piece == v.unk_id]]).tolist():  # with characters that no piece covers: these become bytes
+        out[x] = best_alone(v, words[x])
     return out
 
 
@@ -312,13 +337,22 @@ def decode(v: Vocabulary, ids) -> str:
 
 
 def cuts(v: Vocabulary, text: str, n: int) -> tuple[int, int] | None:
-    """The first and the last place among 0 .. n of a chunk that no piece crosses; none may exist."""
-    at = [p for m in v.words.finditer(text) for p in (m.start(),) if 0 < p <= n]
-    return (at[0], at[-1]) if at else None
+    """The first and the last place among 1 .. n of a chunk that no piece crosses (where v.words begins a run); none may exist."""
+    def cut_at(p: int) -> bool:
+        a, b = text[p - 1], text[p]
+        return b == SPACE != a or v.line in (a, b)
+
+    end = min(n, len(text) - 1)
+    first = next((p for p in range(1, end + 1) if cut_at(p)), None)
+    return None if first is None else (first, next(p for p in range(end, 0, -1) if cut_at(p)))
 
 
 def transfer(v: Vocabulary, text: str, n: int) -> np.ndarray:
-    """The matrix of a chunk: its n characters, then at least reach - 1 more of the next chunk if there is one."""
+    """The matrix of a chunk: its n characters, then at least reach - 1 more of the next chunk if there is one.
+
+    Every path goes through the first and the last cut, so what lies between adds the same to all and decides
+    nothing: the matrix is without it, and words are segmented once, in backtrace().
+    """
     k = v.reach
     m = np.full((k, k), NONE)
     found = cuts(v, text, n)
@@ -330,22 +364,16 @@ def transfer(v: Vocabulary, text: str, n: int) -> np.ndarray:
         return m
     first, last = found
     head = text[:first]
-    middle = v_score(v, text[first:last])
     best, _, _ = forward(v, text[last:], n - last, [0.0])
     tail = np.full(k, NONE)
     row = best[n - last : n - last + k]
     tail[: len(row)] = row
     for i in range(min(k, first + 1)):
         b, _, _ = forward(v, head, first, [NONE] * i + [0.0])
-        m[i] = b[first] + middle + tail
+        m[i] = b[first] + tail
     return m
 
 
-def v_score(v: Vocabulary, text: str) -> float:
-    """The best score of a text between two cuts; scores are whole numbers, so the order of adding does not matter."""
-    return float(v.scores[encode(v, text)].sum())
-
-
 def entries(v: Vocabulary, text: str, n: int, entry: list[float]) -> list[int]:
     """For each exit state the entry state it is reached from, -1 if it can't be reached."""
     k, found = v.reach, cuts(v, text, n)
@@ -357,17 +385,18 @@ def entries(v: Vocabulary, text: str, n: int, entry: list[float]) -> list[int]:
     return [trace(v, text, back, ids, n + j)[0] if n + j < len(best) and best[n + j] > NONE else -1 for j in range(k)]
 
 
-def backtrace(v: Vocabulary, text: str, n: int, entry: list[float], out: int) -> list[int]:
+def backtrace(v: Vocabulary, text: str, n: int, entry: list[float], out: int) -> np.ndarray:
     """The ids of the pieces that begin in the chunk, given its exit state."""
     found = cuts(v, text, n)
     if found is None:
         _, back, ids = forward(v, text, n, entry)
-        return trace(v, text, back, ids, n + out)[1]
+        return np.array(trace(v, text, back, ids, n + out)[1], np.int32)
     first, last = found
     _, back, ids = forward(v, text[:first], first, entry[: first + 1])
     head = trace(v, text[:first], back, ids, first)[1]
     _, back, ids = forward(v, text[last:], n - last, [0.0])
-    return head + encode(v, text[first:last]).tolist() + trace(v, text[last:], back, ids, n - last + out)[1]
+    tail = trace(v, text[last:], back, ids, n - last + out)[1]
+    return np.concatenate([np.array(head, np.int32), encode(v, text[first:last]), np.array(tail, np.int32)])
 
 
 def _long(parts: list[str], v: Vocabulary):  # the scan on one machine, for tests and for reading along

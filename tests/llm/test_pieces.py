@@ -73,6 +73,29 @@ def test_words_together_equal_words_alone(v):
         assert ids.tolist() == whole, w
 
 
+def test_words_of_all_lengths_take_one_pass(v):
+    """Few words of each length are still worked out together, with what forward() finds for each; surrogates too."""
+    rnd = random.Random(8)
+    words = [sp.SPACE * (n % 3) + "".join(rnd.choice("aeinrstlo\ud800é中\U0001f600") for _ in range(n)) for n in range(1, 62) for _ in range(4)]
+    words += ["\n", sp.SPACE, sp.SPACE * 40, "the"]
+    assert sp.best_of_words(v, words) == [sp.best_alone(v, w) for w in words]
+    assert sp.best_of_words(v, []) == []
+
+
+def test_words_of_chunks_are_segmented_once(v, monkeypatch):
+    """Cuts are where runs of words begin, and neither they nor the matrices and maps segment what lies between."""
+    rnd = random.Random(9)
+    for t in [*texts(200, rnd), "", "\n\n", "abc", "▁▁▁a", " x\n y"]:
+        p = sp.prepare(t, v)
+        for n in {0, 1, len(p) // 2, len(p)}:
+            at = [m.start() for m in v.words.finditer(p) if 0 < m.start() <= n]
+            assert sp.cuts(v, p, n) == ((at[0], at[-1]) if at else None), (p, n)
+    p = sp.prepare("one two three " * 50, v)
+    monkeypatch.setattr(sp, "encode_many", None)
+    m = sp.transfer(v, p, 600)
+    assert m.shape == (v.reach, v.reach) and sp.entries(v, p, 600, [0.0] + [sp.NONE] * (v.reach - 1))[0] == 0
+
+
 def test_a_full_memory_changes_nothing(v, monkeypatch):
     monkeypatch.setattr(sp, "MEMO", 5)
     small, rnd = sp.load(), random.Random(6)
