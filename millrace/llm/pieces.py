@@ -41,6 +41,8 @@ CHUNK, MEMO = 32_768, 60_000
 FEW_WORDS, WORDS_AT_ONCE, LONG_WORD = 24, 8192, 64
 #: Chunks of a giant text whose matrices one task multiplies; more are multiplied in a tree.
 FOLD = 64
+#: Chunks whose states are broadcast at most (about 200 bytes each); for more, the chunks' texts are shuffled to them.
+BROADCAST_STATES = 500_000
 NONE = -np.inf
 
 
@@ -473,13 +475,18 @@ def encode_documents(docs: DataFrame, v: Vocabulary, chunk: int = CHUNK, keep_te
             yield pd.DataFrame({"_row": pdf["_row"], "c": pdf["c"], "part_ids": [backtrace(v, *x, list(f), int(e)) for x, f, e in zip(texts(pdf), pdf["entry"], pdf["exit"], strict=True)]})
         release()
 
+    few = chunks.count() <= BROADCAST_STATES
+
+    def with_states(states: DataFrame) -> DataFrame:
+        return chunks.join(F.broadcast(states) if few else states, ["_row", "c"])
+
     most = chunks.groupBy("_row").agg(F.max("c").alias("c")).agg(F.max("c")).first()[0] + 1
     found_matrices = cut(chunks.mapInPandas(matrices, "_row long, c int, m array<double>"), "sp-matrices")
     scan = prefix_states(found_matrices, k, most, FOLD)
-    found = cut(chunks.join(scan, ["_row", "c"]).mapInPandas(maps, "_row long, c int, entry array<double>, from_ array<int>"), "sp-maps")
+    found = cut(with_states(scan).mapInPandas(maps, "_row long, c int, entry array<double>, from_ array<int>"), "sp-maps")
     exits = suffix_states(found.select("_row", "c", F.col("from_").alias("m")), most, FOLD)
     state = found.select("_row", "c", "entry").join(exits, ["_row", "c"])
-    done = chunks.join(state, ["_row", "c"]).mapInPandas(pieces, "_row long, c int, part_ids array<int>")
+    done = with_states(state).mapInPandas(pieces, "_row long, c int, part_ids array<int>")
     joined = done.groupBy("_row").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("c", "part_ids"))), lambda x: x["part_ids"])).alias("ids"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

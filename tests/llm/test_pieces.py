@@ -141,3 +141,15 @@ def test_documents(spark, v, monkeypatch):
     back = sp.decode_documents(sp.encode_documents(df, v, chunk=256), v).collect()
     assert all(r.decoded == (r.text or "") for r in back)
     assert sp.encode_documents(df.limit(0), v).count() == 0
+
+
+@pytest.mark.parametrize("most", [0, 500_000])
+def test_texts_of_chunks_stay_where_few_states_are(spark, v, monkeypatch, most):
+    """Up to a bound states go to the chunks; beyond it they meet by a shuffle, with the same ids."""
+    monkeypatch.setattr(sp, "BROADCAST_STATES", most)
+    sent, broadcast = [], sp.F.broadcast
+    monkeypatch.setattr(sp.F, "broadcast", lambda df: sent.append(df.columns) or broadcast(df))
+    df = spark.createDataFrame([(1, "one two " * 300), (2, "unbroken" * 100), (3, "x")], "doc_id long, text string")
+    out = sp.encode_documents(df, v, chunk=256).collect()
+    assert len(sent) == (2 if most else 0)
+    assert {r.doc_id: r.ids for r in out} == {r.doc_id: sp.encode(v, sp.prepare(r.text, v)).tolist() for r in df.collect()}
