@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, near_dup, pieces, pii, toxicity
 from millrace.llm.common import free_name, row_key
-from millrace.session import cut, sweep, table, written
+from millrace.session import cut, give_back, sweep, table, written
 
 #: Keys that are broadcast at most (16 bytes each); more are shuffled, with the documents.
 BROADCAST_KEYS = 500_000
@@ -35,6 +35,7 @@ def with_key(docs: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labelled rows among them, scores under its cut."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    give_back(spark)  # this stage cuts nothing
     mark = free_name(docs, "_toxic")
     hidden = {c: free_name(docs, f"_own_{c}") for c in docs.columns if c.lower() in toxicity.OUTPUT}
     scored = toxicity.score(docs.withColumnsRenamed(hidden), model).withColumnRenamed("predicted", mark)
