@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.llm import chat, decontaminate, html_text, language_id, near_dup, nearest, pieces, pii, sharding, toxicity
+from millrace.llm import chat, decontaminate, filter_audit, html_text, language_id, near_dup, nearest, packing, pieces, pii, sharding, toxicity, whitening
 
-MODULES = [language_id, decontaminate, toxicity, sharding, pii, near_dup, html_text, chat, nearest, pieces]
+MODULES = [language_id, decontaminate, toxicity, sharding, pii, near_dup, html_text, chat, nearest, pieces, filter_audit, whitening, packing]
 
 
 def queries() -> dict:
