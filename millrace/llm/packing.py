@@ -33,17 +33,17 @@ from millrace.session import cut, table
 
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 CAPACITY, END = 4096, 1
-#: Bytes of text that a task splits at once; words whose ids it remembers, and letters of those it does.
-RUN, MEMORY, REMEMBERED = 8 << 20, 300_000, 64
+#: Bytes of text that a task splits at once; parts of words whose ids it remembers, and letters of those.
+RUN, MEMORY, REMEMBERED = 8 << 20, 1_000_000, 64
 #: Rows that a partition of a sweep holds at most, in expectation.
 SWEEP_ROWS = 1 << 20
 
 # How the vocabulary file says that it splits texts (fixed values). White space parts its tokens, so that words have ids of their own.
 SPLITS_WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
-# Words of these characters are the same when normalised but for their case, and fall into parts by this expression.
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
-_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
+# Words of these characters are the same when normalised but for their case, and fall into parts by the second expression.
+_PLAIN = "^[!-~À-ÖØ-öø-ÿ]+$"
+_PARTS = "('s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+)"
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
@@ -93,21 +93,36 @@ class Encoder:
     def text(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def word(self, word: str) -> bytes:
-        if _PLAIN(word) and not any(a in word for a in self.added):
-            return b"".join(map(self.parts.__getitem__, _PARTS(word.lower())))
-        return self.text(word)
-
     def many(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each text."""
         if not self.by_word:
             yield from (self.text(t.decode()) for t in texts)
             return
-        words = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
-        coded, offsets = words.flatten().dictionary_encode(), words.offsets.to_pylist()
-        ids = [self.word(w) if w else b"" for w in coded.dictionary.to_pylist()]
-        for a, b in zip(offsets, offsets[1:], strict=False):
-            yield b"".join(map(ids.__getitem__, coded.indices[a:b].to_numpy().tolist()))
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary
+        plain = pc.match_substring_regex(words, _PLAIN)
+        for a in self.added:
+            plain = pc.and_not(plain, pc.match_substring(words, a))
+        parts = pc.ascii_split_whitespace(pc.ascii_ltrim_whitespace(pc.replace_substring_regex(pc.utf8_lower(words.filter(plain)), _PARTS, r" \1")))
+        each = parts.flatten().dictionary_encode()
+        ids = [self.parts[p] for p in each.dictionary.to_pylist()]
+        known = len(ids)
+        ids += [self.text(w) if w else b"" for w in words.filter(pc.invert(plain)).to_pylist()]
+        # the parts of a word lie together: those of plain words, then one for each of the others
+        plain = plain.to_numpy(zero_copy_only=False)
+        codes = np.concatenate([each.indices.to_numpy(), np.arange(known, len(ids), dtype=np.int32)])
+        count = np.ones(len(plain), np.int32)
+        count[plain] = np.diff(parts.offsets.to_numpy())
+        first = np.empty(len(plain), np.int32)
+        first[plain], first[~plain] = parts.offsets.to_numpy()[:-1], len(each) + np.arange(len(ids) - known)
+        at = coded.indices.to_numpy()
+        size = count[at]
+        ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        codes = codes[np.repeat(first[at] - ends[:-1], size) + np.arange(ends[-1])]
+        bounds = ends[split.offsets.to_numpy()].tolist()
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            yield b"".join(map(ids.__getitem__, codes[a:b].tolist()))
 
     def runs(self, text: bytes) -> Iterator[bytes]:
         """The text in runs of about RUN bytes that begin and end at white space, so that memory doesn't follow its length."""
