@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import tokenize
 from millrace.operators.relational import first_by
+from millrace.session import cut
 
 K1, B, RRF_K, SUPPORT = 1.5, 0.75, 60, 0.05
 
@@ -14,14 +15,16 @@ K1, B, RRF_K, SUPPORT = 1.5, 0.75, 60, 0.05
 def bm25(docs: DataFrame, queries: DataFrame, k: int = 100, id_: str = "id", text: str = "text") -> DataFrame:
     """NUM-6, SRT-5: query_id, id, score, rank of the k best documents of each query (Okapi, idf floored as the public formula).
 
-    Tokens are counted per document in one pass; only tokens of the queries go on to the join, so the
+    Lengths are summed in one pass and the queries' tokens counted in another, whose result is written, so the
     postings that are shuffled are those that can score. Queries are a small table, checked by Spark's own
-    broadcast limit. A term with a negative idf gets a quarter of the mean idf.
+    broadcast limit. A term with a negative idf gets a quarter of the mean idf. For a collection that is searched
+    again and again there is a stored index (millrace.operators.index).
     """
     lengths = docs.select(F.col(id_).alias("id"), tokenize(text).alias("t")).withColumn("dl", F.size("t").cast("double"))
     totals = lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()
     terms = queries.select("query_id", F.explode(F.array_distinct(tokenize("query"))).alias("term"))
     tf = lengths.select("id", "dl", F.explode("t").alias("term")).join(terms.select("term").distinct(), "term").groupBy("term", "id", "dl").agg(F.count("*").alias("tf"))
+    tf = cut(tf, "tf")  # read three times; and joins of written tables are split by AQE where a term is hot
     df = tf.groupBy("term").agg(F.count("*").alias("df")).withColumn("idf", F.log((F.lit(totals["n"]) - F.col("df") + 0.5) / (F.col("df") + 0.5)))
     floor = 0.25 * (df.agg(F.avg("idf")).first()[0] or 0.0)
     idf = df.select("term", F.when(F.col("idf") < 0, F.lit(floor)).otherwise(F.col("idf")).alias("idf"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.plans import documents, records, scoring, semantics, tables  # noqa: F401
+from millrace.plans import documents, records, scoring, semantics, stores, tables  # noqa: F401
 from millrace.plans.base import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
