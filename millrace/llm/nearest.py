@@ -21,8 +21,8 @@ from pyspark.sql.window import Window
 from millrace.session import cut, table
 
 K, QUERY_EVERY = 20, 20
-#: Directions, the share of them that must collide, first half-width in standard deviations, ratio of rehashing, and the share of a block that is to be verified at least.
-DIRECTIONS, THRESHOLD, WIDTH, RATIO, VERIFY, SEED = 96, 0.75, 0.25, 1.15, 0.2, 17
+#: Directions, the share of them that must collide, first half-width in standard deviations, ratio of rehashing, and the share of a block, and the number of its vectors, that are to be verified at least.
+DIRECTIONS, THRESHOLD, WIDTH, RATIO, VERIFY, LEAST, SEED = 96, 0.75, 0.25, 1.15, 0.2, 1000, 17
 #: Vectors of a block and queries of a block.
 BLOCK, QUERIES_BLOCK = 16_384, 4_096
 
@@ -90,7 +90,7 @@ def _search(k: int, greatest: float, verify: float):
             block = block.sort_values("entry")
             vectors, ids = np.array(block["embedding"].tolist(), np.float64), block["entry"].to_numpy()
             index = Index(vectors, greatest)
-            least = max(4 * k, int(np.ceil(verify * len(ids))))
+            least = max(4 * k, LEAST, int(np.ceil(verify * len(ids))))
             index.calibrate(least)
             for q, vector in zip(queries["query"].to_numpy(), queries["embedding"], strict=True):
                 found = index.candidates(np.asarray(vector, np.float64), least)

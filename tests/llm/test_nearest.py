@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import nearest as nn
@@ -22,10 +23,11 @@ def found(df):
     return out
 
 
-def test_recall(spark):
-    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()
+@pytest.mark.parametrize("size", ["0.001", "0.01", "0.1"])
+def test_recall(spark, size):
+    rows = spark.read.parquet(f"/root/testdata/sf{size}/embeddings.parquet").orderBy("vec_id").collect()
     x, ids = np.array([r.embedding for r in rows], np.float64), [r.vec_id for r in rows]
-    got = found(nn.op9_nearest(spark, "/root/testdata/sf0.1"))
+    got = found(nn.op9_nearest(spark, f"/root/testdata/sf{size}"))
     want = brute(ids, x, [i for i in ids if i % 20 == 0])
     assert got.keys() == want.keys()
     hit = sum(len({a for a, _ in got[q]} & {a for a, _ in want[q]}) for q in want)
@@ -55,6 +57,7 @@ def test_blocks_and_parts_meet_in_full(spark, monkeypatch):
     df = spark.createDataFrame([(i, v.tolist(), "z") for i, v in enumerate(x)], "vec_id long, embedding array<double>, query string")
     monkeypatch.setattr(nn, "BLOCK", 200)
     monkeypatch.setattr(nn, "QUERIES_BLOCK", 10)
+    monkeypatch.setattr(nn, "LEAST", 0)
     got = {}
     for r in nn.nearest(df, F.col("vec_id") % 20 == 0, verify=1.0).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
