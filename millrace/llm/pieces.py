@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bounded_batches, release
+from millrace.llm.common import bounded_batches, free_name, release
 from millrace.session import cut, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -427,6 +427,9 @@ def encode_documents(docs: DataFrame, v: Vocabulary, chunk: int = CHUNK, keep_te
     A null or empty text has no ids; a null's round_trip is null. A text that itself holds U+2581 decodes to
     a blank there. Columns of docs that bear one of these names are replaced; rows that repeat are kept.
     """
+    if own := [c for c in docs.columns if c.lower() == "_row"]:  # the number of a row goes by this name
+        other = free_name(docs, "_own_row")
+        return encode_documents(docs.withColumnRenamed(own[0], other), v, chunk, keep_text).withColumnRenamed(other, own[0])
     spark, k = docs.sparkSession, v.reach
     base = docs.drop("ids", "round_trip").withColumn("text", F.col("text").cast("string"))
     kept = [f for f in base.schema.fields if keep_text or f.name.lower() != "text"]  # a text that is not wanted need not come back from Python

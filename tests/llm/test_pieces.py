@@ -132,9 +132,9 @@ def test_documents(spark, v, monkeypatch):
     monkeypatch.setattr(sp, "FOLD", 2)
     rnd = random.Random(3)
     rows = [(i, t, 7) for i, t in enumerate(["", "one", *texts(20, rnd), "word " * 2000, "unbrokentext" * 500, "\n" * 900, "end"])] + [(99, None, 1), (99, "one", 1), (99, "one", 1)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, ids int")
+    df = spark.createDataFrame([(*r, "mine") for r in rows], "doc_id long, text string, ids int, _ROW string")
     out = sp.encode_documents(df, v, chunk=256).collect()
-    assert len(out) == len(rows)
+    assert len(out) == len(rows) and {r._ROW for r in out} == {"mine"}
     for r in out:
         assert r.ids == sp.encode(v, sp.prepare(r.text, v)).tolist(), r.text
         assert r.round_trip is (None if r.text is None else True)

@@ -86,3 +86,13 @@ def test_stages_on_an_empty_table(spark, tmp_path, sf):
     docs = nasty(spark)[0].limit(0)
     for _, stage in cp.STAGES:
         assert stage(spark, docs, sf).count() == 0
+
+
+def test_the_stage_that_cuts_nothing_gives_memory_back(spark, sf, freed):
+    leave, mb = freed
+    docs = table(spark, sf, "documents")
+    cp.drop_toxic(spark, docs, sf)
+    leave()
+    before = mb()
+    cp.drop_toxic(spark, docs, sf)
+    assert mb() < before - 100
