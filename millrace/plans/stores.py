@@ -9,7 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import index
+from millrace.operators import index, metadata
 from millrace.plans.base import query
 from millrace.plans.documents import _bm25_sql
 from millrace.session import cut, shared_dir, table
@@ -100,3 +100,21 @@ def live_part_states(spark, sf):
         rows = spark.read.parquet(f"{path}/rows")
         last = rows.groupBy("part").agg(F.max_by(F.struct("ok", "failed", "total", "state"), "seq").alias("x"))
         return cut(last.select("part", "x.*"), "parts")
+
+
+@query("""WITH m AS (SELECT o_orderkey, year(o_orderdate) AS year, n_name AS country, CASE WHEN o_orderkey % 4 > 0 THEN o_orderstatus END AS flood_type, CASE WHEN o_orderkey % 5 > 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS date_min,
+CASE WHEN o_orderkey % 3 > 0 THEN strftime(o_orderdate + INTERVAL 5 day, '%Y-%m-%d') END AS date_max, CASE WHEN o_orderkey % 7 > 0 THEN o_custkey % 50 END AS deaths FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+SELECT o_orderkey, year::INT AS year, country FROM m WHERE year IN (1995, 1996) AND contains(lower(country), 'ion_1') AND flood_type = 'O' AND coalesce(date_max, date_min) >= '1995-06-01' AND coalesce(date_min, date_max) <= '1996-09-30' AND deaths >= 10""")
+def metadata_filters(spark, sf):
+    """FLT-8, FLT-9: all filters at once over stored metadata; orders stand for events, nations for countries."""
+    nations = F.broadcast(table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")))  # 25 rows
+    people = table(spark, sf, "customer").join(nations, "c_nationkey").select(F.col("c_custkey").alias("o_custkey"), "country")
+    k, day = F.col("o_orderkey"), F.to_date("o_orderdate")
+    rows = table(spark, sf, "orders").join(people, "o_custkey").select(
+        "o_orderkey", F.year(day).alias("year"), "country", F.when(k % 4 > 0, F.col("o_orderstatus")).alias("flood_type"), F.when(k % 5 > 0, day.cast("string")).alias("date_min"),
+        F.when(k % 3 > 0, F.date_add(day, 5).cast("string")).alias("date_max"), F.when(k % 7 > 0, F.col("o_custkey") % 50).alias("deaths"),
+    )
+    with _folder(spark, "metadata") as path:
+        metadata.write_metadata(rows, path)
+        found = metadata.select_metadata(spark, path, years=[1995, 1996], country="ION_1", type_="O", since="1995-06-01", until="1996-09-30", min_deaths=10)
+        return cut(found.select("o_orderkey", F.col("year").cast("int").alias("year"), "country"), "found")
