@@ -31,7 +31,7 @@ BROADCAST_TEMPLATES, HOST_TEMPLATES = 200_000, 2_000
 # fixed values: HTML's element classes
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript plaintext".split())
-NO_TEXT = frozenset("head script style noscript template iframe object svg math canvas audio video noembed noframes map title xmp".split())
+NO_TEXT = frozenset("head script style noscript template iframe svg canvas audio video noembed noframes title xmp annotation annotation-xml".split())
 SKIPPED = frozenset("nav footer aside form button select textarea input dialog menu".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCKS - frozenset("body html td th tr tbody thead tfoot dd dt li summary figcaption".split())
@@ -45,12 +45,18 @@ BOILERPLATE = frozenset(
     " disqus respond reply replies widget toolbar pagination pager skip".split()
 )
 
+# what stays in an article whatever the words of its class say, and the words that count there all the same
+TEXT_IN_ARTICLE = frozenset("p h1 h2 h3 h4 h5 h6 header hgroup blockquote pre figcaption math".split())
+ADVERT = frozenset("ad ads advert adverts advertisement sponsored".split())
+
 ARTICLES = ("article", "main")
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*+(?:>|$)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+(?:\"|$)|'[^']*+(?:'|$))*+)(?:>|$)", re.S)
 _ATTR = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z]+")
+#: A class or id that names a reader's comment, and not that an article has or lacks them.
+_COMMENT = re.compile(r"(?!(?:has|no|with|allow)[-_])(?:.*[-_])?(?:comments?|reply|replies)(?:[-_]+(?:body|item|entry|content|text|list|thread|section|area|\d+))*")
 
 
 @dataclass
@@ -65,17 +71,34 @@ class Node:
     empty: bool = True
 
 
+def _comment(name: str, value: str) -> bool:
+    """Whether an attribute says that its element is a reader's comment."""
+    if name in ("class", "id"):
+        return any(_COMMENT.fullmatch(word) for word in value.split())
+    return name == "itemprop" and value in ("comment", "comments") or name == "itemtype" and value.rstrip("/").endswith("/comment")
+
+
 def _boilerplate(tag: str, attrs: str, in_article: bool) -> bool:
     if tag in SKIPPED or (tag == "header" and not in_article):
         return True
-    if not attrs or "=" not in attrs or tag in ("html", "body", "article", "main"):
+    if not attrs or "=" not in attrs or tag in ("html", "body"):
         return False
+    text = in_article and tag in TEXT_IN_ARTICLE
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "role" and value in ROLES or name == "aria-hidden" and value == "true":
+        if _comment(name, value):
             return True
-        if name in ("class", "id") and not BOILERPLATE.isdisjoint(_NAME.findall(value)):
+        if tag in ARTICLES:
+            continue
+        if name == "role" and value in ROLES and not (text and tag == "header") or name == "aria-hidden" and value == "true":
             return True
+        if name in ("class", "id"):
+            if text:
+                named = not ADVERT.isdisjoint(value.split())
+            else:
+                named = not BOILERPLATE.isdisjoint(w for w in _NAME.findall(value) if not (in_article and w == "header"))
+            if named:
+                return True
     return False
 
 

@@ -38,6 +38,29 @@ def test_structure():
     assert text("<div>" * 30000 + "deep") == "deep" and text(None) == "" and text("<script>x") == ""
 
 
+def test_comments_are_no_articles():
+    assert text('<article><p>one</p></article><article class="comment"><p>reader</p></article>') == "one"
+    assert text('<article><p>one</p><article class="comment-body depth-1" id=comment-7><h2>Re</h2><p>reader</p></article><p>two</p></article>') == "one\n\ntwo"
+    assert text('<article><p>one</p><div itemscope itemtype="https://schema.org/Comment"><p>reader</p></div><p class="reply">so am I</p></article>') == "one"
+    assert text('<main><p>one</p></main><article id="comment-3"><p>reader</p></article>') == "one"
+    for own in ("has-comments", "post comments-open", "no-comments", "commentary", "with_comments", "sidebar-left", "share"):
+        assert text(f'<article class="{own}"><p>one</p></article>') == "one", own
+    assert text('<article><article class="part"><p>one</p></article><article class="part"><p>two</p></article></article>') == "one\n\ntwo"
+
+
+def test_headings_and_paragraphs_of_an_article_are_text():
+    page = '<article><header class="entry-header" role=banner><h1>Title</h1></header><h2 class="section-header">Part</h2><p class="related">near</p><p class="alert">mind</p><div class="header"><h3 id=notice>Sub</h3></div><blockquote class="promo">said</blockquote>{}</article>'
+    want = "Title\n\nPart\n\nnear\n\nmind\n\nSub\n\nsaid"
+    assert text(page.format("")) == want
+    assert text(page.format('<div class="related"><p>see</p></div><p class="ad">buy</p><p role=alert>cookie</p><div class="share">s</div><footer>f</footer><nav>n</nav>')) == want
+    assert text('<header class="entry-header"><h1>Site</h1></header><p class="alert">We use cookies</p><p>text</p>') == "text"
+
+
+def test_formulas_and_stand_ins_are_text():
+    assert text("<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds</p></article>") == "so x=2 holds"
+    assert text('<article><object data="a.svg"><p>A chart of rain</p></object><map name=m><p>Areas: <a>north</a></p></map><svg><text>no</text></svg></article>') == "A chart of rain\n\nAreas: north"
+
+
 def test_templates(spark):
     rows = [(i, f"http://H.example:80/{i}", f"<body><div>We sell stamps</div><div>{i}</div><article><p>Shared passage</p><p>own {i}</p><section>Read more</section></article></body>") for i in range(30)]
     rows += [(100 + i, f"https://u@o.example?{i}", f"<body><div>We sell stamps</div><p>solo {i}</p></body>") for i in range(3)]
