@@ -24,10 +24,9 @@ def brute(rows):
 
 
 def found(df):
-    out = {}
-    for r in sorted(df.collect(), key=lambda r: r.block):
-        n, t, m = out.get((r.conv_id, r.perspective), (0, "", []))
-        out[r.conv_id, r.perspective] = (n + r.n_turns, t + r.text, m + [(s.start + len(t), s.end + len(t)) for s in r["mask"]])
+    rows = df.collect()
+    out = {(r.conv_id, r.perspective): (r.n_turns, r.text, [tuple(m) for m in r["mask"]]) for r in rows}
+    assert len(out) == len(rows)  # a row a participant
     return out
 
 
@@ -40,5 +39,21 @@ def test_equals_brute_force(spark, sf):
 def test_edges(spark):
     rows = [(1, 0, "system", "be"), (1, 1, "ann", "hi <|im_end|>"), (1, 2, "bob", None), (1, 2, "bob", None), (1, 3, None, "é\U0001f600"), (2, 0, "system", "alone"), (None, 0, "x", "null"), (None, None, "y", ""), *((3, i, "ab"[i % 2], str(i)) for i in range(25))]
     df = spark.createDataFrame([(*r, 5) for r in rows], "conv_id long, turn long, role string, text string, block int")
-    assert found(chat.rotate(df, block=7)) == brute(rows)
+    for block in (1, 7, 24, 25, chat.BLOCK):
+        assert found(chat.rotate(df, block=block)) == brute(rows), block
     assert chat.rotate(df.limit(0)).count() == 0
+
+
+def test_a_rendering_does_not_depend_on_blocks(spark):
+    """1,100 turns of three speakers: one row each, with offsets and turns of the whole; blocks join to it."""
+    rows = [(c, i, ["ann", "bob", "system", None][(i * 7 + i // 5) % 4], "é" * (i % 13)) for c in (1, None) for i in range(1100)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    want = brute(rows)
+    assert found(chat.rotate(df)) == want and len(want) == 6
+    joined = {}
+    for r in sorted(chat.rotate_blocks(df).collect(), key=lambda r: r.block):
+        n, t, m = joined.get((r.conv_id, r.perspective), (r.n_turns, "", []))
+        assert (r.start, r.n_turns) == (len(t), 1100)
+        joined[r.conv_id, r.perspective] = (n, t + r.text, m + [tuple(x) for x in r["mask"]])
+    assert joined == want
+    assert chat.rotate_blocks(df).agg({"block": "max"}).first()[0] == 2
