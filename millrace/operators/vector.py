@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.places import location_similarity, river_similarity
 from millrace.functions.text import jaccard, normalize_ascii
 from millrace.functions.values import date_gap, date_proximity
-from millrace.operators.graph import connected_components
+from millrace.operators.clusters import span_limited_clusters
 from millrace.operators.relational import first_by
 from millrace.session import cut
 
@@ -22,6 +22,23 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
+def block_top(k: int):
+    """A function of two blocks (id, v), queries and vectors: a, b, sim of each query's k nearest others in the block."""
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"a": [], "b": [], "sim": []}).astype({"a": np.int64, "b": np.int64})
+        b = b.sort_values("id")
+        x, y = (np.array(d["v"].tolist(), np.float64) for d in (a, b))
+        ids, s = b["id"].to_numpy(), x @ y.T
+        s[a["id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
+        top = np.argsort(-s, axis=1, kind="stable")[:, :k]
+        out = pd.DataFrame({"a": np.repeat(a["id"].to_numpy(), top.shape[1]), "b": ids[top].ravel(), "sim": np.take_along_axis(s, top, 1).ravel()})
+        return out[np.isfinite(out["sim"])]
+
+    return run
+
+
 def knn(vectors: DataFrame, k: int, queries: DataFrame | None = None, id_: str = "id", vec: str = "embedding", block: int = BLOCK) -> DataFrame:
     """JN-6, WIN-2: a, b, sim, rank of each query's k nearest others by inner product, ties to the smaller id.
 
@@ -36,18 +53,7 @@ def knn(vectors: DataFrame, k: int, queries: DataFrame | None = None, id_: str =
     left = q.select("id", "v", of(m).alias("i"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("j"))
     right = v.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("i"), of(n).alias("j"))
 
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(a) or not len(b):
-            return pd.DataFrame({"a": [], "b": [], "sim": []}).astype({"a": np.int64, "b": np.int64})
-        b = b.sort_values("id")
-        x, y = (np.array(d["v"].tolist(), np.float64) for d in (a, b))
-        ids, s = b["id"].to_numpy(), x @ y.T
-        s[a["id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
-        top = np.argsort(-s, axis=1, kind="stable")[:, :k]
-        out = pd.DataFrame({"a": np.repeat(a["id"].to_numpy(), top.shape[1]), "b": ids[top].ravel(), "sim": np.take_along_axis(s, top, 1).ravel()})
-        return out[np.isfinite(out["sim"])]
-
-    found = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(run, "a long, b long, sim double")
+    found = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(block_top(k), "a long, b long, sim double")
     w = Window.partitionBy("a").orderBy(F.desc("sim"), "b")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -95,41 +101,6 @@ def veto(max_gap: int = 3) -> Column:
     return F.coalesce(F.col("gap") > max_gap, F.lit(False)) | ((a != "") & (b != "") & (a != b))
 
 
-def span_limited_clusters(links: DataFrame, spans: DataFrame, days: int = 45) -> DataFrame:
-    """CMP-1: node, cluster: links (a, b, and their order) are taken in order, unless the union would span over `days`.
-
-    Whether a union is allowed depends on those before it, so links are split by connected components
-    first: components never touch, and each is folded in its order by one task, exactly as a single pass would.
-    """
-    comps = connected_components(links)
-    keyed = links.join(comps.withColumnRenamed("node", "a"), "a").select("component", "a", "b", "order", F.lit(None).cast("date").alias("lo"), F.lit(None).cast("date").alias("hi"))
-    nodes = comps.join(spans, "node", "left").select("component", F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), F.lit(-1).cast("long").alias("order"), "lo", "hi")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        at = pdf[pdf["order"] < 0]
-        day = lambda s: pd.to_datetime(s).map(lambda d: d.toordinal() if d == d else None)
-        lo, hi = dict(zip(at["a"], day(at["lo"]), strict=True)), dict(zip(at["a"], day(at["hi"]), strict=True))
-        parent = {n: n for n in at["a"]}
-
-        def find(x):
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        for a, b in pdf[pdf["order"] >= 0].sort_values("order")[["a", "b"]].itertuples(index=False):
-            x, y = sorted((find(a), find(int(b))))
-            if x == y:
-                continue
-            lows, highs = ([d for d in (m[x], m[y]) if d is not None and d == d] for m in (lo, hi))
-            if lows and highs and max(highs) - min(lows) > days:
-                continue
-            parent[y], lo[x], hi[x] = x, min(lows, default=None), max(highs, default=None)
-        return pd.DataFrame({"node": list(parent), "cluster": [find(n) for n in parent]})
-
-    return keyed.unionByName(nodes).groupBy("component").applyInPandas(run, "node long, cluster long")
-
-
 def medoids(members: DataFrame, cluster: str = "cluster", id_: str = "id", vec: str = "embedding") -> DataFrame:
     """AGG-21: the member of each cluster with the highest mean cosine to all, which is its product with the mean vector.
 
@@ -141,13 +112,14 @@ def medoids(members: DataFrame, cluster: str = "cluster", id_: str = "id", vec:
     return first_by(scored, [cluster], F.desc("mean_cosine"), id_).select(cluster, F.col(id_).alias("medoid"), "mean_cosine")
 
 
-def cluster_events(vectors: DataFrame, meta: DataFrame, k: int = 20, min_cosine: float = 0.70, threshold: float = 0.82, days: int = 45) -> DataFrame:
+def cluster_events(vectors: DataFrame, meta: DataFrame, k: int = 20, min_cosine: float = 0.70, threshold: float = 0.82, days: int = 45, near: DataFrame | None = None) -> DataFrame:
     """CMP-1: node, cluster for every vector: neighbours, veto, score, span-limited union.
 
     vectors: id, embedding; meta: id, date_min, date_max, places, rivers, type, country. Each unordered pair
-    counts once, if either end names the other among its nearest.
+    counts once, if either end names the other among its nearest. near: neighbours (a, b, sim) found otherwise,
+    as by ivf.search, which spares the comparison of all with all.
     """
-    near = knn(vectors, k).where(F.col("sim") >= min_cosine)
+    near = (knn(vectors, k) if near is None else near).where(F.col("sim") >= min_cosine)
     pairs = near.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("sim").alias("sim"))
     for s in "ab":
         pairs = pairs.join(meta.withColumnsRenamed({x: f"{x}_{s}" for x in meta.columns if x != "id"}).withColumnRenamed("id", s), s)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions import values as V
-from millrace.operators import metrics, relational, vector
+from millrace.operators import ivf, metrics, relational, vector
+from millrace.operators.clusters import span_limited_clusters
 from millrace.operators.graph import connected_components
 from millrace.plans.base import query
-from millrace.session import table
+from millrace.session import shared_dir, table
 from millrace.streaming import live
 
 
@@ -58,6 +61,37 @@ def emb_cluster_sizes(spark, sf):
     return g.groupBy("component").agg(F.count("*").alias("size")).groupBy("size").agg(F.count("*").alias("clusters"))
 
 
+@query()
+def emb_ivf_neighbours(spark, sf):
+    """JN-6, WIN-2 by an inverted file over all vectors: 20 neighbours of each whose id is divisible by 50. Approximate, so no SQL."""
+    v = _vectors(spark, sf)
+    index = ivf.build(v, f"{shared_dir(spark)}/ivf-{uuid.uuid4().hex}")
+    return ivf.search(index, v.where("id % 50 = 0")).select("a", "b", F.round("sim", 6).alias("sim"), F.col("rank").cast("long").alias("rank"))
+
+
+_SPAN_DAYS, _SPAN_SCORE = 45, 0.38
+
+
+@query(f"""WITH RECURSIVE {_PAIRS}, n AS (SELECT vec_id AS id, row_number() OVER (ORDER BY vec_id) AS pos,
+CASE WHEN vec_id % 11 <> 0 THEN DATE '2021-01-01' + (vec_id * 37 % 180)::INT END AS day FROM embeddings),
+l AS (SELECT x.pos AS a, y.pos AS b, row_number() OVER (ORDER BY round(score * 1e6) DESC, s.a, s.b) AS i FROM s JOIN n x ON x.id = s.a JOIN n y ON y.id = s.b WHERE score >= {_SPAN_SCORE}),
+u(i, owner, lo, hi) AS (SELECT 0::BIGINT, list(pos ORDER BY pos), list(day ORDER BY pos), list(day ORDER BY pos) FROM n
+UNION ALL SELECT i, CASE WHEN ok THEN list_transform(owner, lambda c: CASE WHEN c = gone THEN keep ELSE c END) ELSE owner END,
+CASE WHEN ok THEN list_concat(lo[1:keep - 1], [first_day], lo[keep + 1:]) ELSE lo END, CASE WHEN ok THEN list_concat(hi[1:keep - 1], [last_day], hi[keep + 1:]) ELSE hi END
+FROM (SELECT *, keep <> gone AND coalesce(last_day - first_day <= {_SPAN_DAYS}, true) AS ok FROM (SELECT *, least(lo[keep], lo[gone]) AS first_day, greatest(hi[keep], hi[gone]) AS last_day
+FROM (SELECT l.i, u.owner, u.lo, u.hi, least(u.owner[l.a], u.owner[l.b]) AS keep, greatest(u.owner[l.a], u.owner[l.b]) AS gone FROM u JOIN l ON l.i = u.i + 1)))),
+f AS (SELECT owner FROM u ORDER BY i DESC LIMIT 1), e AS (SELECT n.id, n.day, n.pos, f.owner[n.pos] AS c FROM n, f)
+SELECT m.id AS cluster, count(*) AS n_articles, min(e.day) AS date_min, max(e.day) AS date_max FROM e JOIN n m ON m.pos = e.c GROUP BY m.id""")
+def emb_span_clusters(spark, sf):
+    """CMP-1: the union that depends on the order of links, by score, under a span of 45 days; one row an event."""
+    links = _scored(spark, sf).where(F.col("score") >= _SPAN_SCORE).select("a", "b", (-F.round(F.col("score") * 1e6)).cast("long").alias("order"))
+    day = F.when(F.col("id") % 11 != 0, F.date_add(F.lit("2021-01-01").cast("date"), (F.col("id") * 37 % 180).cast("int")))
+    days = _vectors(spark, sf).select("id", day.alias("day"))
+    clusters = span_limited_clusters(links, days.select(F.col("id").alias("node"), F.col("day").alias("lo"), F.col("day").alias("hi")), _SPAN_DAYS)
+    placed = days.join(clusters.withColumnRenamed("node", "id"), "id", "left").withColumn("cluster", F.coalesce("cluster", "id"))
+    return placed.groupBy("cluster").agg(F.count("*").alias("n_articles"), F.min("day").alias("date_min"), F.max("day").alias("date_max"))
+
+
 @query("""WITH x AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings), m AS (SELECT label, i, avg(x) AS mx FROM x GROUP BY ALL),
 s AS (SELECT x.label, vec_id, round(sum(x * mx), 9) AS c FROM x JOIN m USING (label, i) GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY c DESC, vec_id) AS n FROM s)
 SELECT label, vec_id AS medoid, round(c, 6) AS mean_cosine FROM r WHERE n = 1""")
