@@ -74,7 +74,7 @@ _SPAN_DAYS, _SPAN_SCORE = 45, 0.38
 
 @query(f"""WITH RECURSIVE {_PAIRS}, n AS (SELECT vec_id AS id, row_number() OVER (ORDER BY vec_id) AS pos,
 CASE WHEN vec_id % 11 <> 0 THEN DATE '2021-01-01' + (vec_id * 37 % 180)::INT END AS day FROM embeddings),
-l AS (SELECT x.pos AS a, y.pos AS b, row_number() OVER (ORDER BY round(score * 1e6) DESC, s.a, s.b) AS i FROM s JOIN n x ON x.id = s.a JOIN n y ON y.id = s.b WHERE score >= {_SPAN_SCORE}),
+l AS MATERIALIZED (SELECT x.pos AS a, y.pos AS b, row_number() OVER (ORDER BY round(score * 1e6) DESC, s.a, s.b) AS i FROM s JOIN n x ON x.id = s.a JOIN n y ON y.id = s.b WHERE score >= {_SPAN_SCORE}),
 u(i, owner, lo, hi) AS (SELECT 0::BIGINT, list(pos ORDER BY pos), list(day ORDER BY pos), list(day ORDER BY pos) FROM n
 UNION ALL SELECT i, CASE WHEN ok THEN list_transform(owner, lambda c: CASE WHEN c = gone THEN keep ELSE c END) ELSE owner END,
 CASE WHEN ok THEN list_concat(lo[1:keep - 1], [first_day], lo[keep + 1:]) ELSE lo END, CASE WHEN ok THEN list_concat(hi[1:keep - 1], [last_day], hi[keep + 1:]) ELSE hi END
