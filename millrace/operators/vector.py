@@ -15,6 +15,8 @@ from millrace.operators.relational import first_by
 from millrace.session import cut
 
 BLOCK = 8_192
+#: Queries whose products with a block a task holds at once.
+ROWS = 256
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -30,11 +32,21 @@ def block_top(k: int):
             return pd.DataFrame({"a": [], "b": [], "sim": []}).astype({"a": np.int64, "b": np.int64})
         b = b.sort_values("id")
         x, y = (np.array(d["v"].tolist(), np.float64) for d in (a, b))
-        ids, s = b["id"].to_numpy(), x @ y.T
-        s[a["id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
-        top = np.argsort(-s, axis=1, kind="stable")[:, :k]
-        out = pd.DataFrame({"a": np.repeat(a["id"].to_numpy(), top.shape[1]), "b": ids[top].ravel(), "sim": np.take_along_axis(s, top, 1).ravel()})
-        return out[np.isfinite(out["sim"])]
+        ids, own, out = b["id"].to_numpy(), a["id"].to_numpy(), []
+        n = min(k, len(ids))
+        for i in range(0, len(own), ROWS):
+            s = x[i : i + ROWS] @ y.T
+            s[own[i : i + ROWS, None] == ids[None, :]] = -np.inf
+            # all that reach the k-th product, which may be more than k by ties; columns are in order of id
+            least = np.partition(s, len(ids) - n, axis=1)[:, len(ids) - n]
+            row, col = np.nonzero(s >= least[:, None])
+            sim = s[row, col]
+            order = np.lexsort((-sim, row))
+            row, col, sim = row[order], col[order], sim[order]
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            kept = (place < n) & np.isfinite(sim)
+            out.append(pd.DataFrame({"a": own[i + row[kept]], "b": ids[col[kept]], "sim": sim[kept]}))
+        return pd.concat(out)
 
     return run
 

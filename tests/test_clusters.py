@@ -84,6 +84,18 @@ def test_structure_makes_it_cheap_and_all_lists_make_it_exact(spark):
     assert whole.exceptAll(exact).isEmpty() and exact.exceptAll(whole).isEmpty()
 
 
+def test_blocks_of_queries_and_ties(spark):
+    """Over 256 queries in a block, and copies: the k nearest, ties to the smaller id."""
+    rows = [(i, [float(i % 3), float(i % 5)]) for i in range(600)]
+    got = {}
+    for r in vector.knn(spark.createDataFrame(rows, "id long, embedding array<double>"), 4).collect():
+        got.setdefault(r.a, []).append((r["rank"], r.b))
+    v = dict(rows)
+    for a in v:
+        want = sorted((b for b in v if b != a), key=lambda b: (-(v[a][0] * v[b][0] + v[a][1] * v[b][1]), b))[:4]
+        assert [b for _, b in sorted(got[a])] == want
+
+
 def test_rows_that_take_no_part(spark):
     rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [None, 1.0]), (5, [float("nan"), 1.0]), (6, [float("inf"), 0.0]), (None, [1.0, 1.0]), (7, [0.0, 1.0])]
     df = spark.createDataFrame(rows, "id long, embedding array<double>").withColumn("list", F.lit("x"))
