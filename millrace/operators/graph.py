@@ -16,7 +16,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     point to the least of them), as in Kiveris et al. 2014: it hooks whole trees to one another, so the rounds
     of a path grow with the logarithm of its length in any order of ids, and edges never become more. Rounds
     go on until nothing moves; there is no bound at which unsettled labels could leave. A hub with very many
-    edges is pre-aggregated before its shuffle (min is partial) and its join is split by AQE. Null ends,
+    edges is pre-aggregated before its shuffle (min is partial); its join with that aggregate is not split by AQE,
+    which does so only where both sides are shuffled for the join. Null ends,
     self-loops and repeated edges do nothing. Edges are written to the shared folder after each round.
     """
     one = edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"), F.col(a).alias("x"), F.col(b).alias("y"))
