@@ -168,3 +168,24 @@ def test_words_that_differ_late_are_different():
     words = [a, a[:27] + "b" + a[28:], a[:-1] + "b", a + "a", a[:24], a[:25]]
     rows = tx.word_buckets(words)
     assert len(set(rows[:, 0].tolist())) == len(words) and (rows[:, 1:] == rows[0, 1:]).all()
+
+
+def test_training_reads_all_rows_in_shards(spark, monkeypatch):
+    """Every labelled row outside the held-out quarter trains or calibrates, and shards together learn what one table holds."""
+    monkeypatch.setattr(tx, "SHARD", 400)
+    texts, labels = corpus(2400, 5)
+    docs = spark.createDataFrame([(i, t, "de" if i % 3 else None) for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    gold = spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int")
+    want = {i for i in range(2400) if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert {r.doc_id for r in tx.training_rows(docs, gold).collect()} == want
+    many = spark.range(30_000).selectExpr("id AS doc_id", "'x' AS text", "'en' AS lang")
+    held = sum(zlib.crc32(str(i).encode()) % 4 == 2 for i in range(30_000))
+    assert tx.training_rows(many, many.selectExpr("doc_id", "0 AS toxic")).count() == 30_000 - held
+    counted = []
+    monkeypatch.setattr(tx, "_thresholds", lambda c, f=tx._thresholds: counted.append(sum(c.values())) or f(c))
+    m = tx.fit(docs, gold)
+    again = tx.fit(docs.repartition(5), gold)
+    assert np.array_equal(m.emb, again.emb) and m.thresholds == again.thresholds and set(m.thresholds) == {"", "de"}
+    assert 0.1 * len(want) < counted[0] < 0.3 * len(want)
+    t, y = corpus(400, 6)
+    assert np.mean((m.scores(t) >= 0.3) == np.array(y)) > 0.95
