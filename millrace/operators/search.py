@@ -2,24 +2,126 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import tokenize
 from millrace.operators.relational import first_by
-from millrace.session import cut
+from millrace.session import cut, release, small_batches
 
 K1, B, RRF_K, SUPPORT = 1.5, 0.75, 60, 0.05
 
 
+#: Pairs of a query and a term that are sent to the tasks at most; products of a slice of documents; hits that a task holds before it keeps the best.
+PAIRS, SLICE, HELD = 1_000_000, 1 << 20, 1 << 19
+
+
 def bm25(docs: DataFrame, queries: DataFrame, k: int = 100, id_: str = "id", text: str = "text") -> DataFrame:
     """NUM-6, SRT-5: query_id, id, score, rank of the k best documents of each query (Okapi, idf floored as the public formula).
 
-    Lengths are summed in one pass and the queries' tokens counted in another, whose result is written, so the
-    postings that are shuffled are those that can score. Queries are a small table, checked by Spark's own
-    broadcast limit. A term with a negative idf gets a quarter of the mean idf. For a collection that is searched
-    again and again there is a stored index (millrace.operators.index).
+    One pass over the texts writes, a row a document, its length and how often it holds which of the queries' terms.
+    Documents and terms are counted there; then each task scores its documents against all queries and sends on its k
+    best a query, so that no pairs of documents and queries are shuffled and a task's memory does not follow the
+    collection. With over PAIRS terms of queries, or repeated ids, the pairs are made by joins. A term with a negative
+    idf gets a quarter of the mean idf. For a collection that is searched again and again there is a stored index
+    (millrace.operators.index).
     """
+    asked = cut(queries.select("query_id", F.explode(F.array_distinct(tokenize("query"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("times")), "terms")
+    if asked.count() > PAIRS or not docs.groupBy(id_).count().where("count > 1").isEmpty():
+        return _joined_bm25(docs, queries, k, id_, text)
+    spark, kind = docs.sparkSession, docs.schema[id_].dataType.simpleString()
+    asked_rows = asked.collect()  # PAIRS at most
+    number = {t: i for i, t in enumerate(sorted({r.term for r in asked_rows}))}
+    names = F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), "[^a-z0-9]+", " ")
+    small_batches(spark)
+    tf = cut(docs.select(F.col(id_).alias("id"), names.alias("t")).mapInArrow(_counts(number), f"id {kind}, dl long, terms array<int>, counts array<int>"), "tf")
+    n, mean = tf.agg(F.count("*"), F.avg("dl")).first()
+    df = {r.term: r["count"] for r in tf.select(F.explode("terms").alias("term")).groupBy("term").count().collect()}  # a row a term of the queries
+    idf = {t: math.log((n - f + 0.5) / (f + 0.5)) for t, f in df.items()}
+    floor = 0.25 * (math.fsum(idf.values()) / len(idf) if idf else 0.0)
+    ids = sorted({r.query_id for r in asked_rows}, key=lambda x: (x is not None, x))
+    place = {q: i for i, q in enumerate(ids)}
+    known = sorted((number[r.term], place[r.query_id], r.times) for r in asked_rows if number[r.term] in idf)
+    weights = np.array([(floor if idf[t] < 0 else idf[t]) * m for t, _, m in known])
+    index = (np.searchsorted([t for t, _, _ in known], np.arange(len(number) + 1)), np.array([q for _, q, _ in known], np.int64), weights)
+    found = tf.mapInArrow(_best_here(index, len(ids), mean or 1.0, k), f"q int, id {kind}, score double")
+    numbers = spark.createDataFrame(list(enumerate(ids)), f"q int, query_id {queries.schema['query_id'].dataType.simpleString()}")
+    w = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "id")
+    scored = found.join(F.broadcast(numbers), "q").select("query_id", "id", "score")
+    return scored.where(F.round("score", 9) > 0).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def _counts(number: dict[str, int]):
+    """id, dl, and the numbers and counts of known terms, of texts whose tokens stand between blanks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dl, terms, counts = [], [], []
+            for t in batch.column("t").to_pylist():
+                words = t.split()
+                c = Counter(filter(None.__ne__, map(number.get, words)))
+                dl.append(len(words))
+                terms.append(sorted(c))
+                counts.append([c[x] for x in terms[-1]])
+            lists = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(dl, pa.int64()), pa.array(terms, lists), pa.array(counts, lists)], ["id", "dl", "terms", "counts"])
+        release()
+
+    return run
+
+
+def _best_here(index: tuple[np.ndarray, np.ndarray, np.ndarray], queries: int, mean: float, k: int):
+    """q, id and score of the k best documents of each query among those of a task."""
+    starts, of, idf = index
+
+    def best(held: list[pa.Table]) -> pa.Table:
+        t = pa.concat_tables(held)
+        t = t.append_column("rounded", pa.array(np.round(t["score"].to_numpy(), 9)))
+        t = t.take(pc.sort_indices(t, [("q", "ascending"), ("rounded", "descending"), ("id", "ascending")], null_placement="at_start"))
+        q = t["q"].to_numpy()
+        return t.filter(pa.array(np.arange(len(q)) - np.searchsorted(q, q) < k)).drop_columns(["rounded"]).combine_chunks()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, least = [], 0, np.zeros(queries)
+        for batch in batches:
+            sizes = np.diff(batch.column("terms").offsets.to_numpy())
+            doc, dl = np.repeat(np.arange(len(sizes)), sizes), batch.column("dl").to_numpy().astype(float)
+            term, tf = batch.column("terms").flatten().to_numpy(), batch.column("counts").flatten().to_numpy().astype(float)
+            part = tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl[doc] / mean))
+            times = starts[term + 1] - starts[term]
+            work = np.concatenate([[0], np.cumsum(np.bincount(doc, times, len(sizes)))]) + queries * np.arange(len(sizes) + 1)
+            lo = 0
+            while lo < len(sizes):
+                hi = max(lo + 1, int(np.searchsorted(work, work[lo] + SLICE, "right")) - 1)
+                x, y = np.searchsorted(doc, [lo, hi])
+                t = times[x:y]
+                at = np.repeat(starts[term[x:y]] - np.concatenate([[0], np.cumsum(t)[:-1]]), t) + np.arange(t.sum()) if len(t) else np.zeros(0, np.int64)
+                cell = np.repeat(doc[x:y] - lo, t) * queries + of[at]
+                score = np.bincount(cell, np.repeat(part[x:y], t) * idf[at], (hi - lo) * queries).reshape(hi - lo, queries)
+                d, q = np.nonzero((score > 0) & (score >= least - 1e-8))
+                held.append(pa.table({"q": pa.array(q, pa.int32()), "id": batch.column("id").take(pa.array(lo + d)), "score": score[d, q]}))
+                size, lo = size + len(d), hi
+                if size > HELD:
+                    held = [best(held)]
+                    size, q, s = len(held[0]), held[0]["q"].to_numpy(), held[0]["score"].to_numpy()
+                    n = np.bincount(q, minlength=queries)
+                    least[n >= k] = s[np.searchsorted(q, np.flatnonzero(n >= k), "right") - 1]
+        if held:
+            yield from best(held).to_batches()
+        release()
+
+    return run
+
+
+def _joined_bm25(docs: DataFrame, queries: DataFrame, k: int, id_: str, text: str) -> DataFrame:
+    """bm25 for any number of queries and repeated ids, whose rows of one length count as one: postings that can score are shuffled."""
     lengths = docs.select(F.col(id_).alias("id"), tokenize(text).alias("t")).withColumn("dl", F.size("t").cast("double"))
     totals = lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()
     terms = queries.select("query_id", F.explode(F.array_distinct(tokenize("query"))).alias("term"))

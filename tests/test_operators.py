@@ -198,3 +198,21 @@ def test_tuned_prefilter(spark):
     model, m = metrics.tuned_prefilter(df.coalesce(2), penalties=(0.01, 1.0), features=256)
     assert m["roc_auc"] > 0.8 and m["penalty"] in (0.01, 1.0) and m["recall"] >= 0.95 and 0 < m["threshold"] < 1
     assert model.transform(df.where("text IS NOT NULL")).count() == len(rows) - 1
+
+
+def test_bm25_keeps_the_best_in_tasks_whatever_they_hold(spark, monkeypatch):
+    """Scores made inside tasks equal those of joins, with copies (ties by id), empty texts and little held at once; no join makes pairs."""
+    words = ["flood", "river", "storm", "town", "rain"]
+    texts = [None, "", "..."] + [" ".join(words[(i * j) % 5] for j in range(1, 2 + i % 9)) + f" Flood-{i % 40} W{i % 23}" for i in range(300)]
+    docs = spark.createDataFrame([(f"d{i % 7}-{i}", t) for i, t in enumerate(texts)], "id string, text string").repartition(4)
+    asks = spark.createDataFrame([("a", "flood w3 w4"), ("b", "the 9 TOWN w5 w5 8"), ("b", "9"), ("c", "unknown"), ("d", None)], "query_id string, query string")
+    rows = lambda df: sorted((r.query_id, r["rank"], r.id, round(r.score, 9)) for r in df.collect())
+    want = rows(search._joined_bm25(docs, asks, 7, "id", "text"))
+    got = search.bm25(docs, asks, 7)
+    assert rows(got) == want and len(want) == 14
+    assert "MapInArrow" in got._jdf.queryExecution().toString()
+    monkeypatch.setattr(search, "SLICE", 20)
+    monkeypatch.setattr(search, "HELD", 15)
+    assert rows(search.bm25(docs, asks, 7)) == want
+    twice = docs.union(docs.limit(50))
+    assert rows(search.bm25(twice, asks, 7)) == rows(search._joined_bm25(twice, asks, 7, "id", "text"))
