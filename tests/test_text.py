@@ -120,3 +120,11 @@ def test_readings_of_a_place(spark):
         ("lower assam barpeta cachar district", "full"), ("lower assam cachar district", "full"), ("lower assam cachar", "stripped"), ("barpeta", "part"), ("lower assam", "part"), ("cachar district", "part"), ("cachar", "part"),
     ]
     assert got[1] == [("bombay", "full"), ("mumbai", "full")] and got[2] == [] and got[3] == []
+
+
+def test_batches_of_texts_are_small(spark):
+    """However many rows a task has, a function of texts sees few at once, so that its memory does not follow them."""
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    sizes = F.pandas_udf(lambda v: v.map(lambda _: len(v)), "int", F.PandasUDFType.SCALAR)
+    T.clean_text("text")
+    assert spark.range(3000).coalesce(1).select(sizes(F.col("id")).alias("n")).agg(F.max("n")).first()[0] <= 500
