@@ -1,13 +1,14 @@
 """Benchmark decontamination by a prefix-filtered set join, in DataFrame functions alone.
 
 An item's windows are its runs of ``size`` consecutive words (all its words, if it has fewer). Windows are
-seen as sets of shingles of five words (of all words, in a window of fewer). A first pass over the documents
-counts where shingles of the benchmark occur, combined before the shuffle; the counts give the order by
-rarity. As a document must hold all shingles of a window, the necessary prefix is its rarest shingle, and a
-window with a shingle that occurs nowhere is out. The second pass joins the documents with these prefixes
-only. The offset of the shingle gives the positional bound (the window would begin at position - offset, not
-before the first word), the length bound is that it ends within the document; then the words of the window
-are compared one by one with those of the document, in the same stage.
+seen as sets of shingles of five words (of all words, in a window of fewer). A pass over the documents writes
+where shingles of the benchmark occur, with the words around; their counts give the order by rarity. As a
+document must hold all shingles of a window, the necessary prefix is its rarest shingle, and a window with a
+shingle that occurs nowhere is out. The positions are joined with these prefixes only (with a very large
+benchmark they are sought in a second pass, and the first only counts). The offset of the shingle gives the
+positional bound (the window would begin at position - offset, not before the first word), the length bound is
+that it ends within the document; then the words of the window are compared one by one with those around the
+position.
 """
 
 from __future__ import annotations
@@ -114,12 +115,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE,
 
     shingles = cut(_shingles(win, lengths), "dc-shingles")
     wanted = shingles.select("shingle").distinct()
-    each = _positions(docs, lengths)
-    light = each.where("at > 0").select("shingle")
+    each, near = _positions(docs, lengths), None
     if wanted.count() <= BROADCAST_SHINGLES:
-        occurring = light.join(F.broadcast(wanted), "shingle").groupBy("shingle").agg(F.count("*").alias("count"))
+        # the only pass over the texts: split, hash, explode and join run as one stage
+        mark = docs.sparkSession.range(1).select(F.lit(OWN).cast("long").alias("shingle"))
+        near = cut(_context(each.join(F.broadcast(wanted.union(mark)), "shingle"), size), "dc-near")
+        occurring = near.where("at > 0").groupBy("shingle").agg(F.count("*").alias("count"))
     else:
-        occurring = _may_be(light, wanted).groupBy("shingle").agg(F.count("*").alias("count")).join(wanted, "shingle")
+        occurring = _may_be(each.where("at > 0").select("shingle"), wanted).groupBy("shingle").agg(F.count("*").alias("count")).join(wanted, "shingle")
     counts = cut(occurring, "dc-counts")
 
     rarest = F.min(F.struct("count", "shingle", "offset")).alias("p")
@@ -128,7 +131,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE,
     # a window of which some shingle occurs nowhere can't occur
     complete = held.join(whole, "window_id").where("held = all")
     prefix = cut(complete.select("window_id", "window", "p.shingle", "p.offset"), "dc-prefix")
-    found = cut(_matches(each, prefix, size), "dc-hits")
+    found = cut(_matches(each, prefix, size, near), "dc-hits")
 
     matches = found.where("window_id IS NOT NULL").select("row", "window_id", "start", "len")
     spots = matches.select("row", F.explode(F.sequence("start", F.col("start") + F.col("len") - 1)).alias("at"))
@@ -138,28 +141,36 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE,
     items = items.groupBy("row").agg(F.sort_array(F.collect_list("item")).alias("items"))  # the benchmark's items at most
     base = found.where("window_id IS NULL").select("row", "doc_id", "n_words")
     out = cut(_result(base.join(hit, "row", "left").join(items, "row", "left")), "dc-result")
-    drop(per_item, win, shingles, counts, prefix, found)
+    drop(per_item, win, shingles, near, counts, prefix, found)
     return out
 
 
-def _matches(each: DataFrame, prefix: DataFrame, size: int) -> DataFrame:
-    """row, doc_id and n_words of every row (window_id null), and row, window_id, start, len of every match."""
+def _context(each: DataFrame, size: int) -> DataFrame:
+    """Positions with the words around them that a window through them can hold; first is the number of words before these."""
+    reach = size - 1
+    first = F.greatest(F.col("at") - 1 - reach, F.lit(0))
+    words_ = F.when(F.col("at") > 0, F.slice("w", first + 1, F.lit(size + reach)))
+    return each.select("row", "doc_id", "k_at", "at", "shingle", first.alias("first"), F.size("w").cast("long").alias("n_words"), words_.alias("w"))
+
+
+def _matches(each: DataFrame, prefix: DataFrame, size: int, near: DataFrame | None = None) -> DataFrame:
+    """row, doc_id and n_words of every row (window_id null), and row, window_id, start, len of every match.
+
+    near: the written positions of all shingles of the benchmark; without them those of prefixes are found here.
+    """
     spark, own = each.sparkSession, F.lit(OWN).cast("long")
     null = {c: F.lit(None).cast(prefix.schema[c].dataType) for c in ("window_id", "window", "offset")}
     mark = spark.range(1).select(*[x.alias(c) for c, x in null.items()], own.alias("shingle"))
     keys = prefix.select(*null, "shingle").union(mark)
     start, length = F.col("at") - 1 - F.col("offset"), F.size("window")
-    if prefix.count() <= BROADCAST_WINDOWS:
+    few = prefix.count() <= BROADCAST_WINDOWS
+    if near is None and few:
         # split, hash, explode, join and compare run as one stage; the words themselves are never written
         joined = each.join(F.broadcast(keys), "shingle").withColumns({"first": F.lit(0), "n_words": F.size("w").cast("long")})
     else:
-        reach = size - 1
-        first = F.greatest(F.col("at") - 1 - reach, F.lit(0))
-        context = F.when(F.col("at") > 0, F.slice("w", first + 1, F.lit(size + reach)))
-        near = _may_be(each, keys.select("shingle"))
-        near = near.select("row", "doc_id", "k_at", "at", "shingle", first.alias("first"), F.size("w").cast("long").alias("n_words"), context.alias("w"))
         # the number of a row is data from here on; a shingle that very many documents hold is split by AQE
-        joined = cut(near, "dc-near").join(keys, "shingle")
+        near = cut(_context(_may_be(each, keys.select("shingle")), size), "dc-near") if near is None else near
+        joined = near.join(F.broadcast(keys) if few else keys, "shingle")
     row = (F.col("at") == 0) & (F.col("k_at") == 0)
     equal = F.slice("w", start - F.col("first") + 1, F.greatest(length, F.lit(0))) == F.col("window")
     bounded = (start >= 0) & (start + length <= F.col("n_words"))

@@ -70,3 +70,14 @@ def test_a_long_text_is_split_once(spark):
     began = time.time()
     assert got(dc.find_contamination(docs, items)) == brute([(1, text), (2, "w1 w2")], [(5, item)])
     assert time.time() - began < 60
+
+
+def test_texts_are_read_once(spark, monkeypatch):
+    """Positions are written once and serve the counts and the matches, so texts are not split a second time."""
+    names, cut = [], dc.cut
+    monkeypatch.setattr(dc, "cut", lambda df, name: names.append(name) or cut(df, name))
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k l"), (2, "x y z"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "b c d e f g h i j k"), (8, "x y")], "item_id long, text string")
+    rows = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in dc.find_contamination(docs, items).collect()}
+    assert rows == {1: (12, 10, ["7"]), 2: (3, 2, ["8"]), 3: (0, 0, [])}
+    assert names.index("dc-near") < names.index("dc-counts")
