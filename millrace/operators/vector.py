@@ -14,7 +14,8 @@ from millrace.operators.clusters import span_limited_clusters
 from millrace.operators.relational import first_by
 from millrace.session import cut
 
-BLOCK = 8_192
+#: Vectors of a block while there are up to SPREAD blocks; numbers of a block beyond that (32 MB).
+BLOCK, SPREAD, NUMBERS = 8_192, 8, 1 << 22
 #: Queries whose products with a block a task holds at once.
 ROWS = 256
 
@@ -51,6 +52,11 @@ def block_top(k: int):
     return run
 
 
+def block_count(n: int, width: int, block: int = BLOCK) -> int:
+    """Blocks of n vectors: a vector is shuffled once a block of the other side, so blocks grow before their number does."""
+    return max(1, min(SPREAD, -(-n // block)), -(-n // max(block, NUMBERS // max(1, width))))
+
+
 def knn(vectors: DataFrame, k: int, queries: DataFrame | None = None, id_: str = "id", vec: str = "embedding", block: int = BLOCK) -> DataFrame:
     """JN-6, WIN-2: a, b, sim, rank of each query's k nearest others by inner product, ties to the smaller id.
 
@@ -58,7 +64,8 @@ def knn(vectors: DataFrame, k: int, queries: DataFrame | None = None, id_: str =
     no pairs are ever made and nothing is broadcast. Without queries every vector is one.
     """
     asks = vectors if queries is None else queries
-    n, m = max(1, -(-vectors.count() // block)), max(1, -(-asks.count() // block))
+    sizes = vectors.agg(F.count("*"), F.coalesce(F.max(F.size(vec)), F.lit(1))).first()
+    n, m = (block_count(x, sizes[1], block) for x in (sizes[0], asks.count()))
     v = vectors.select(F.col(id_).alias("id"), F.col(vec).alias("v"))
     q = asks.select(F.col(id_).alias("id"), F.col(vec).alias("v"))
     of = lambda k: F.pmod(F.xxhash64("id"), F.lit(k)).cast("int")

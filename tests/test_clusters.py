@@ -104,3 +104,9 @@ def test_rows_that_take_no_part(spark):
     assert got == [(1, 2), (1, 7), (2, 1), (2, 7), (7, 1), (7, 2)]
     none = ivf.build(df.limit(0), f"{shared_dir(spark)}/ivf-test-none")
     assert ivf.search(none, df).count() == 0
+
+
+def test_blocks_of_vectors_grow_with_the_table():
+    """Copies of a vector that are shuffled are bounded while tables grow: 60 times 10,256 vectors meet in 10 blocks, not 76."""
+    assert [vector.block_count(n, 64) for n in (0, 1, 9000, 102_560, 615_360)] == [1, 1, 2, 8, 10]
+    assert vector.block_count(100_000, 4096) == 13
