@@ -18,7 +18,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ascii_lower
+from millrace.llm.common import ascii_lower, may_be
 from millrace.session import cut, drop, table
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -85,18 +85,6 @@ def _positions(docs: DataFrame, lengths: list[int]) -> DataFrame:
     return hashed.select("row", "doc_id", "w", "k_at", F.posexplode_outer("hs").alias("at", "shingle"))
 
 
-def _slot(h: Column) -> tuple[Column, Column]:
-    return h.bitwiseAND(F.lit((1 << SLOT_BITS) - 1)), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(h, SLOT_BITS), F.lit(64)).cast("int"))
-
-
-def _may_be(each: DataFrame, keys: DataFrame) -> DataFrame:
-    """The positions whose shingle may be one of keys: a filter of fixed size, so its broadcast never grows."""
-    slot, bit = _slot(F.col("shingle"))
-    bits = keys.groupBy(slot.alias("slot")).agg(F.bit_or(bit).alias("bits"))  # 2 ** SLOT_BITS rows at most
-    near = each.withColumn("slot", slot).join(F.broadcast(bits), "slot")
-    return near.where(F.col("bits").bitwiseAND(bit) != 0).drop("slot", "bits")
-
-
 def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and items (ids) for each row of docs.
 
@@ -122,7 +110,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE,
         near = cut(_context(each.join(F.broadcast(wanted.union(mark)), "shingle"), size), "dc-near")
         occurring = near.where("at > 0").groupBy("shingle").agg(F.count("*").alias("count"))
     else:
-        occurring = _may_be(each.where("at > 0").select("shingle"), wanted).groupBy("shingle").agg(F.count("*").alias("count")).join(wanted, "shingle")
+        occurring = may_be(each.where("at > 0").select("shingle"), wanted, "shingle", SLOT_BITS).groupBy("shingle").agg(F.count("*").alias("count")).join(wanted, "shingle")
     counts = cut(occurring, "dc-counts")
 
     rarest = F.min(F.struct("count", "shingle", "offset")).alias("p")
@@ -169,7 +157,7 @@ def _matches(each: DataFrame, prefix: DataFrame, size: int, near: DataFrame | No
         joined = each.join(F.broadcast(keys), "shingle").withColumns({"first": F.lit(0), "n_words": F.size("w").cast("long")})
     else:
         # the number of a row is data from here on; a shingle that very many documents hold is split by AQE
-        near = cut(_context(_may_be(each, keys.select("shingle")), size), "dc-near") if near is None else near
+        near = cut(_context(may_be(each, keys.select("shingle"), "shingle", SLOT_BITS), size), "dc-near") if near is None else near
         joined = near.join(F.broadcast(keys) if few else keys, "shingle")
     row = (F.col("at") == 0) & (F.col("k_at") == 0)
     equal = F.slice("w", start - F.col("first") + 1, F.greatest(length, F.lit(0))) == F.col("window")

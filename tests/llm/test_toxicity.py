@@ -189,3 +189,22 @@ def test_training_reads_all_rows_in_shards(spark, monkeypatch):
     assert 0.1 * len(want) < counted[0] < 0.3 * len(want)
     t, y = corpus(400, 6)
     assert np.mean((m.scores(t) >= 0.3) == np.array(y)) > 0.95
+
+
+def test_texts_stay_while_labels_can_be_broadcast(spark, monkeypatch):
+    """However small the session's own limit for broadcasts; beyond ours the filter loses no labelled row."""
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang").repartition(3)
+    gold = spark.range(0, 4000, 3).selectExpr("cast(id AS int) AS doc_id", "cast(id % 2 AS int) AS toxic")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        near = tx.training_rows(docs, gold)
+        assert "SortMergeJoin" not in near._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(tx, "BROADCAST_LABELS", 10)
+        monkeypatch.setattr(tx, "SLOT_BITS", 6)
+        far = tx.training_rows(docs, gold)
+        assert "SortMergeJoin" in far._jdf.queryExecution().executedPlan().toString()
+        want = {(i, f"text {i}", "en", i % 2) for i in range(0, 4000, 3) if zlib.crc32(str(i).encode()) % 4 != 2}
+        assert set(map(tuple, near.collect())) == set(map(tuple, far.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
