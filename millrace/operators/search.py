@@ -44,15 +44,26 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int = 100, id_: str = "id", tex
     tf = cut(docs.select(F.col(id_).alias("id"), names.alias("t")).mapInArrow(_counts(number), f"id {kind}, dl long, terms array<int>, counts array<int>"), "tf")
     n, mean = tf.agg(F.count("*"), F.avg("dl")).first()
     df = {r.term: r["count"] for r in tf.select(F.explode("terms").alias("term")).groupBy("term").count().collect()}  # a row a term of the queries
+    return best_documents(tf, asked_rows, number, df, n, mean, k, queries.schema["query_id"].dataType.simpleString())
+
+
+def best_documents(tf: DataFrame, asked: list, number: dict[str, int], df: dict[int, int], n: int, mean: float | None, k: int, kind: str, arrange=None) -> DataFrame:
+    """query_id (kind), id, score and rank of the k best of the documents in tf, each of which stands in one partition.
+
+    tf: id, dl, terms and counts (the numbers of terms, and how often each occurs), or what arrange makes that of.
+    asked: query_id, term and times; df: by number, how many of the n documents hold a term. A task sends on its k best a query.
+    """
+    spark, id_kind = tf.sparkSession, tf.schema["id"].dataType.simpleString()
     idf = {t: math.log((n - f + 0.5) / (f + 0.5)) for t, f in df.items()}
     floor = 0.25 * (math.fsum(idf.values()) / len(idf) if idf else 0.0)
-    ids = sorted({r.query_id for r in asked_rows}, key=lambda x: (x is not None, x))
+    ids = sorted({r.query_id for r in asked}, key=lambda x: (x is not None, x))
     place = {q: i for i, q in enumerate(ids)}
-    known = sorted((number[r.term], place[r.query_id], r.times) for r in asked_rows if number[r.term] in idf)
+    known = sorted((number[r.term], place[r.query_id], r.times) for r in asked if number[r.term] in idf)
     weights = np.array([(floor if idf[t] < 0 else idf[t]) * m for t, _, m in known])
     index = (np.searchsorted([t for t, _, _ in known], np.arange(len(number) + 1)), np.array([q for _, q, _ in known], np.int64), weights)
-    found = tf.mapInArrow(_best_here(index, len(ids), mean or 1.0, k), f"q int, id {kind}, score double")
-    numbers = spark.createDataFrame(list(enumerate(ids)), f"q int, query_id {queries.schema['query_id'].dataType.simpleString()}")
+    best = _best_here(index, len(ids), mean or 1.0, k)
+    found = tf.mapInArrow((lambda batches: best(arrange(batches))) if arrange else best, f"q int, id {id_kind}, score double")
+    numbers = spark.createDataFrame(list(enumerate(ids)), f"q int, query_id {kind}")
     w = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "id")
     scored = found.join(F.broadcast(numbers), "q").select("query_id", "id", "score")
     return scored.where(F.round("score", 9) > 0).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
