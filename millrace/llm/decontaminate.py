@@ -18,7 +18,8 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ascii_lower, may_be
+from millrace.llm.common import ascii_lower
+from millrace.operators.relational import may_be
 from millrace.session import cut, drop, table
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
