@@ -2,17 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, near_dup, pieces, pii, toxicity
 from millrace.llm.common import free_name, row_key
-from millrace.session import cut, give_back, sweep, table, written
+from millrace.session import collect_garbage, cut, give_back, sweep, table, written
 
 #: Keys that are broadcast at most (16 bytes each); more are shuffled, with the documents.
 BROADCAST_KEYS = 500_000
 
 
+def rested(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """stage, before which the executors collect their garbage, and once more before its result is written."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        collect_garbage(spark)
+        out = stage(spark, docs, sf_dir)
+        collect_garbage(spark)
+        return out
+
+    return run
+
+
 def keyed(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     """docs with two more columns that tell its rows apart by id and text, and their names."""
     names = [free_name(docs, "_row_1"), free_name(docs, "_row_2")]
@@ -32,6 +48,7 @@ def with_key(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[k.alias(n) for k, n in zip(row_key(docs), "ab", strict=True)]).alias("doc_id"), "text")
 
 
+@rested
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labelled rows among them, scores under its cut."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -42,6 +59,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col(mark) == 0).drop(mark, *toxicity.OUTPUT).withColumnsRenamed({v: k for k, v in hidden.items()}).select(*docs.columns)
 
 
+@rested
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates, that with the smallest doc_id; rows without words all stay.
 
@@ -50,6 +68,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     key = [k.alias(n) for k, n in zip(row_key(docs), "ab", strict=True)]
     ids = docs.select(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", *key).alias("doc_id"), "text")
     found = cut(near_dup.near_duplicates(ids).where("n_shingles > 0").select("doc_id", "group"), "groups")
+    collect_garbage(spark)
     # the order of ids is that of (null or not, doc_id, key), so the first of a group is one key
     first = found.groupBy("group").agg(F.min("doc_id").alias("first"))
     lost = found.join(first, "group").where("doc_id <> first").select("doc_id.a", "doc_id.b")
@@ -62,17 +81,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return without(rest, again).unionByName(once)
 
 
+@rested
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of the benchmark."""
     found = decontaminate.find_contamination(with_key(docs), table(spark, sf_dir, "benchmark"))
     return without(docs, found.where("contaminated").select("doc_id.a", "doc_id.b"))
 
 
+@rested
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind."""
     return pii.redact(docs).select(*docs.columns)
 
 
+@rested
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their piece ids; round_trip says that decoding gives the text back."""
     out = pieces.encode_documents(docs, pieces.load(), keep_text=False)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import map_arrow, release
 from millrace.operators.graph import connected_components
-from millrace.session import cut, drop, table
+from millrace.session import collect_garbage, cut, drop, table
 
 WORDS, BUCKETS, ROWS = 5, 128, 4
 BANDS = BUCKETS // ROWS
@@ -402,6 +402,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     comps = connected_components(links)
     drop(star, likely, first)
 
+    collect_garbage(docs.sparkSession)
     hidden = _hidden_links(mates, comps, classes, rows, percent)
     if not hidden.isEmpty():
         both = cut(links.union(hidden), "nd-links")

@@ -96,3 +96,19 @@ def test_the_stage_that_cuts_nothing_gives_memory_back(spark, sf, freed):
     before = mb()
     cp.drop_toxic(spark, docs, sf)
     assert mb() < before - 100
+
+
+def test_executors_collect_their_garbage_around_a_stage(spark, sf):
+    jvm = spark._jvm
+    count, name = (next(m for m in jvm.java.lang.Class.forName(f"java.lang.management.{c}MXBean").getMethods() if m.getName() == g) for c, g in (("GarbageCollector", "getCollectionCount"), ("MemoryManager", "getName")))
+
+    def full():  # collections of the whole heap; here the driver's JVM is the executor's
+        none = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 0)
+        beans = jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+        return sum(count.invoke(b, none) for b in beans if "Young" not in name.invoke(b, none))
+
+    docs = table(spark, sf, "documents")
+    before = full()
+    out = dict(cp.STAGES)["pii"](spark, docs, sf)
+    assert full() >= before + 2
+    assert out.count() == docs.count()
