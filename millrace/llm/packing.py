@@ -15,9 +15,11 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import pairwise
 from pathlib import Path
 
 import numpy as np
@@ -43,6 +45,7 @@ SPLITS_WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 # Words of these characters are the same when normalised but for their case, and fall into parts by the second expression.
 _PLAIN = "^[!-~À-ÖØ-öø-ÿ]+$"
+_LETTERS = "^[a-zß-öø-ÿ]+$"
 _PARTS = "('s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+)"
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
@@ -66,6 +69,23 @@ class Remembered(dict):
         return ids
 
 
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _strings(a: pa.Array) -> list[str]:
+    return a.to_numpy(zero_copy_only=False).tolist()
+
+
+def _ends(a: pa.Array) -> np.ndarray:
+    """Where each value of an array of bytes begins, and where the last one ends."""
+    return np.concatenate([[0], np.cumsum(pc.binary_length(a).to_numpy(), dtype=np.int64)])
+
+
+def _data(a: pa.Array) -> pa.Buffer:
+    return a.buffers()[2] or pa.py_buffer(b"")
+
+
 class Encoder:
     """Ids of texts by a vocabulary file of the tokenizers library, those of the library, without special tokens.
 
@@ -88,10 +108,10 @@ class Encoder:
         self.parts = Remembered(self._part)
 
     def _part(self, part: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(part.translate(self.letters))], "<u4").tobytes()
+        return _bytes([t.id for t in self.model.tokenize(part if part.isascii() else part.translate(self.letters))])
 
     def text(self, text: str) -> bytes:
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _bytes(self.whole.encode(text, add_special_tokens=False).ids)
 
     def many(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each text."""
@@ -104,25 +124,22 @@ class Encoder:
         plain = pc.match_substring_regex(words, _PLAIN)
         for a in self.added:
             plain = pc.and_not(plain, pc.match_substring(words, a))
-        parts = pc.ascii_split_whitespace(pc.ascii_ltrim_whitespace(pc.replace_substring_regex(pc.utf8_lower(words.filter(plain)), _PARTS, r" \1")))
-        each = parts.flatten().dictionary_encode()
-        ids = [self.parts[p] for p in each.dictionary.to_pylist()]
-        known = len(ids)
-        ids += [self.text(w) if w else b"" for w in words.filter(pc.invert(plain)).to_pylist()]
-        # the parts of a word lie together: those of plain words, then one for each of the others
-        plain = plain.to_numpy(zero_copy_only=False)
-        codes = np.concatenate([each.indices.to_numpy(), np.arange(known, len(ids), dtype=np.int32)])
-        count = np.ones(len(plain), np.int32)
-        count[plain] = np.diff(parts.offsets.to_numpy())
-        first = np.empty(len(plain), np.int32)
-        first[plain], first[~plain] = parts.offsets.to_numpy()[:-1], len(each) + np.arange(len(ids) - known)
-        at = coded.indices.to_numpy()
-        size = count[at]
-        ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
-        codes = codes[np.repeat(first[at] - ends[:-1], size) + np.arange(ends[-1])]
-        bounds = ends[split.offsets.to_numpy()].tolist()
-        for a, b in zip(bounds, bounds[1:], strict=False):
-            yield b"".join(map(ids.__getitem__, codes[a:b].tolist()))
+        lower = pc.utf8_lower(words.filter(plain))
+        single = pc.match_substring_regex(lower, _LETTERS)  # most words are one part
+        parts = pc.ascii_split_whitespace(pc.ascii_ltrim_whitespace(pc.replace_substring_regex(lower.filter(pc.invert(single)), _PARTS, r" \1")))
+        each = pa.concat_arrays([lower.filter(single), parts.flatten()]).dictionary_encode()
+        known = pa.array([self.parts[p] for p in _strings(each.dictionary)], pa.large_binary()).take(each.indices)
+        # the parts of a word lie together: a word's ids are those from its first part to the next word's
+        plain, single = (x.to_numpy(zero_copy_only=False) for x in (plain, single))
+        firsts = np.concatenate([np.arange(single.sum()), single.sum() + parts.offsets.to_numpy()])
+        ids = pa.Array.from_buffers(pa.large_binary(), len(single), [None, pa.py_buffer(_ends(known)[firsts]), _data(known)])
+        ids = pa.concat_arrays([ids, pa.array([self.text(w) if w else b"" for w in _strings(words.filter(pa.array(~plain)))], pa.large_binary())])
+        place = np.empty(len(words), np.int64)
+        at = np.flatnonzero(plain)
+        place[np.concatenate([at[single], at[~single], np.flatnonzero(~plain)])] = np.arange(len(words))
+        out = ids.take(pa.array(place[coded.indices.to_numpy()]))
+        data = memoryview(_data(out))
+        yield from (bytes(data[a:b]) for a, b in pairwise(_ends(out)[split.offsets.to_numpy()].tolist()))
 
     def runs(self, text: bytes) -> Iterator[bytes]:
         """The text in runs of about RUN bytes that begin and end at white space, so that memory doesn't follow its length."""

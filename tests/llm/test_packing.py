@@ -77,6 +77,25 @@ def test_words_have_the_ids_of_the_library(tokenizer, monkeypatch):
     assert [np.frombuffer(x, "<u4").tolist() for x in e.many([t.encode() for t in NASTY])] == [ids_of(tokenizer, t)[:-1] for t in NASTY]
 
 
+def test_words_of_letters_are_spared_the_slow_steps(tokenizer, monkeypatch):
+    e = pk.Encoder(open(pk.TOKENIZER, encoding="utf-8").read())
+    asked, cut, replace = [], [], pk.pc.replace_substring_regex
+
+    class Letters(dict):
+        def __missing__(self, c):
+            asked.append(chr(c))
+            raise LookupError
+
+    e.letters = Letters(e.letters)
+    monkeypatch.setattr(pk.pc, "replace_substring_regex", lambda words, *a: cut.extend(words.to_pylist()) or replace(words, *a))
+    texts = ["Plain words and more words", "it's 12, Née née", "", "words 中文 once more"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in e.many([t.encode() for t in texts])] == [ids_of(tokenizer, t)[:-1] for t in texts]
+    assert sorted(cut) == ["12,", "it's"]  # what is one part isn't split
+    assert set(asked) <= set("née")  # nor is ASCII translated
+    for some in ([], [""], [" "], ["", "a"], ["中"], ["a", "中 b", "c1"]):
+        assert [np.frombuffer(x, "<u4").tolist() for x in e.many([t.encode() for t in some])] == [ids_of(tokenizer, t)[:-1] for t in some]
+
+
 def test_nasty_rows_and_long_texts(spark, tokenizer):
     giant, unbroken = "some words, more words; " * 4_000, "abc123" * 10_000
     texts = [*NASTY, None, None, giant, giant[:50_000], unbroken, "same text"] + ["same text"] * 50
