@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,13 +15,16 @@ from millrace.functions.places import location_similarity, river_similarity
 from millrace.functions.text import jaccard, normalize_ascii
 from millrace.functions.values import date_gap, date_proximity
 from millrace.operators.clusters import span_limited_clusters
-from millrace.operators.relational import first_by
-from millrace.session import cut
+from millrace.operators.relational import first_by, may_be
+from millrace.session import cut, drop, release, small_batches
 
 #: Vectors of a block while there are up to SPREAD blocks; numbers of a block beyond that (32 MB).
 BLOCK, SPREAD, NUMBERS = 8_192, 8, 1 << 22
 #: Queries whose products with a block a task holds at once.
 ROWS = 256
+#: Numbers of sets that a task holds, pairs that are packed together, numbers of pairs that are compared at once.
+PART, PAIRS, HELD = 1 << 21, 8_192, 1 << 20
+SLOT_BITS = 20
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -57,11 +64,12 @@ def block_count(n: int, width: int, block: int = BLOCK) -> int:
     return max(1, min(SPREAD, -(-n // block)), -(-n // max(block, NUMBERS // max(1, width))))
 
 
-def knn(vectors: DataFrame, k: int, queries: DataFrame | None = None, id_: str = "id", vec: str = "embedding", block: int = BLOCK) -> DataFrame:
+def knn(vectors: DataFrame, k: int, queries: DataFrame | None = None, id_: str = "id", vec: str = "embedding", block: int = BLOCK, least: float | None = None) -> DataFrame:
     """JN-6, WIN-2: a, b, sim, rank of each query's k nearest others by inner product, ties to the smaller id.
 
     Queries and vectors meet block by block; a task multiplies two blocks and returns k rows a query, so
-    no pairs are ever made and nothing is broadcast. Without queries every vector is one.
+    no pairs are ever made and nothing is broadcast. Without queries every vector is one. Neighbours whose
+    product, rounded to nine places, is under least are left out before they are ranked.
     """
     asks = vectors if queries is None else queries
     sizes = vectors.agg(F.count("*"), F.coalesce(F.max(F.size(vec)), F.lit(1))).first()
@@ -73,6 +81,8 @@ def knn(vectors: DataFrame, k: int, queries: DataFrame | None = None, id_: str =
     right = v.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("i"), of(n).alias("j"))
 
     found = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(block_top(k), "a long, b long, sim double")
+    if least is not None:
+        found = found.where(F.round("sim", 9) >= least)
     w = Window.partitionBy("a").orderBy(F.desc("sim"), "b")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -156,13 +166,145 @@ def signal_percentiles(scored: DataFrame, signals: tuple[str, ...] = (*(f"s_{k}"
     return out.select("signal", "n", "mean", *[F.get("p", F.lit(i)).alias(x) for i, x in enumerate(("p10", "median", "p90"))])
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers of 64 bits byte by byte, the first bytes of all before the second: what is alike compresses well."""
+    return np.ascontiguousarray(x.astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _numbers(x: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
+def _packed(rows: list[tuple[int, bool, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    part, asks, x, y = zip(*rows, strict=True)
+    types = (pa.int32(), pa.bool_(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip((part, asks, map(_planes, x), map(_planes, y)), types, strict=True)], ["part", "asks", "x", "y"])
+
+
+def deal_sets(parts: int):
+    """A function of batches (row, h): the numbers of sets with their rows, packed by part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, h = np.repeat(batch["row"].to_numpy(), pc.list_value_length(batch["h"]).to_numpy()), batch["h"].flatten().to_numpy()
+            part = h % parts
+            order = np.argsort(part, kind="stable")
+            row, h, part = row[order], h[order], part[order]
+            ends = np.flatnonzero(np.diff(part, append=parts)) + 1
+            if len(h):
+                yield _packed([(int(part[i]), False, row[i:j], h[i:j]) for i, j in zip([0, *ends], ends)])
+        release()
+
+    return run
+
+
+def pack_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (ra, rb), packed by the thousands."""
+    held, n = [], 0
+    for batch in batches:
+        held.append([batch[c].to_numpy() for c in ("ra", "rb")])
+        n += batch.num_rows
+        if n >= PAIRS:
+            yield _packed([(0, True, *map(np.concatenate, zip(*held)))])
+            held, n = [], 0
+    if n:
+        yield _packed([(0, True, *map(np.concatenate, zip(*held)))])
+
+
+class Sets:
+    """What one part holds of all sets: numbers of a single set can't be shared and are left out."""
+
+    def __init__(self, rows: list[np.ndarray], numbers: list[np.ndarray]):
+        none = [np.empty(0, np.int64)]
+        _, s, n = np.unique(np.concatenate(numbers or none), return_inverse=True, return_counts=True)
+        shared = n[s] > 1
+        row, s = np.concatenate(rows or none)[shared], s[shared]
+        order = np.argsort(row, kind="stable")
+        row, self.s, self.width = row[order], s[order], len(n)
+        self.rows, self.at = np.unique(row, return_index=True)
+        self.at = np.append(self.at, len(row))
+
+    def place(self, row: np.ndarray) -> np.ndarray:
+        """Where the sets of rows are, -1 for none."""
+        if not len(self.rows):
+            return np.full(len(row), -1)
+        i = np.minimum(np.searchsorted(self.rows, row), len(self.rows) - 1)
+        return np.where(self.rows[i] == row, i, -1)
+
+    def shared(self, ra: np.ndarray, rb: np.ndarray) -> pa.RecordBatch:
+        """ra, rb and how many numbers both hold, for the pairs that share any."""
+        a, b = self.place(ra), self.place(rb)
+        some = np.flatnonzero((a >= 0) & (b >= 0))
+        size = np.diff(self.at)
+        upto, counts = np.cumsum(size[a[some]] + size[b[some]]), np.zeros(len(ra), np.int64)
+        i = 0
+        while i < len(some):
+            j = max(i + 1, np.searchsorted(upto, (upto[i - 1] if i else 0) + HELD, "right"))
+            keys = []
+            for side in (a[some[i:j]], b[some[i:j]]):
+                n = size[side]
+                at = np.arange(n.sum()) + np.repeat(self.at[side] - np.cumsum(n) + n, n)
+                keys.append(np.repeat(np.arange(len(side)), n) * self.width + self.s[at])
+            key = np.sort(np.concatenate(keys))
+            counts[some[i:j]] = np.bincount(key[1:][key[1:] == key[:-1]] // self.width, minlength=j - i)
+            i = j
+        any_ = counts > 0
+        return pa.RecordBatch.from_arrays([pa.array(x[any_]) for x in (ra, rb, counts)], ["ra", "rb", "both"])
+
+
+def count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches (part, asks, x, y), each part's sets before its pairs, as counts ra, rb, both of each part. Pairs are not held."""
+    now, rows, numbers, sets = None, [], [], None
+    for batch in batches:
+        for r in batch.to_pylist():
+            if r["part"] != now:
+                now, rows, numbers, sets = r["part"], [], [], None
+            x, y = _numbers(r["x"]), _numbers(r["y"])
+            if not r["asks"]:
+                rows.append(x)
+                numbers.append(y)
+                continue
+            if sets is None:
+                sets, rows, numbers = Sets(rows, numbers), [], []
+            yield sets.shared(x, y)
+    release()
+
+
+def shared_counts(pairs: DataFrame, sets: DataFrame, numbers: int) -> DataFrame:
+    """ra, rb, both: how many numbers the sets of a pair share, for the pairs that share any; exact.
+
+    pairs: ra, rb; sets: row, h (distinct numbers, dealt like a hash). A task gets one part of the numbers of all
+    sets, PART of them, and all pairs pass by it: a set is shuffled once, however many pairs it has, and a pair goes
+    to each part in a few bytes.
+    """
+    parts = max(1, -(-numbers // PART))
+    small_batches(pairs.sparkSession)
+    columns = "part int, asks boolean, x binary, y binary"
+    dealt = sets.select("row", "h").mapInArrow(deal_sets(parts), columns)
+    asks = pairs.select("ra", "rb").mapInArrow(pack_pairs, columns).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    both = dealt.union(asks).repartition(parts, "part").sortWithinPartitions("part", "asks")
+    return both.mapInArrow(count_shared, "ra long, rb long, both long").groupBy("ra", "rb").agg(F.sum("both").alias("both"))
+
+
 def semantic_duplicates(vectors: DataFrame, texts: DataFrame, k: int = 20, least: float = 0.95, most_jaccard: float = 0.5) -> DataFrame:
     """CMP-2: a, b, sim, jaccard of neighbours whose vectors nearly agree while their words do not: candidates only.
 
-    vectors: id, embedding; texts: id, shingles (array). What few pairs pass the cosine fetch their shingles.
+    vectors: id, embedding; texts: id, shingles (array). Shingles are compared by their hashes, and pairs don't fetch
+    them: only texts of pairs that pass the cosine are shuffled, each once.
     """
-    near = knn(vectors, k).where(F.col("sim") >= least)
-    pairs = near.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("sim").alias("sim"))
+    near = knn(vectors, k, least=least)
+    pairs = alike = cut(near.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("sim").alias("sim")), "alike")
+    key = F.xxhash64(F.col("id").cast("long"))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(key.alias("key"))
+    own = may_be(texts.where(F.col("shingles").isNotNull()).withColumn("key", key), ends, "key", SLOT_BITS)
+    own = own.select("id", F.array_distinct(F.transform("shingles", lambda x: F.xxhash64(x))).alias("h"))
+    own = cut(own.select(F.monotonically_increasing_id().alias("row"), "id", F.size("h").alias("n"), "h"), "shingles")
     for s in "ab":
-        pairs = pairs.join(texts.select(F.col("id").alias(s), F.col("shingles").alias(f"shingles_{s}")), s)
-    return pairs.select("a", "b", "sim", jaccard("shingles_a", "shingles_b").alias("jaccard")).where(F.col("jaccard") < most_jaccard)
+        pairs = pairs.join(own.select(F.col("id").alias(s), F.col("row").alias(f"r{s}"), F.col("n").alias(f"n{s}")), s)
+    numbers = own.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    both = F.coalesce("both", F.lit(0))
+    out = pairs.join(shared_counts(pairs, own, numbers), ["ra", "rb"], "left")
+    out = out.select("a", "b", "sim", F.when((F.col("na") == 0) | (F.col("nb") == 0), 0.0).otherwise(both / (F.col("na") + F.col("nb") - both)).alias("jaccard"))
+    out = cut(out.where(F.col("jaccard") < most_jaccard), "unlike")
+    drop(alike, own)
+    return out
